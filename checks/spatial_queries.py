@@ -130,7 +130,7 @@ def cells_left_joined_to_districts(spark, sf_dir):
 
 
 def _dist2(px, py, e):
-    dx, dy = f"({e}.bx - {e}.ax)", f"({e}.by2 - {e}.ay)"
+    dx, dy = f"cast({e}.bx - {e}.ax AS double)", f"cast({e}.by2 - {e}.ay AS double)"
     t = f"least(greatest(cast(({px} - {e}.ax) * {dx} + ({py} - {e}.ay) * {dy} AS double) / cast({dx} * {dx} + {dy} * {dy} AS double), 0.0), 1.0)"
     return f"(pow({px} - ({e}.ax + {t} * {dx}), 2) + pow({py} - ({e}.ay + {t} * {dy}), 2))"
 
@@ -138,9 +138,9 @@ def _dist2(px, py, e):
 NEAREST = f"""
 SELECT poly_id, target_id, distance FROM (
   SELECT c.poly_id, d.poly_id AS target_id, round(sqrt(min(least({_dist2('c.ax', 'c.ay', 'd')}, {_dist2('d.ax', 'd.ay', 'c')}))), 3) AS distance,
-    row_number() OVER (PARTITION BY c.poly_id ORDER BY min(least({_dist2('c.ax', 'c.ay', 'd')}, {_dist2('d.ax', 'd.ay', 'c')})), d.poly_id) AS at
+    row_number() OVER (PARTITION BY c.poly_id ORDER BY min(least({_dist2('c.ax', 'c.ay', 'd')}, {_dist2('d.ax', 'd.ay', 'c')})), d.poly_id) AS rn
   FROM ({I.CELL_EDGES}) c CROSS JOIN ({I.DISTRICT_EDGES}) d
-  WHERE c.poly_id NOT IN (SELECT left_id FROM ({TOUCH}) t) GROUP BY c.poly_id, d.poly_id) r WHERE at = 1"""
+  WHERE c.poly_id NOT IN (SELECT left_id FROM ({TOUCH}) t) GROUP BY c.poly_id, d.poly_id) r WHERE rn = 1"""
 
 
 @query("nearest_district_of_unmatched_cells", NEAREST)

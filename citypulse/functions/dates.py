@@ -13,17 +13,23 @@ from citypulse.functions.values import stripped
 WEEKEND_GROUP = ["Friday", "Saturday", "Sunday"]
 
 
+def _parsed_day(text: Column) -> Column:
+    year_month = F.concat(F.substring(text, 1, 4), F.lit("-"), F.substring(text, 5, 2), F.lit("-"))
+    iso = (
+        F.when(text.contains("-"), text)
+        .when(F.length(text) == 8, F.concat(year_month, F.substring(text, 7, 2)))
+        .when(F.length(text) == 6, F.concat(year_month, F.lit("01")))
+    )
+    return iso.try_cast("date")
+
+
 def date_from_text(col: Column, on_error: str = "raise") -> Column:
     """``yyyy-MM-dd``, ``yyyyMMdd`` or ``yyyyMM`` (first of the month) to a date.
 
     Other text stops the job, or gives NULL with ``on_error='null'``.
     """
-    text = stripped(col)
-    parsed = (
-        F.when(text.contains("-"), F.try_to_date(text, "yyyy-MM-dd"))
-        .when(F.length(text) == 8, F.try_to_date(text, "yyyyMMdd"))
-        .when(F.length(text) == 6, F.try_to_date(F.concat(text, F.lit("01")), "yyyyMMdd"))
-    )
+    # A one-element transform names the text, so a computed column is evaluated once, not per branch.
+    parsed = F.transform(F.array(stripped(col)), _parsed_day)[0]
     if on_error == "null":
         return parsed
     message = F.concat(F.lit("unrecognised date text: "), F.coalesce(col, F.lit("NULL")))

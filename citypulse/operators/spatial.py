@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citypulse.session import cut_lineage
+
 XY = ["x", "y"]
 
 
@@ -205,6 +207,7 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
     is six times the largest polygon, which covers the polygon's own extent). Both steps are
     equi-joins on level and tile; only that neighbourhood is measured.
     """
+    polygons = cut_lineage(polygons.select("poly_id", "x1", "y1", "x2", "y2"))
     extent = boxes(polygons).agg(
         F.max(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))).alias("widest"),
         F.min("min_x").alias("min_x"),
@@ -271,6 +274,7 @@ def assign_districts(cells: DataFrame, districts: DataFrame, tile: float) -> Dat
     touching = polygons_touch(cells, districts, tile).select(
         F.col("left_id").alias("poly_id"), F.col("right_id").alias("admin_cd")
     )
+    touching = cut_lineage(touching)
     lost = cells.join(touching.select("poly_id"), "poly_id", "left_anti")
     filled = nearest_polygon(lost, districts).select("poly_id", F.col("target_id").alias("admin_cd"))
     return touching.unionByName(filled)

@@ -29,10 +29,9 @@ def _fields(kind: T.DataType, names: list[str]) -> list[T.StructField]:
 _TEXT, _LONG, _DOUBLE, _MONEY = T.StringType(), T.LongType(), T.DoubleType(), T.DecimalType(18, 2)
 
 FLOW_FILE = T.StructType(
-    _fields(
-        _TEXT,
-        ["id", "x", "y", "type", "timezn_cd", *FIVE_YEAR_COLUMNS, "total", "admi_cd", "etl_ymd"],
-    )
+    _fields(_TEXT, ["id", "x", "y", "type", "timezn_cd"])
+    + _fields(_DOUBLE, [*FIVE_YEAR_COLUMNS, "total"])
+    + _fields(_TEXT, ["admi_cd", "etl_ymd"])
 )
 
 FLOW_MART = T.StructType(
