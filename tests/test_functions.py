@@ -153,7 +153,7 @@ def test_metric_projection(spark):
     rows = df.withColumns({"x": x, "y": y}).withColumns({"lon2": lon, "lat2": lat}).collect()
     assert (rows[0].x, round(rows[0].y, 6)) == (1_000_000.0, 2_000_000.0)
     for r in rows:
-        assert abs(r.lon - r.lon2) < 2e-9 and abs(r.lat - r.lat2) < 2e-9  # 0.2 mm
+        assert abs(r.lon - r.lon2) < 1e-10 and abs(r.lat - r.lat2) < 1e-10
 
 
 def test_metric_projection_along_the_central_meridian(spark):
