@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citypulse.ml import model
 from citypulse.operators import economy, flow, paths, presence, residents, sensors, spatial
@@ -34,11 +35,15 @@ def load_flow(spark: SparkSession, source: str, ym: str, root: str) -> None:
     sinks.write_months(mart, f"{root}/flow", sort=["etl_ymd", "timezn_cd", "id"])
 
 
+def read_flow(spark: SparkSession, root: str) -> DataFrame:
+    """The flow table with its month column, which Spark would otherwise read as a number."""
+    month = T.StructField("crtr_ym", T.StringType())
+    return spark.read.schema(T.StructType([*RESULT_TABLES["flow"][0].fields, month])).parquet(f"{root}/flow")
+
+
 def flow_reports(spark: SparkSession, ym: str, root: str) -> None:
     """The four month reports, all or none. The month is scanned once; reports come from its sums."""
-    schema = RESULT_TABLES["flow"][0].add("crtr_ym", "string")
-    stored = spark.read.schema(schema).parquet(f"{root}/flow")
-    sums = cut_lineage(flow.month_sums(stored, ym))
+    sums = cut_lineage(flow.month_sums(read_flow(spark, root), ym))
     reports = {name: _result(report(sums, ym), name) for name, report in flow.MONTH_REPORTS.items()}
     sinks.write_months_together(reports, root)
 
