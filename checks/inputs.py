@@ -173,12 +173,16 @@ SELECT c_custkey AS point_id,
   34600000 + c_custkey * 104729 % 420000 AS lat_u
 FROM customer"""
 
-DISTRICT_EDGES = """
-SELECT n.n_nationkey AS poly_id, e.k AS k,
-  127500000 + n.n_nationkey % 5 * 100000 + e.ax AS ax, 34600000 + cast(floor(n.n_nationkey / 5) AS bigint) * 77000 + e.ay AS ay,
-  127500000 + n.n_nationkey % 5 * 100000 + e.bx AS bx, 34600000 + cast(floor(n.n_nationkey / 5) AS bigint) * 77000 + e.by2 AS by2
-FROM nation n CROSS JOIN (VALUES (0, 0, 0, 90000, 10000), (1, 90000, 10000, 80000, 70000),
-  (2, 80000, 70000, 5000, 75000), (3, 5000, 75000, 0, 0)) AS e(k, ax, ay, bx, by2)"""
+# Slanted quadrilaterals, one per nation: corner offsets of their four edges.
+_DISTRICT_SIDES = [(0, 0, 90000, 10000), (90000, 10000, 80000, 70000), (80000, 70000, 5000, 75000), (5000, 75000, 0, 0)]
+DISTRICT_EDGES = " UNION ALL ".join(
+    f"""
+SELECT n_nationkey AS poly_id, {k} AS k, 127500000 + n_nationkey % 5 * 100000 + {ax} AS ax,
+  34600000 + cast(floor(n_nationkey / 5) AS bigint) * 77000 + {ay} AS ay,
+  127500000 + n_nationkey % 5 * 100000 + {bx} AS bx,
+  34600000 + cast(floor(n_nationkey / 5) AS bigint) * 77000 + {by} AS by2 FROM nation"""
+    for k, (ax, ay, bx, by) in enumerate(_DISTRICT_SIDES)
+)
 
 CELL_EDGES = f"""
 SELECT id AS poly_id, k, CASE WHEN k IN (0, 3) THEN x0 ELSE x1 END AS ax, CASE WHEN k IN (0, 1) THEN y0 ELSE y1 END AS ay,

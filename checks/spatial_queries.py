@@ -72,7 +72,7 @@ def in_district(x, y):
     f"""
 SELECT p.point_id, m.poly_id AS grid_id FROM ({I.POINTS}) p LEFT JOIN (
   SELECT q.point_id, e.poly_id FROM ({I.POINTS}) q CROSS JOIN ({I.DISTRICT_EDGES}) e
-  GROUP BY q.point_id, e.poly_id HAVING {in_district('min(q.lon_u)', 'min(q.lat_u)').replace('min(q.lon_u)', 'q.lon_u').replace('min(q.lat_u)', 'q.lat_u')}) m
+  GROUP BY q.point_id, q.lon_u, q.lat_u, e.poly_id HAVING {in_district('q.lon_u', 'q.lat_u')}) m
 ON p.point_id = m.point_id""",
 )
 def points_to_districts(spark, sf_dir):
@@ -172,10 +172,12 @@ _EP2 = _E2 / (1 - _E2)
 
 
 def _meridian(phi):
-    e2, e4, e6 = _E2, _E2**2, _E2**3
+    e2, e4, e6, e8 = _E2, _E2**2, _E2**3, _E2**4
     return (
-        f"{_A!r} * ({1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256!r} * {phi} - {3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024!r} * sin(2 * {phi})"
-        f" + {15 * e4 / 256 + 45 * e6 / 1024!r} * sin(4 * {phi}) - {35 * e6 / 3072!r} * sin(6 * {phi}))"
+        f"{_A!r} * ({1 - e2 / 4 - 3 * e4 / 64 - 5 * e6 / 256 - 175 * e8 / 16384!r} * {phi}"
+        f" - {3 * e2 / 8 + 3 * e4 / 32 + 45 * e6 / 1024 + 105 * e8 / 4096!r} * sin(2 * {phi})"
+        f" + {15 * e4 / 256 + 45 * e6 / 1024 + 525 * e8 / 16384!r} * sin(4 * {phi})"
+        f" - {35 * e6 / 3072 + 175 * e8 / 12288!r} * sin(6 * {phi}) + {315 * e8 / 131072!r} * sin(8 * {phi}))"
     )
 
 

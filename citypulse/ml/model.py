@@ -174,10 +174,12 @@ def comparison(spark: SparkSession, scored: dict[str, DataFrame]) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Importance per feature, highest first. One row per feature, so it is made on the driver."""
+    """Importance per feature, highest first. One row per feature, so it is made on the driver; ``rows``
+    only lend their schema.
+    """
     last = model.stages[-1]
     column = last.getOrDefault(last.featuresCol)
-    attributes = model.transform(rows.limit(1)).schema[column].metadata["ml_attr"]["attrs"]
+    attributes = model.transform(rows).schema[column].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a.get("name", str(a["idx"])) for group in attributes.values() for a in group}
     weights = last.featureImportances.toArray()
     entries = [(names.get(i, str(i)), float(w)) for i, w in enumerate(weights)]

@@ -124,7 +124,11 @@ def stay_category(streak: Column, period_days: Column) -> Column:
 
 def stay_categories(visit_rows: DataFrame) -> DataFrame:
     """Stats, longest run and stay category per device and month."""
-    daily = daily_counts(visit_rows)
+    return stay_categories_of_days(daily_counts(visit_rows))
+
+
+def stay_categories_of_days(daily: DataFrame) -> DataFrame:
+    """The same from daily counts, for jobs that keep them."""
     per_month = daily.groupBy(DEVICE, "month").agg(
         F.count("access_date").alias("total_days"),
         F.sum("daily_count").alias("total_events"),

@@ -11,8 +11,9 @@ from citypulse.functions.dates import calendar_features, slot_timestamp
 from citypulse.functions.values import integer_text
 from citypulse.operators.lookup import keep_known, map_column
 from citypulse.operators.shape import drop_missing, sum_or_zero
+from citypulse.session import cut_lineage
 
-SMALL_COUNT = 1_000_000
+SMALL_COUNT = 200_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -107,7 +108,12 @@ def exact_quantile(df: DataFrame, column: str, q: float, small: int = SMALL_COUN
     position = q * (total - 1)
     low_rank, high_rank = math.floor(position), math.ceil(position)
     low = _value_at(values, low_rank, total, small)
-    high = low if high_rank == low_rank else _value_at(values, high_rank, total, small)
+    if high_rank == low_rank:
+        return low
+    following = values.agg(
+        F.count_if(F.col("v") <= low).alias("upto"), F.min(F.when(F.col("v") > low, F.col("v"))).alias("above")
+    ).first()
+    high = low if following["upto"] > high_rank else following["above"]
     return low + (high - low) * (position - low_rank)
 
 
@@ -126,7 +132,8 @@ def _value_at(values: DataFrame, rank: int, total: int, small: int) -> float:
             rank, part = rank - sizes[part], part + 1
         if part in (1, 3):
             return lo if part == 1 else hi
-        remaining, count = remaining.filter(parts[part]), sizes[part]
+        # What is left is a small part of the data: keep it, so the next rounds do not scan all again.
+        remaining, count = cut_lineage(remaining.filter(parts[part])), sizes[part]
     running = F.sum("count").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
     merged = remaining.groupBy("v").count().withColumn("upto", running)
     return merged.filter(F.col("upto") > rank).agg(F.min("v")).first()[0]

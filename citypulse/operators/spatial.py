@@ -222,10 +222,9 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
         F.min("y1").alias("min_y"),
         F.max("y1").alias("max_y"),
     ).first()
-    schema = "poly_id, target_id, distance"
     if extent["widest"] is None or around["edge"] is None:
-        empty = polygons.limit(0).select("poly_id").join(targets.limit(0).select(F.col("poly_id").alias("target_id")))
-        return empty.withColumn("distance", F.lit(0.0)).select(*schema.split(", "))
+        kinds = dict(polygons.dtypes)["poly_id"], dict(targets.dtypes)["poly_id"]
+        return polygons.sparkSession.createDataFrame([], f"poly_id {kinds[0]}, target_id {kinds[1]}, distance double")
     base = max(6.0 * math.sqrt(2) * float(extent["widest"]), float(around["edge"]), 1e-9)
     width = max(
         float(max(extent["max_x"], around["max_x"]) - min(extent["min_x"], around["min_x"])),

@@ -101,8 +101,10 @@ def resident_tables(
 def presence_tables(described: DataFrame, root: str, points_per_part: int = 10_000) -> None:
     """Stats, stay categories, their pivot, visits by place, and paths from a described log."""
     rows = presence.visits(described)
-    sinks.replace(presence.device_stats(presence.daily_counts(rows)), f"{root}/device_stats")
-    sinks.replace(presence.stay_categories(rows), f"{root}/device_months")
+    # One row per device and day serves the stats and the categories: the log is scanned once for both.
+    daily = cut_lineage(presence.daily_counts(rows))
+    sinks.replace(presence.device_stats(daily), f"{root}/device_stats")
+    sinks.replace(presence.stay_categories_of_days(daily), f"{root}/device_months")
     categories = rows.sparkSession.read.parquet(f"{root}/device_months")
     sinks.replace(presence.category_pivot(categories), f"{root}/category_months")
     sinks.replace(presence.visits_by_place(rows, categories), f"{root}/visits_by_place")

@@ -45,10 +45,11 @@ def find_files(spark: SparkSession, root: str, pattern: str, recursive: bool = T
 
 def newest_file(spark: SparkSession, root: str, pattern: str) -> str:
     """The matching file in ``root`` whose name sorts last."""
-    found = find_files(spark, root, pattern, recursive=False)
-    if not found:
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root)
+    newest = listed.agg(F.max_by("path", F.substring_index("path", "/", -1)).alias("path")).first()["path"]
+    if newest is None:
         raise FileNotFoundError(f"no file matching {pattern} in {root}")
-    return max(found, key=lambda path: path.rsplit("/", 1)[-1])
+    return newest
 
 
 def _inspect(spark: SparkSession, paths: list[str], detect_encoding: bool) -> list:

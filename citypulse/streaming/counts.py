@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from citypulse.ml.model import score_counts
+from citypulse.operators.sensors import cell_counts
+
 # The window lengths in minutes the counts are kept at.
 GRAINS = [5, 10, 60]
 LATENESS = "10 minutes"
@@ -36,6 +40,14 @@ def to_table(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     )
 
 
+def slot_scorer(ap_cells: DataFrame, model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """Scoring of window counts per access point: summed per cell, then predicted.
+
+    A window closes for all access points in the same batch, so the sums of a cell are complete.
+    """
+    return lambda batch: score_counts(cell_counts(batch, ap_cells), model)
+
+
 def score_slots(
     counts: DataFrame,
     score: Callable[[DataFrame], DataFrame],

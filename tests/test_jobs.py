@@ -248,6 +248,17 @@ def test_stream_counts_equal_their_batch_twin(spark, tmp_path):
     assert found.exceptAll(closed).count() == 0 and closed.exceptAll(found).count() == 0 and closed.count() > 0
 
 
+def test_stream_scorer_sums_points_of_a_cell(spark):
+    summary, cells, flow_raw = sample_inputs(spark, 48)
+    rows = model.model_rows(sensors.training_frame(sensors.cell_counts(summary, cells), sensors.flow_slots(flow_raw)))
+    fitted = Pipeline(stages=[*model.scaled_features(), model.boosted(maxIter=2)]).fit(rows)
+    at = dt.datetime(2025, 1, 5)
+    batch = spark.createDataFrame([(at, "ap0", 3), (at, "ap9", 4), (at, "zz", 5)], "std_date timestamp, ap_id string, cnt long")
+    both = spark.createDataFrame([("ap0", "c"), ("ap9", "c")], "ap_id string, grid_id string")
+    found = counts.slot_scorer(both, fitted)(batch).collect()
+    assert [(r.grid_id, r.acs_cnt) for r in found] == [("c", 7)] and found[0].predicted_total >= 0
+
+
 def test_streamed_scores_are_not_doubled_by_a_retry(spark, tmp_path):
     schema = "std_date timestamp, grid_id string, acs_cnt long"
     rows = [(dt.datetime(2025, 1, 1, h), f"c{i}", h + i) for h in range(3) for i in range(2)]

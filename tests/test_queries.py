@@ -46,11 +46,8 @@ def test_every_oracle_belongs_to_a_query():
     assert set(ORACLE) <= set(spark_entry.queries())
 
 
-# Queries whose plan may hold no cartesian product, nested loop or Python node.
-@pytest.mark.parametrize("name", sorted(set(ORACLE) - {"points_to_districts"}))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_plan_is_free_of_cross_joins_and_python(spark, name):
     plan = spark_entry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    inputs_only = name.startswith(("cells_", "points_to_districts", "nearest_"))
-    assert "CartesianProduct" not in plan
-    assert inputs_only or "BroadcastNestedLoopJoin" not in plan
-    assert "Python" not in plan and "MapInPandas" not in plan
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
+        assert node not in plan
