@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,31 +58,75 @@ def _total(columns: list[Column]) -> Column:
     return result
 
 
+def _named(values: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a struct that is computed once. Written out, the series would repeat it in every term,
+    and a filter on the result would evaluate all of it.
+    """
+    return F.transform(F.array(values), use)[0]
+
+
+def _series(v: Column, terms: tuple[float, ...]) -> tuple[Column, Column]:
+    along, across = [], []
+    for j, a in enumerate(terms, start=1):
+        along.append(F.lit(a) * F.sin(v["xi"] * (2 * j)) * F.cosh(v["eta"] * (2 * j)))
+        across.append(F.lit(a) * F.cos(v["xi"] * (2 * j)) * F.sinh(v["eta"] * (2 * j)))
+    return _total(along), _total(across)
+
+
+def metric_point(lon: Column, lat: Column) -> Column:
+    """``struct<x,y>``: easting and northing in metres from degrees."""
+
+    def conformal(v: Column) -> Column:
+        xi = F.atan(v["t"] / F.cos(v["delta"]))
+        eta = F.atanh(F.sin(v["delta"]) / F.sqrt(F.lit(1.0) + v["t"] * v["t"]))
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def metres(v: Column) -> Column:
+        north, east = _series(v, _FORWARD)
+        x = F.lit(FALSE_EASTING) + F.lit(SCALE * _RADIUS) * (v["eta"] + east)
+        y = F.lit(_NORTHING_SHIFT) + F.lit(SCALE * _RADIUS) * (v["xi"] + north)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    sine = F.sin(F.radians(lat))
+    t = F.sinh(F.atanh(sine) - F.lit(_ECC) * F.atanh(F.lit(_ECC) * sine))
+    start = F.struct(t.alias("t"), F.radians(lon - F.lit(ORIGIN_LON)).alias("delta"))
+    return _named(_named(start, conformal), metres)
+
+
 def to_metric(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Easting and northing in metres from degrees."""
-    phi, delta = F.radians(lat), F.radians(lon - F.lit(ORIGIN_LON))
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(_ECC) * F.atanh(F.lit(_ECC) * F.sin(phi)))
-    xi, eta = F.atan(t / F.cos(delta)), F.atanh(F.sin(delta) / F.sqrt(F.lit(1.0) + t * t))
-    east, north = [eta], [xi]
-    for j, a in enumerate(_FORWARD, start=1):
-        east.append(F.lit(a) * F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)))
-        north.append(F.lit(a) * F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)))
+    point = metric_point(lon, lat)
+    return point["x"], point["y"]
+
+
+def degrees_point(easting: Column, northing: Column) -> Column:
+    """``struct<lon,lat>``: degrees from metres; the inverse of :func:`metric_point`."""
+
+    def sphere(v: Column) -> Column:
+        north, east = _series(v, _INVERSE)
+        return F.struct((v["xi"] - north).alias("xi"), (v["eta"] - east).alias("eta"))
+
+    def conformal(v: Column) -> Column:
+        chi = F.asin(F.sin(v["xi"]) / F.cosh(v["eta"]))
+        delta = F.atan(F.sinh(v["eta"]) / F.cos(v["xi"]))
+        return F.struct(chi.alias("chi"), delta.alias("delta"))
+
+    def degrees(v: Column) -> Column:
+        terms = [F.lit(d) * F.sin(v["chi"] * (2 * j)) for j, d in enumerate(_LATITUDE, start=1)]
+        lon = F.lit(ORIGIN_LON) + F.degrees(v["delta"])
+        return F.struct(lon.alias("lon"), F.degrees(_total([v["chi"], *terms])).alias("lat"))
+
     unit = F.lit(SCALE * _RADIUS)
-    return F.lit(FALSE_EASTING) + unit * _total(east), F.lit(_NORTHING_SHIFT) + unit * _total(north)
+    start = F.struct(
+        ((northing - F.lit(_NORTHING_SHIFT)) / unit).alias("xi"), ((easting - F.lit(FALSE_EASTING)) / unit).alias("eta")
+    )
+    return _named(_named(_named(start, sphere), conformal), degrees)
 
 
 def to_degrees(easting: Column, northing: Column) -> tuple[Column, Column]:
-    """Longitude and latitude from metres; the inverse of :func:`to_metric`."""
-    unit = F.lit(SCALE * _RADIUS)
-    xi, eta = (northing - F.lit(_NORTHING_SHIFT)) / unit, (easting - F.lit(FALSE_EASTING)) / unit
-    xi_terms, eta_terms = [xi], [eta]
-    for j, b in enumerate(_INVERSE, start=1):
-        xi_terms.append(F.lit(-b) * F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)))
-        eta_terms.append(F.lit(-b) * F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)))
-    xi0, eta0 = _total(xi_terms), _total(eta_terms)
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
-    phi = _total([chi] + [F.lit(d) * F.sin(chi * (2 * j)) for j, d in enumerate(_LATITUDE, start=1)])
-    return F.lit(ORIGIN_LON) + F.degrees(F.atan(F.sinh(eta0) / F.cos(xi0))), F.degrees(phi)
+    """Longitude and latitude from metres."""
+    point = degrees_point(easting, northing)
+    return point["lon"], point["lat"]
 
 
 def valid_degrees(lon: Column, lat: Column) -> Column:

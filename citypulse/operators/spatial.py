@@ -257,10 +257,12 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
     p = [F.col(n) for n in names]
     q = [F.col("t" + n) for n in names]
     squared = F.least(_distance2(p[0], p[1], *q), _distance2(q[0], q[1], *p))
+    # Distances are reduced per pair of polygons first: a minimum of plain numbers is a hash aggregate,
+    # a minimum of structs needs sorted input and should only see one row per pair.
+    pairs = edges.join(candidates, ["level", "tx", "ty"]).groupBy("poly_id", "target_id").agg(F.min(squared).alias("d2"))
     return (
-        edges.join(candidates, ["level", "tx", "ty"])
-        .groupBy("poly_id")
-        .agg(F.min(F.struct(squared.alias("d2"), F.col("target_id").alias("id"))).alias("best"))
+        pairs.groupBy("poly_id")
+        .agg(F.min(F.struct("d2", F.col("target_id").alias("id"))).alias("best"))
         .select("poly_id", F.col("best.id").alias("target_id"), F.sqrt("best.d2").alias("distance"))
     )
 
