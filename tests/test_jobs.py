@@ -181,11 +181,11 @@ def sample_inputs(spark, hours=24 * 14):
 def test_training_and_scoring(spark, tmp_path):
     summary, cells, flow_raw = sample_inputs(spark)
     path = str(tmp_path / "model")
-    metrics = jobs.train_model(summary, cells, flow_raw, path, {"maxIter": [10], "maxDepth": [3, 5], "stepSize": [0.2]})
+    metrics = jobs.train_model(summary, cells, flow_raw, path, {"maxIter": [6], "maxDepth": [5], "stepSize": [0.4]})
     assert metrics["r2"] > 0.8
     fitted, entry = model.load_bundle(spark, path)
     assert isinstance(fitted, PipelineModel) and entry["r2"] == pytest.approx(metrics["r2"])
-    assert json.loads(entry["best_params"])["maxIter"] == 10
+    assert json.loads(entry["best_params"])["maxIter"] == 6
     summary.write.parquet(str(tmp_path / "summary"))
     cells.write.parquet(str(tmp_path / "cells"))
     command.main(["--root", str(tmp_path / "out"), "score", "--summary", str(tmp_path / "summary"), "--ap-cells", str(tmp_path / "cells"), "--model", path])
