@@ -138,50 +138,57 @@ def valid_degrees(lon: Column, lat: Column) -> Column:
 _SRID_BIT, _POINT_CODE = 0x20, 1
 
 
-def _bytes_in_order(hex_text: Column, start, size: int, little: Column) -> Column:
-    """``size`` bytes of hex from 1-based ``start``, most significant byte first."""
+def _word(v: Column, start: Column | int, size: int) -> Column:
+    """``size`` bytes of ``v.text`` from 1-based ``start``, most significant byte first."""
     start = F.lit(start) if isinstance(start, int) else start
-    pairs = [F.substring(hex_text, start + 2 * i, F.lit(2)) for i in range(size)]
-    return F.when(little, F.concat(*reversed(pairs))).otherwise(F.concat(*pairs))
+    pairs = [F.substring(v["text"], start + 2 * i, F.lit(2)) for i in range(size)]
+    return F.when(v["little"], F.concat(*reversed(pairs))).otherwise(F.concat(*pairs))
 
 
-def _double_from_hex(word: Column) -> Column:
-    """IEEE 754 value of 16 hex characters, in plain arithmetic; NULL for infinities and NaN."""
-    head = F.conv(F.substring(word, 1, 3), 16, 10).cast("int")
-    fraction = F.conv(F.substring(word, 4, 13), 16, 10).cast("bigint").cast("double") / F.lit(2.0**52)
-    sign = F.when(head >= 2048, -1.0).otherwise(1.0)
-    exponent = head % 2048
-    normal = (F.lit(1.0) + fraction) * F.pow(F.lit(2.0), exponent - 1023)
-    tiny = fraction * F.lit(2.0**-1022)
+def _double_from_parts(v: Column) -> Column:
+    """IEEE 754 value in plain arithmetic; NULL for infinities and NaN."""
+    sign = F.when(v["head"] >= 2048, -1.0).otherwise(1.0)
+    exponent = v["head"] % 2048
+    normal = (F.lit(1.0) + v["fraction"]) * F.pow(F.lit(2.0), exponent - 1023)
+    tiny = v["fraction"] * F.lit(2.0**-1022)
     return F.when(exponent == 2047, F.lit(None).cast("double")).otherwise(
         sign * F.when(exponent == 0, tiny).otherwise(normal)
     )
 
 
+def _double_from_word(word: Column) -> Column:
+    head = F.conv(F.substring(word, 1, 3), 16, 10).cast("int")
+    fraction = F.conv(F.substring(word, 4, 13), 16, 10).cast("bigint").cast("double") / F.lit(2.0**52)
+    return _named(F.struct(head.alias("head"), fraction.alias("fraction")), _double_from_parts)
+
+
 def wkb_point(col: Column) -> Column:
-    """``struct<lon,lat>`` of a well-known-binary point given as hex text or bytes; NULL if it is not one."""
-    hex_text = F.upper(F.hex(F.unhex(col)))
-    return _wkb_point_from_hex(hex_text)
+    """``struct<lon,lat>`` of a well-known-binary point given as hex text; NULL if it is not one."""
+    return wkb_point_from_bytes(F.unhex(col))
 
 
 def wkb_point_from_bytes(col: Column) -> Column:
-    return _wkb_point_from_hex(F.hex(col))
-
-
-def _wkb_point_from_hex(hex_text: Column) -> Column:
-    little = F.substring(hex_text, 1, 2) == "01"
-    type_word = _bytes_in_order(hex_text, 3, 4, little)
-    flags = F.conv(F.substring(type_word, 1, 2), 16, 10).cast("int")
-    code = F.conv(F.substring(type_word, 3, 6), 16, 10).cast("int") % 1000
-    start = F.when(flags.bitwiseAND(F.lit(_SRID_BIT)) != 0, 19).otherwise(11)
-    lon = _double_from_hex(_bytes_in_order(hex_text, start, 8, little))
-    lat = _double_from_hex(_bytes_in_order(hex_text, start + 16, 8, little))
-    usable = (
-        F.substring(hex_text, 1, 2).isin("00", "01")
-        & (F.length(hex_text) >= 10)
-        & (code == _POINT_CODE)
-        & (F.length(hex_text) >= start + 31)
-        & lon.isNotNull()
-        & lat.isNotNull()
+    """The same for a binary column."""
+
+    def header(v: Column) -> Column:
+        kind = _word(v, 3, 4)
+        flags = F.conv(F.substring(kind, 1, 2), 16, 10).cast("int")
+        code = F.conv(F.substring(kind, 3, 6), 16, 10).cast("int") % 1000
+        start = F.when(flags.bitwiseAND(F.lit(_SRID_BIT)) != 0, 19).otherwise(11)
+        return F.struct(v["text"].alias("text"), v["little"].alias("little"), code.alias("code"), start.alias("start"))
+
+    def ordinates(v: Column) -> Column:
+        usable = (v["code"] == _POINT_CODE) & (F.length(v["text"]) >= v["start"] + 31)
+        lon, lat = (F.when(usable, _word(v, v["start"] + 16 * i, 8)) for i in (0, 1))
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+    def degrees(v: Column) -> Column:
+        return F.struct(_double_from_word(v["lon"]).alias("lon"), _double_from_word(v["lat"]).alias("lat"))
+
+    text = F.hex(col)
+    begun = F.when(
+        F.substring(text, 1, 2).isin("00", "01") & (F.length(text) >= 10),
+        F.struct(text.alias("text"), (F.substring(text, 1, 2) == "01").alias("little")),
     )
-    return F.when(usable, F.struct(lon.alias("lon"), lat.alias("lat")))
+    point = _named(_named(_named(begun, header), ordinates), degrees)
+    return _named(point, lambda p: F.when(p["lon"].isNotNull() & p["lat"].isNotNull(), p))

@@ -39,13 +39,13 @@ def test_comma_file_with_korean_text(spark, tmp_path):
 
 def test_tree_of_files_mixed_code_pages_and_column_orders(spark, tmp_path):
     (tmp_path / "x" / "y").mkdir(parents=True)
-    (tmp_path / "x" / "f_age_1.csv").write_bytes("id|nm|v\n1|여수|1\n".encode("utf-8"))
+    (tmp_path / "x" / "f_age_1.csv").write_bytes("id|nm|v\n1|서울|1\n".encode("utf-8"))
     (tmp_path / "x" / "y" / "f_age_2.csv").write_bytes("id|nm|v\n2|순천|2\n".encode("cp949"))
     (tmp_path / "x" / "f_age_3.csv").write_bytes("v|extra|id\n3|q|3\n".encode("utf-8"))
     (tmp_path / "x" / "other.csv").write_bytes(b"id|nm|v\n9|no|9\n")
     found = files.read_delimited_tree(spark, str(tmp_path), "*age*.csv", NAMES)
     assert sorted(map(tuple, found.na.fill({"nm": "-"}).collect())) == [
-        ("1", "여수", 1.0),
+        ("1", "서울", 1.0),
         ("2", "순천", 2.0),
         ("3", "-", 3.0),
     ]
