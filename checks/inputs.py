@@ -154,7 +154,7 @@ FROM part"""
 
 # Flow beside the access-point summary: the cells and January 2024 hours of AP_SUMMARY, two types.
 FLOW_SLOTS_RAW = """
-SELECT cast(10000000 + o_custkey % 12 AS string) AS id,
+SELECT cast(10000000 + o_custkey % 15 AS string) AS id,
   CASE WHEN o_orderkey % 2 = 0 THEN 'resident' ELSE 'visitor' END AS type,
   cast(o_orderkey % 24 AS string) AS timezn_cd, concat('202401', lpad(cast(1 + o_orderkey % 31 AS string), 2, '0')) AS etl_ymd,
   CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE cast(floor(o_totalprice / 1000) AS double) END AS total,

@@ -207,13 +207,13 @@ def recent_slots_by_text_day(spark, sf_dir):
 @query(
     "text_contains_and_range",
     """
-SELECT p_partkey, p_name, p_size FROM part WHERE contains(p_name, '1') AND p_size BETWEEN 10 AND 40 AND p_brand = 'Brand#1'
-UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE contains(p_type, 'BRASS') AND p_size BETWEEN 1 AND 25""",
+SELECT p_partkey, p_name, p_size FROM part WHERE contains(p_name, 'ring') AND p_size BETWEEN 10 AND 40 AND p_brand = 'Brand#1'
+UNION ALL SELECT p_partkey, p_name, p_size FROM part WHERE contains(p_type, 'ECO') AND p_size BETWEEN 1 AND 25""",
 )
 def text_contains_and_range(spark, sf_dir):
     part = I.derived(spark, sf_dir, "SELECT * FROM part")
-    first = part.filter(F.col("p_name").contains("1") & F.col("p_size").between(10, 40) & (F.col("p_brand") == "Brand#1"))
-    second = part.filter(F.col("p_type").contains("BRASS") & F.col("p_size").between(1, 25))
+    first = part.filter(F.col("p_name").contains("ring") & F.col("p_size").between(10, 40) & (F.col("p_brand") == "Brand#1"))
+    second = part.filter(F.col("p_type").contains("ECO") & F.col("p_size").between(1, 25))
     return shape.stack_frames([first, second]).select("p_partkey", "p_name", "p_size")
 
 
