@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks.registry import query
-from checks.sensor_queries import cell_counts_of, slot_text, training_of, with_slot_text
+from checks.sensor_queries import CELL_COUNTS, FLOW_SLOTS, slot_text, training_of, with_slot_text
 from citypulse.ml import model
 from citypulse.ml.quantile import QuantileToNormal
 from citypulse.session import prepare, shared_dir
@@ -53,15 +53,37 @@ def split_is_whole_and_disjoint(spark, sf_dir):
     )
 
 
-@query("encoded_features")
+TRAINING = f"""
+SELECT c.grid_id, c.std_date, c.acs_cnt, f.total, dayname(c.std_date) AS dayname, hour(c.std_date) AS hour,
+  cast(dayname(c.std_date) IN ('Friday', 'Saturday', 'Sunday') AS integer) AS weekend
+FROM ({CELL_COUNTS}) c JOIN ({FLOW_SLOTS}) f ON c.grid_id = f.grid_id AND c.std_date = f.std_date
+WHERE f.total IS NOT NULL AND f.admi_cd IS NOT NULL"""
+
+
+@query(
+    "encoded_features",
+    f"""
+WITH t AS ({TRAINING}), k AS (SELECT * FROM t WHERE total <= (SELECT quantile_cont(total, 0.995) FROM t)),
+s AS (SELECT avg(acs_cnt) AS am, stddev_samp(acs_cnt) AS sd, avg(hour) AS hm, stddev_samp(hour) AS hs FROM k)
+SELECT grid_id, strftime(std_date, '%Y-%m-%d %H:%M:%S') AS std_date,
+  cast(dense_rank() OVER (ORDER BY dayname) - 1 AS double) AS dayname_encoded,
+  round((acs_cnt - am) / sd, 5) AS acs_scaled, round((hour - hm) / hs, 5) AS hour_scaled, 0.0::double AS month_scaled,
+  cast(1 - weekend AS double) AS weekday_hot, cast(weekend AS double) AS weekend_hot FROM k CROSS JOIN s""",
+)
 def encoded_features(spark, sf_dir):
     rows = _rows(spark, sf_dir)
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     prepared = Pipeline(stages=[model.day_index(), *model.scaled_features()]).fit(rows).transform(rows)
-    return prepared.select(
-        "grid_id", slot_text("std_date").alias("std_date"), "dayname_encoded", vector_to_array("features").alias("features")
+    names = ["acs_scaled", "hour_scaled", "month_scaled", "weekday_hot", "weekend_hot"]
+    features = prepared.withColumn("_f", vector_to_array("features"))
+    # The data are of one month, so the scaled month is 0 for every row.
+    return features.select(
+        "grid_id",
+        slot_text("std_date").alias("std_date"),
+        "dayname_encoded",
+        *[F.round(F.col("_f")[i], 5).alias(n) for i, n in enumerate(names)],
     )
 
 
