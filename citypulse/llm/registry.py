@@ -1,0 +1,24 @@
+"""Queries of this subpackage and their oracle SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query; one without ``sql`` is tested against brute force in ``tests/llm``."""
+
+    def register(build: Query) -> Query:
+        QUERIES[name] = build
+        if sql is not None:
+            ORACLE[name] = sql
+        return build
+
+    return register
