@@ -1,6 +1,9 @@
 """All registered queries of this subpackage."""
 
-from citypulse.llm import secrets  # noqa: F401  (register)
+from citypulse.llm import (  # noqa: F401  (register)
+    pieces,
+    secrets,
+)
 from citypulse.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
