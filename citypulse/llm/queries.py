@@ -4,6 +4,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     contamination,
     jaccard,
     language,
+    passages,
     pieces,
     secrets,
 )
