@@ -235,8 +235,8 @@ TOKENS = {"ids": pa.list_(pa.int32()), "decoded": pa.string()}
 
 
 def tokenized(docs: DataFrame, model: bytes, text: str = "text", outputs: str = "tokens") -> DataFrame:
-    """Encode and decode a column. ``outputs``: ``tokens`` adds ids and decoded, ``digests`` their count and hashes."""
-    new = TOKENS if outputs == "tokens" else DIGESTS
+    """Encode and decode a column. ``outputs``: ``tokens`` adds ids and decoded, ``digests`` their count and hashes, ``all`` both."""
+    new = {**(TOKENS if outputs != "digests" else {}), **(DIGESTS if outputs != "tokens" else {})}
     kept = docs.drop(*new)
     spark_types = {"ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType()}
     schema = T.StructType([*kept.schema.fields, *(T.StructField(c, spark_types.get(c, T.StringType())) for c in new)])
@@ -249,7 +249,8 @@ def tokenized(docs: DataFrame, model: bytes, text: str = "text", outputs: str =
             for value in batch.column(batch.schema.get_field_index(text)):
                 ids, joined = enc.encode(value.as_py() or "")
                 back = enc.decode(ids)
-                rows.append((ids, back) if outputs == "tokens" else (len(ids), _sha(joined), _sha(back)))
+                full = (ids, back) if outputs != "digests" else ()
+                rows.append(full if outputs == "tokens" else (*full, len(ids), _sha(joined), _sha(back)))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(new.values())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *new])
 

@@ -132,6 +132,21 @@ def findings(versions: DataFrame, found: DataFrame, rules: tuple[Rule, ...] = RU
     )
 
 
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with a mask in place of each run of touching spans. ``spans`` as ``findings`` gives them."""
+    begin = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
+
+    def put(state: Column, span: Column) -> Column:
+        clear = span["start"] >= state["at"]
+        piece = F.concat(F.substring(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mask))
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(clear, F.concat(state["parts"], F.array(piece))).otherwise(state["parts"]).alias("parts"),
+        )
+
+    return F.aggregate(spans, begin, put, lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+
+
 _BASE_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS (
