@@ -6,6 +6,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     language,
     passages,
     pieces,
+    scoring,
     secrets,
 )
 from citypulse.llm.registry import ORACLE, QUERIES
