@@ -8,6 +8,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     pieces,
     scoring,
     secrets,
+    vectors,
 )
 from citypulse.llm.registry import ORACLE, QUERIES
 
