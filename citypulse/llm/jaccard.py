@@ -10,11 +10,8 @@ cost: index rows against expected false candidates, from the number of sets in t
 segments more than needed let each set skip as many of its smallest ones when it looks for others.
 
 Candidates meet in buckets of equal segment content. A parity sketch bounds from below in how many
-elements two sets differ, and what it cannot exclude is verified on the words themselves. Only
-the edges of a spanning forest of each bucket are verified first; then, all remaining candidates
-between sets that are still apart. So no group of copies is expanded into its pairs and no link
-between components is lost. Equal sets are one class from the start. Large buckets are dealt out in
-blocks.
+elements two sets differ, and what it cannot exclude is verified on the words themselves; see
+``buckets`` for how a group of copies is linked without all its pairs. Equal sets are one class.
 
 Defined results: a null or empty text, or one without words, has an empty set and no link; a text
 of fewer words than a shingle is one shingle; repeated rows of one doc_id are one document whose
@@ -30,18 +27,17 @@ from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm.components import components
+from citypulse.llm import buckets
 from citypulse.llm.registry import query
 from citypulse.llm.storage import stored, table
 from citypulse.llm.words import U64, gram_starts, grams, mix, slices, words
 
-#: Ratio of the sizes in a band, bits of a sketch per element, members of a block of a large bucket.
-BAND, SKETCH_BITS, BLOCK = 1.5, 2, 1500
+#: Ratio of the sizes in a band, bits of a sketch per element.
+BAND, SKETCH_BITS = 1.5, 2
 #: Share of their elements that unrelated sets are expected to have in common, for the costs.
 UNRELATED = 0.2
 
@@ -176,11 +172,11 @@ def signatures(s: Sets, k: int, band: Band, rows: np.ndarray) -> tuple[np.ndarra
         smallest = np.argsort(single, axis=1, kind="stable")[:, : band.spare] + band.deletions
         looks[np.arange(len(rows))[:, None], smallest] = False
     owner = np.repeat(np.arange(len(rows)), band.segments)
-    out = [(owner, whole, looks.ravel().astype(np.int8) + np.int8(2))]
+    out = [(owner, whole, looks.ravel().astype(np.int32) + np.int32(2 + 4 * k))]
     if band.deletions:
         at = np.flatnonzero(segment < band.deletions)
         less = mix(total[cell[at]] - inner[at] + name[cell[at]])
-        out.append((own[at], less, np.ones(len(at), np.int8)))
+        out.append((own[at], less, np.full(len(at), 1 + 4 * k, np.int32)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -206,7 +202,7 @@ def _index(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> Da
                     owner, signature, flags = signatures(s, k, kinds[k], rows)
                     yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(h1[rows][owner].view(np.int64)), pa.array(flags)], ["sig", "h1", "flags"])
 
-    return docs.mapInArrow(index, "sig long, h1 long, flags byte")
+    return docs.mapInArrow(index, buckets.MEMBERS)
 
 
 def _sketched(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> DataFrame:
@@ -225,60 +221,34 @@ def _sketched(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) ->
     return docs.mapInArrow(sketch, "class long, band int, n long, sketch binary")
 
 
-PAIR = "a long, b long"
-
-
-def _candidates(share: Fraction, forest: bool):  # noqa: ANN202
-    """Function on the members of one block of a bucket: edges of a spanning forest of its candidates, or all of them."""
-
-    def find(rows: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for _, own in rows.groupby("band"):
-            found += _within(own, share, forest)
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    return find
-
-
-def _within(rows: pd.DataFrame, share: Fraction, forest: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-    rows = rows.drop_duplicates(["class", "flags"])
-    ids, comp, n, flags = (rows[c].to_numpy() for c in ("class", "component", "n", "flags"))
-    if len(ids) < 2 or (comp == comp[0]).all():
-        return []
-    sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(ids), -1)
-    root = {c: c for c in comp.tolist()}
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out, step = [], max(1, (1 << 22) // (len(ids) * sketch.shape[1]))
-    for i in range(0, len(ids), step):
-        part = slice(i, min(i + step, len(ids)))
-        apart = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
-        most = (n[part, None] + n[None, :]) * (share.denominator - share.numerator) // (share.denominator + share.numerator)
-        fits = (apart <= most) & (comp[part, None] != comp[None, :])
-        # One of the two looks here, and one stands with its whole segment.
-        fits &= ((flags[part, None] | flags[None, :]) & 3) == 3
-        fits &= np.minimum(n[part, None], n[None, :]) * share.denominator >= np.maximum(n[part, None], n[None, :]) * share.numerator
-        x, y = np.nonzero(fits)
-        x += i
-        half = ids[x] < ids[y]
-        x, y = x[half], y[half]
-        if forest:
-            order = np.argsort(apart[x - i, y], kind="stable")
-            keep = []
-            for p, q in zip(x[order].tolist(), y[order].tolist(), strict=True):
-                r, s = top(comp[p]), top(comp[q])
-                if r != s:
-                    root[max(r, s)] = min(r, s)
-                    keep.append((p, q))
-            x, y = (np.array(v, int) for v in zip(*keep, strict=True)) if keep else (np.zeros(0, int), np.zeros(0, int))
-        out.append((ids[x], ids[y]))
-    return out
+def _excluding(share: Fraction):  # noqa: ANN202
+    """Test of pairs by their sizes and by the parity sketches, whose distance is never above that of the sets."""
+
+    def prepare(batch: pa.RecordBatch) -> buckets.Test:
+        n = batch.column(5).to_numpy()
+        sketch = batch.column(6)
+        width = np.diff(np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset : sketch.offset + len(sketch) + 1])
+        by_width, place = {}, np.zeros(len(width), np.int64)
+        for w in np.unique(width).tolist():
+            rows = np.flatnonzero(width == w)
+            by_width[w] = np.frombuffer(b"".join(sketch.take(pa.array(rows)).to_pylist()), np.uint64).reshape(len(rows), -1)
+            place[rows] = np.arange(len(rows))
+
+        def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            a, b = n[i], n[j]
+            out = np.minimum(a, b) * share.denominator >= np.maximum(a, b) * share.numerator
+            most = (a + b) * (share.denominator - share.numerator) // (share.denominator + share.numerator)
+            for w in np.unique(width[i]).tolist():
+                at = np.flatnonzero((width[i] == w) & out)
+                for k in range(0, len(at), 1 << 16):
+                    own = at[k : k + (1 << 16)]
+                    apart = np.bitwise_count(by_width[w][place[i[own]]] ^ by_width[w][place[j[own]]]).sum(axis=1, dtype=np.int64)
+                    out[own] = apart <= most[own]
+            return out
+
+        return test
+
+    return prepare
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, share: Fraction) -> DataFrame:
@@ -303,18 +273,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, share: Fraction) ->
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(verify, PAIR)
-
-
-def _apart(members: DataFrame, classes: DataFrame, linked: DataFrame | None) -> DataFrame:
-    """Members of the buckets that still hold more than one component."""
-    where = members.join(classes, "class")
-    if linked is None:
-        where = where.withColumn("component", F.col("class"))
-    else:
-        where = where.join(linked.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = where.groupBy("sig").agg(F.min("component").alias("l"), F.max("component").alias("m")).filter("l <> m").select("sig")
-    return where.join(mixed, "sig", "left_semi")
+    return both.mapInArrow(verify, buckets.PAIR)
 
 
 def similar(docs: DataFrame, share: Fraction = Fraction(4, 5), size: int = 5, doc: str = "doc_id", text: str = "text", unrelated: float = UNRELATED) -> DataFrame:
@@ -331,75 +290,18 @@ def similar(docs: DataFrame, share: Fraction = Fraction(4, 5), size: int = 5, do
 
     # Buckets of two sets or more. The class of a hash comes in once the lonely signatures are gone.
     index = _index(docs, size, kinds, share).repartition("sig").sortWithinPartitions("sig", "h1")
-    members = index.mapInArrow(_shared, "sig long, h1 long, flags byte")
+    members = index.mapInArrow(buckets.shared, buckets.MEMBERS)
     members = stored(members.join(classes.select("h1", "class"), "h1").select("sig", "class", "flags").distinct(), "members")
     wanted = stored(members.select("class").distinct(), "wanted")
     texts = docs.withColumnRenamed("doc_id", "class").join(wanted, "class", "left_semi")
     texts = stored(texts.groupBy("class").agg(F.min("text").alias("text")), "texts")
     sketched = stored(_sketched(texts, size, kinds, share), "sketches")
-    placed = sketched.join(classes.select("class"), "class", "left_semi")
-
-    sized = members.groupBy("sig").count()
-    largest = sized.agg(F.max("count")).first()[0] or 0
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    tested: DataFrame | None = None
-    links: DataFrame | None = None
-    linked: DataFrame | None = None
-    # A bucket of one block is done at once; a larger one is dealt out anew a few times, until nearly all is linked.
-    for turn in range(1 if largest <= BLOCK else 4):
-        apart = _apart(members, placed, linked)
-        dealt = apart.join(sized, "sig").withColumn("block", F.pmod(F.xxhash64("class", F.lit(turn)), blocks))
-        pairs = dealt.groupBy("sig", "block").applyInPandas(_candidates(share, forest=True), PAIR)
-        tested, links, linked = _tested(pairs, texts, size, share, tested, links)
-    # Whatever is still apart meets all others of its bucket. The largest component of a bucket is
-    # dealt out once, the others to every block.
-    apart = stored(_apart(members, placed, linked), "apart")
-    counts = apart.groupBy("sig", "component").count().groupBy("sig").agg(F.max(F.struct("count", "component")).alias("c"), F.sum("count").alias("count"))
-    dealt = apart.join(counts, "sig").withColumn("own", F.pmod(F.xxhash64("class"), blocks).cast("int"))
-    everywhere = F.col("component") != F.col("c.component")
-    dealt = dealt.withColumn("block", F.explode(F.when(everywhere, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array("own"))))
-    pairs = dealt.groupBy("sig", "block").applyInPandas(_candidates(share, forest=False), PAIR)
-    _, _, linked = _tested(pairs, texts, size, share, tested, links)
+    linked = buckets.linked(members, sketched, _excluding(share), lambda pairs: _verified(pairs, texts, size, share))
     by_class = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     out = digests.join(by_class, ["n_shingles", "h1", "h2"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _tested(pairs: DataFrame, texts: DataFrame, size: int, share: Fraction, tested: DataFrame | None, links: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    new = pairs.distinct()
-    if tested is not None:
-        new = new.join(tested, ["a", "b"], "left_anti")
-    new = stored(new, "pairs")
-    found = stored(_verified(new, texts, size, share), "links")
-    tested = new if tested is None else tested.unionByName(new)
-    links = found if links is None else links.unionByName(found)
-    return tested, links, components(links)
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by signature, those whose signature comes with more than one class and is looked for."""
-    rest: pa.RecordBatch | None = None
-    for batch in batches:
-        if rest is not None:
-            batch = pa.concat_batches([rest, batch])
-        sig = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(sig, sig[-1])) if len(sig) else 0
-        rest = batch.slice(cut)
-        if cut:
-            yield _multiple(batch.slice(0, cut))
-    if rest is not None and rest.num_rows:
-        yield _multiple(rest)
-
-
-def _multiple(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sig, h1, flags = (batch.column(k).to_numpy() for k in range(3))
-    first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-    size = np.diff(np.r_[first, len(sig)])
-    mixed = np.maximum.reduceat(h1, first) != np.minimum.reduceat(h1, first)
-    mixed &= np.bitwise_or.reduceat(flags, first) & 3 == 3
-    return batch.filter(pa.array(np.repeat(mixed, size)))
-
-
 @query("op10_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are similar to nine tenths."""

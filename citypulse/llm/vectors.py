@@ -25,13 +25,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm import buckets
-from citypulse.llm.jaccard import _shared
 from citypulse.llm.registry import query
 from citypulse.llm.storage import stored, table
 
@@ -68,7 +66,7 @@ def units(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _keys(vectors: DataFrame, bits: int, keys: int) -> DataFrame:
-    """(sig, class, 3) for each key; the last is the flag of rows that look for others."""
+    """(sig, class, flags) for each key: all rows look for others and are whole."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.int64(1) << np.arange(bits, dtype=np.int64)
@@ -86,12 +84,12 @@ def _keys(vectors: DataFrame, bits: int, keys: int) -> DataFrame:
                     # The key also tells which one it is, and the length of the vectors.
                     with np.errstate(over="ignore"):
                         sig = (code ^ np.int64(k * 1_000_003 + dim)) * np.int64(-7046029254386353131) + np.int64(k)
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), own, pa.array(np.full(len(rows), 3, np.int8))], ["sig", "h1", "flags"])
+                    yield pa.RecordBatch.from_arrays([pa.array(sig), own, pa.array(np.full(len(rows), 3, np.int32))], ["sig", "h1", "flags"])
 
-    return vectors.mapInArrow(sign, "sig long, h1 long, flags byte")
+    return vectors.mapInArrow(sign, buckets.MEMBERS)
 
 
-CODES = "class long, dim int, signs binary, factor double, rounded binary, low double, step double, moved double"
+CODES = "class long, band int, dim int, signs binary, factor double, rounded binary, low double, step double, moved double"
 
 
 def coded(v: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,42 +114,51 @@ def _codes(vectors: DataFrame) -> DataFrame:
                 signs, factor, rounded, low, step, moved = coded(v)
                 packed = np.packbits(signs, axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), v.shape[1], np.int32)), pa.array([s.tobytes() for s in packed], pa.binary()), pa.array(factor), pa.array([r.tobytes() for r in rounded], pa.binary()), pa.array(low), pa.array(step), pa.array(moved)],
+                    [batch.column(0).take(pa.array(rows)), pa.array(np.zeros(len(rows), np.int32)), pa.array(np.full(len(rows), v.shape[1], np.int32)), pa.array([s.tobytes() for s in packed], pa.binary()), pa.array(factor), pa.array([r.tobytes() for r in rounded], pa.binary()), pa.array(low), pa.array(step), pa.array(moved)],
                     [c.split()[0] for c in CODES.split(", ")],
                 )
 
     return vectors.mapInArrow(code, CODES)
 
 
-def estimates(signs: np.ndarray, factor: np.ndarray, rounded: np.ndarray, low: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """Estimated inner product of each coded vector (rows) with each rounded one (columns)."""
-    dim = signs.shape[1]
-    unit = np.where(signs, 1.0, -1.0) / math.sqrt(dim)
-    return unit @ (low[:, None] + rounded * step[:, None]).T / factor[:, None]
+def estimates(signs: np.ndarray, factor: np.ndarray, rounded: np.ndarray) -> np.ndarray:
+    """Estimated inner products of coded vectors with rounded ones, row by row."""
+    unit = np.where(signs, 1.0, -1.0) / math.sqrt(signs.shape[1])
+    return np.einsum("ij,ij->i", unit, rounded) / factor
 
 
-def bounds(factor: np.ndarray, moved: np.ndarray, least: float) -> np.ndarray:
+def lowest(factor: np.ndarray, moved: np.ndarray, least: float) -> np.ndarray:
     """The lowest estimate that a pair at or above the threshold can have."""
-    return least - np.sqrt(np.maximum(1 - factor**2, 0))[:, None] / factor[:, None] * math.sqrt(1 - least**2) - moved[None, :] / factor[:, None] - 1e-9
+    return least - np.sqrt(np.maximum(1 - factor**2, 0)) / factor * math.sqrt(1 - least**2) - moved / factor - 1e-9
 
 
-def _candidates(least: float) -> buckets.Candidates:
-    def find(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        for dim, own in rows.reset_index(drop=True).groupby("dim"):
-            at = own.index.to_numpy()
-            signs = np.unpackbits(np.frombuffer(b"".join(own["signs"]), np.uint8).reshape(len(at), -1), axis=1)[:, : int(dim)].astype(bool)
-            rounded = np.frombuffer(b"".join(own["rounded"]), np.uint8).reshape(len(at), -1)
-            factor, low, step, moved, component = (own[c].to_numpy() for c in ("factor", "low", "step", "moved", "component"))
-            estimate = estimates(signs, factor, rounded, low, step)
-            fits = (estimate >= bounds(factor, moved, least)) & (component[:, None] != component[None, :])
-            i, j = np.nonzero(np.triu(fits & fits.T, 1))
-            found.append((at[i], at[j], estimate[i, j]))
-        i, j, estimate = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(-estimate, kind="stable")
-        return i[order], j[order]
+def _excluding(least: float):  # noqa: ANN202
+    """Test of pairs by the estimates of each one's code for the other."""
 
-    return find
+    def prepare(batch: pa.RecordBatch) -> buckets.Test:
+        dims = batch.column(5).to_numpy()
+        factor, low, step, moved = (batch.column(k).to_numpy() for k in (7, 9, 10, 11))
+        signs, rounded, place = {}, {}, np.zeros(len(dims), np.int64)
+        for dim in np.unique(dims).tolist():
+            rows = np.flatnonzero(dims == dim)
+            own, near = (b"".join(batch.column(k).take(pa.array(rows)).to_pylist()) for k in (6, 8))
+            signs[dim] = np.unpackbits(np.frombuffer(own, np.uint8).reshape(len(rows), -1), axis=1)[:, :dim].astype(bool)
+            rounded[dim] = low[rows][:, None] + np.frombuffer(near, np.uint8).reshape(len(rows), dim) * step[rows][:, None]
+            place[rows] = np.arange(len(rows))
+
+        def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            out = dims[i] == dims[j]
+            for dim in np.unique(dims[i]).tolist():
+                at = np.flatnonzero((dims[i] == dim) & out)
+                for k in range(0, len(at), 1 << 14):
+                    own = at[k : k + (1 << 14)]
+                    for x, y in ((i[own], j[own]), (j[own], i[own])):
+                        out[own] &= estimates(signs[dim][place[x]], factor[x], rounded[dim][place[y]]) >= lowest(factor[x], moved[y], least)
+            return out
+
+        return test
+
+    return prepare
 
 
 def _exact(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -200,9 +207,9 @@ def near_duplicates(table_: DataFrame, least: float = 0.95, key: str = "vec_id",
     vectors = classes.select("class", "vector")
     bits, keys = keys_for(classes.count(), least)
     sorted_keys = _keys(vectors, bits, keys).repartition("sig").sortWithinPartitions("sig", "h1")
-    members = stored(sorted_keys.mapInArrow(_shared, "sig long, h1 long, flags byte").select("sig", F.col("h1").alias("class")), "members")
+    members = stored(sorted_keys.mapInArrow(buckets.shared, buckets.MEMBERS).select("sig", F.col("h1").alias("class"), "flags"), "members")
     codes = stored(_codes(vectors), "codes")
-    linked = stored(buckets.linked(members, codes, _candidates(least), lambda pairs: _exact(pairs, vectors, least)), "linked")
+    linked = stored(buckets.linked(members, codes, _excluding(least), lambda pairs: _exact(pairs, vectors, least)), "linked")
     in_component = classes.join(linked.withColumnRenamed("node", "class"), "class")
     links = stored(_counted(in_component, least), "links")
     by_class = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").join(links, "class", "left")
