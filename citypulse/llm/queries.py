@@ -2,6 +2,7 @@
 
 from citypulse.llm import (  # noqa: F401  (register)
     contamination,
+    html,
     jaccard,
     language,
     passages,
