@@ -13,7 +13,7 @@ Counts never come to one place. Documents are packed in chunks. A chunk
 asks for its distinct tokens or pairs, dealt out by hash; each shard adds up and answers in the
 order asked. So a token that is everywhere has one entry a chunk. Tokens are told apart by 64-bit
 hashes of their bytes. For the weights each shard counts held-out pairs in cells (bucket, and both
-frequencies in steps of a sixteenth of a power of two), and only these counts, whose number does not
+frequencies in steps of a quarter of a power of two), and only these counts, whose number does not
 grow with the corpus, reach the driver.
 
 Defined results: a null or empty text is the end token alone; repeated rows are documents of their own,
@@ -40,7 +40,7 @@ from citypulse.llm.storage import stored, table
 from citypulse.llm.words import U64, join, mix, slices, words
 
 #: Text of a chunk, entries of a shard, steps of a power of two, rounds of expectation-maximisation.
-CHUNK_BYTES, SHARD_ENTRIES, STEPS, ROUNDS = 16 << 20, 600_000, 16, 60
+CHUNK_BYTES, SHARD_ENTRIES, STEPS, ROUNDS = 16 << 20, 600_000, 4, 60
 END = mix(np.array([2**40 + 1], U64))
 PACKED = "chunk long, size long, docs binary"
 
