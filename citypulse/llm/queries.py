@@ -9,6 +9,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     pieces,
     scoring,
     secrets,
+    tokencount,
     vectors,
 )
 from citypulse.llm.registry import ORACLE, QUERIES
