@@ -131,7 +131,7 @@ def _recurring(entries: DataFrame) -> DataFrame:
         order = np.argsort(chunk, kind="stable")
         hashes, least, chunk = hashes[order], least[order], chunk[order]
         cut = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]) if len(chunk) else np.zeros(0, int)
-        ends = np.r_[cut[1:], len(chunk)]
+        ends = np.r_[cut[1:], len(chunk)][: len(cut)]
         return pa.table(
             {
                 "chunk": pa.array(chunk[cut], pa.int32()),
