@@ -289,8 +289,7 @@ def similar(docs: DataFrame, share: Fraction = Fraction(4, 5), size: int = 5, do
     classes = stored(digests.filter("n_shingles > 0").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("class")), "classes")
 
     # Buckets of two sets or more. The class of a hash comes in once the lonely signatures are gone.
-    index = _index(docs, size, kinds, share).repartition("sig").sortWithinPartitions("sig", "h1")
-    members = index.mapInArrow(buckets.shared, buckets.MEMBERS)
+    members = buckets.shared(_index(docs, size, kinds, share))
     members = stored(members.join(classes.select("h1", "class"), "h1").select("sig", "class", "flags").distinct(), "members")
     wanted = stored(members.select("class").distinct(), "wanted")
     texts = docs.withColumnRenamed("doc_id", "class").join(wanted, "class", "left_semi")

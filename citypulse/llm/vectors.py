@@ -193,7 +193,9 @@ def _counted(members: DataFrame, least: float) -> DataFrame:
         near = (v[left] @ v[~left].T >= least) & (ids[left][:, None] != ids[~left][None, :])
         return pa.table({"class": pa.array(ids[left]), "links": pa.array((near * copies[~left]).sum(axis=1))})
 
-    parts = counted_for.unionByName(counted).groupBy("component", "i", "j").applyInArrow(count, "class long, links long")
+    # Dealt out by block: by component alone, a large one would be one task.
+    cells = counted_for.unionByName(counted).repartition("component", "i", "j")
+    parts = cells.groupBy("component", "i", "j").applyInArrow(count, "class long, links long")
     return parts.groupBy("class").agg(F.sum("links").alias("links"))
 
 
@@ -206,8 +208,7 @@ def near_duplicates(table_: DataFrame, least: float = 0.95, key: str = "vec_id",
     classes = stored(rows.filter("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies")).select("class", "vector", "copies"), "classes")
     vectors = classes.select("class", "vector")
     bits, keys = keys_for(classes.count(), least)
-    sorted_keys = _keys(vectors, bits, keys).repartition("sig").sortWithinPartitions("sig", "h1")
-    members = stored(sorted_keys.mapInArrow(buckets.shared, buckets.MEMBERS).select("sig", F.col("h1").alias("class"), "flags"), "members")
+    members = stored(buckets.shared(_keys(vectors, bits, keys)).select("sig", F.col("h1").alias("class"), "flags"), "members")
     codes = stored(_codes(vectors), "codes")
     linked = stored(buckets.linked(members, codes, _excluding(least), lambda pairs: _exact(pairs, vectors, least)), "linked")
     in_component = classes.join(linked.withColumnRenamed("node", "class"), "class")
