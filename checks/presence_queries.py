@@ -9,12 +9,17 @@ from citypulse.operators import paths, presence
 from citypulse.operators.lookup import attach, unique_lookup
 
 IGNORED = ["view"]
-ONLY_PURCHASES = ["view", "click", "error", "signup"]
+NOTHING_IGNORED = ["no such event"]
 
 VISITS = f"""
 SELECT *, cast(logging_date AS date) AS access_date, strftime(logging_date, '%Y-%m') AS month FROM ({I.WIFI_LOG}) l
 WHERE event_name NOT IN ('view') OR event_name IS NULL"""
-PURCHASES = VISITS.replace("'view'", "'view', 'click', 'error', 'signup'")
+# The whole log, where a device is a user and a kind of event: runs of all lengths and all categories occur.
+KIND_LOG = f"""
+SELECT concat(client_mac_addr, '/', coalesce(event_name, '-')) AS client_mac_addr, logging_date, event_id, event_name, ap_id
+FROM ({I.WIFI_LOG}) w"""
+KINDS = f"""
+SELECT *, cast(logging_date AS date) AS access_date, strftime(logging_date, '%Y-%m') AS month FROM ({KIND_LOG}) l"""
 DAILY = f"""
 SELECT client_mac_addr, month, access_date, count(*) AS daily_count FROM ({VISITS}) v GROUP BY ALL"""
 
@@ -44,8 +49,8 @@ SELECT client_mac_addr, month, total_days, total_events, round(avg_daily, 6) AS
 FROM stats JOIN period USING (month) JOIN streak USING (client_mac_addr, month)"""
 
 
-def _visits(spark, sf_dir, ignored=IGNORED):
-    return presence.visits(I.derived(spark, sf_dir, I.WIFI_LOG), ignored)
+def _visits(spark, sf_dir, ignored=IGNORED, log=I.WIFI_LOG):
+    return presence.visits(I.derived(spark, sf_dir, log), ignored)
 
 
 def _places(spark, sf_dir):
@@ -53,14 +58,14 @@ def _places(spark, sf_dir):
     return aps.select(F.col("ap_id").alias("id"), F.col("lon_u").alias("lon"), F.col("lat_u").alias("lat"))
 
 
-def _placed_visits(spark, sf_dir, ignored=IGNORED):
+def _placed_visits(spark, sf_dir, ignored=IGNORED, log=I.WIFI_LOG):
     place = _places(spark, sf_dir).withColumnRenamed("id", "ap_id")
-    return attach(_visits(spark, sf_dir, ignored), place, ["ap_id"])
+    return attach(_visits(spark, sf_dir, ignored, log), place, ["ap_id"])
 
 
-@query("presence_stay_category", categories_sql(PURCHASES))
+@query("presence_stay_category", categories_sql(KINDS))
 def stay_category(spark, sf_dir):
-    rows = presence.stay_categories(_visits(spark, sf_dir, ONLY_PURCHASES))
+    rows = presence.stay_categories(_visits(spark, sf_dir, NOTHING_IGNORED, KIND_LOG))
     return rows.withColumn("avg_daily", F.round("avg_daily", 6))
 
 
@@ -141,11 +146,11 @@ def device_longest_streak(spark, sf_dir):
 SELECT client_mac_addr, month, strftime(min(access_date), '%Y-%m-%d') AS first_day,
   strftime(max(access_date), '%Y-%m-%d') AS last_day, count(*) AS run_days
 FROM (SELECT *, access_date - cast(row_number() OVER (PARTITION BY client_mac_addr, month ORDER BY access_date) AS integer) AS island
-  FROM (SELECT DISTINCT client_mac_addr, month, access_date FROM ({PURCHASES}) v) d) i
+  FROM (SELECT DISTINCT client_mac_addr, month, access_date FROM ({KINDS}) v) d) i
 GROUP BY client_mac_addr, month, island""",
 )
 def device_visit_runs(spark, sf_dir):
-    rows = presence.visit_runs(_visits(spark, sf_dir, ONLY_PURCHASES))
+    rows = presence.visit_runs(_visits(spark, sf_dir, NOTHING_IGNORED, KIND_LOG))
     return rows.select(
         "client_mac_addr",
         "month",
@@ -166,10 +171,10 @@ def month_days_with_data(spark, sf_dir):
     + ", ".join(
         f"nullif(count(*) FILTER (WHERE category = '{c}'), 0) AS \"{c}\"" for c in presence.STAY_CATEGORIES
     )
-    + f" FROM ({categories_sql(PURCHASES)}) c GROUP BY month",
+    + f" FROM ({categories_sql(KINDS)}) c GROUP BY month",
 )
 def stay_category_pivot(spark, sf_dir):
-    return presence.category_pivot(presence.stay_categories(_visits(spark, sf_dir, ONLY_PURCHASES)))
+    return presence.category_pivot(presence.stay_categories(_visits(spark, sf_dir, NOTHING_IGNORED, KIND_LOG)))
 
 
 @query(
@@ -189,13 +194,13 @@ def stats_with_streak(spark, sf_dir):
     "visits_by_category_and_place",
     f"""
 SELECT c.category, a.lon_u AS lon, a.lat_u AS lat, v.month, count(*) AS size
-FROM ({PURCHASES}) v JOIN ({I.AP_DIM}) a ON v.ap_id = a.ap_id
-JOIN ({categories_sql(PURCHASES)}) c ON v.client_mac_addr = c.client_mac_addr AND v.month = c.month
+FROM ({KINDS}) v JOIN ({I.AP_DIM}) a ON v.ap_id = a.ap_id
+JOIN ({categories_sql(KINDS)}) c ON v.client_mac_addr = c.client_mac_addr AND v.month = c.month
 WHERE a.lon_u IS NOT NULL AND c.category <> '{presence.ALWAYS_ON}' GROUP BY ALL""",
 )
 def visits_by_category_and_place(spark, sf_dir):
-    rows = _placed_visits(spark, sf_dir, ONLY_PURCHASES)
-    categories = presence.stay_categories(_visits(spark, sf_dir, ONLY_PURCHASES))
+    rows = _placed_visits(spark, sf_dir, NOTHING_IGNORED, KIND_LOG)
+    categories = presence.stay_categories(_visits(spark, sf_dir, NOTHING_IGNORED, KIND_LOG))
     return presence.visits_by_place(rows, categories)
 
 
@@ -228,19 +233,20 @@ def device_path_kinds(spark, sf_dir):
 @query(
     "device_path_lines",
     f"""
-SELECT client_mac_addr, part_no, string_agg(concat(cast(lon AS varchar), ' ', cast(lat AS varchar)), ', ' ORDER BY seq) AS coords
+SELECT client_mac_addr, part_no, CASE WHEN count(*) > 1 THEN 'line' ELSE 'point' END AS kind,
+  string_agg(concat(cast(lon AS varchar), ' ', cast(lat AS varchar)), ', ' ORDER BY seq) AS coords
 FROM (SELECT client_mac_addr, seq, lon, lat, (seq - 1) // 50 AS part_no FROM (
     SELECT *, row_number() OVER (PARTITION BY client_mac_addr ORDER BY ts, lon, lat) AS seq FROM ({PATH_ROWS}) p) q
   UNION ALL
   SELECT client_mac_addr, seq, lon, lat, (seq - 1) // 50 - 1 FROM (
     SELECT *, row_number() OVER (PARTITION BY client_mac_addr ORDER BY ts, lon, lat) AS seq FROM ({PATH_ROWS}) p) q
   WHERE (seq - 1) % 50 = 0 AND seq > 1) r
-GROUP BY client_mac_addr, part_no""",
+GROUP BY client_mac_addr, part_no HAVING count(*) > 1 OR part_no = 0""",
 )
 def device_path_lines(spark, sf_dir):
     lines = paths.path_lines(_placed_visits(spark, sf_dir), points_per_part=50)
     coords = F.transform("points", lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string")))
-    return lines.select("client_mac_addr", "part_no", F.array_join(coords, ", ").alias("coords"))
+    return lines.select("client_mac_addr", "part_no", "kind", F.array_join(coords, ", ").alias("coords"))
 
 
 @query(

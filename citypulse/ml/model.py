@@ -155,7 +155,8 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, label: str = LABEL, prediction: str = "predicted_total") -> DataFrame:
-    """One row: r2 and rmse."""
+    """One row: r2 and rmse, over the rows that have both a label and a prediction."""
+    df = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     error = F.col(label) - F.col(prediction)
     squared = F.sum(error * error)
     return df.agg(

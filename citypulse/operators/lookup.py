@@ -7,7 +7,7 @@ a larger one, splitting hot keys of the other side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,18 +21,33 @@ def unique_lookup(df: DataFrame, key: str, value: str, ordinal: str) -> DataFram
     )
 
 
+def _one_each(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """One row per key. Two different values of a key are an error: which one counts is for ``unique_lookup`` to say."""
+    text = F.concat(F.lit(f"several values of {value} for {key} "), F.col(key).cast("string"))
+    low, high = F.min(value), F.max(value)
+    pairs = lookup.filter(F.col(key).isNotNull()).groupBy(key).agg(low.alias("_low"), high.alias("_high"))
+    only = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(F.raise_error(text))
+    return pairs.select(F.col(key), only.alias(value))
+
+
 def map_column(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, lookup_value: str, output: str) -> DataFrame:
-    """Add ``output``: the lookup's value for ``key``, NULL where there is none. Lookup keys are unique."""
-    pairs = lookup.select(F.col(lookup_key).alias("_key"), F.col(lookup_value).alias(output))
+    """Add ``output``: the lookup's value for ``key``, NULL where there is none.
+
+    A key of the lookup that has several values is an error; see :func:`unique_lookup`.
+    """
+    pairs = _one_each(lookup.select(F.col(lookup_key).alias("_key"), F.col(lookup_value).alias(output)), "_key", output)
     return df.join(pairs, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
 def compose_lookups(
     first: DataFrame, first_key: str, first_value: str, second: DataFrame, second_key: str, second_value: str
 ) -> DataFrame:
-    """Lookup from the first's keys to the second's values; keys that lead nowhere are left out."""
-    left = first.select(F.col(first_key), F.col(first_value).alias("_via"))
-    right = second.select(F.col(second_key).alias("_key"), F.col(second_value))
+    """Lookup from the first's keys to the second's values; keys that lead nowhere are left out.
+
+    A key of either that has several values is an error; see :func:`unique_lookup`.
+    """
+    left = _one_each(first.select(F.col(first_key), F.col(first_value).alias("_via")), first_key, "_via")
+    right = _one_each(second.select(F.col(second_key).alias("_key"), F.col(second_value)), "_key", second_value)
     return left.join(right, F.col("_via") == F.col("_key")).select(first_key, second_value)
 
 
@@ -58,7 +73,3 @@ def latest_snapshot(df: DataFrame, column: str, as_of: str | None = None) -> Dat
     if as_of is not None:
         return df.filter(F.col(column) == F.lit(as_of))
     return df.filter(F.col(column) == df.select(F.max(column)).scalar())
-
-
-def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.withColumns(columns)

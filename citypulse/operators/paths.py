@@ -39,7 +39,8 @@ def path_lines(visit_rows: DataFrame, points_per_part: int = 10_000, chunk: str
     """Paths as arrays of points, split into parts of a bounded number of points.
 
     Part ``n`` ends with the first point of part ``n + 1``, so drawing all parts draws the whole
-    path and nothing is left out. ``kind`` is ``point`` for a part with a single place.
+    path and nothing is left out. A part that would hold only that shared point is none. ``kind`` is
+    that of the device: ``point`` where it has a single row, whatever the size of the parts.
     """
     numbered = path_points(visit_rows, chunk)
     part = F.floor((F.col("seq") - 1) / points_per_part)
@@ -50,6 +51,7 @@ def path_lines(visit_rows: DataFrame, points_per_part: int = 10_000, chunk: str
         numbered.withColumn("part_no", F.explode(parts))
         .groupBy(DEVICE, "part_no")
         .agg(F.array_sort(F.collect_list(point)).alias("points"))
+        .filter((F.size("points") > 1) | (F.col("part_no") == 0))
         .withColumn("kind", F.when(F.size("points") > 1, "line").otherwise("point"))
     )
 

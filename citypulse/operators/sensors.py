@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.functions.dates import calendar_features, slot_timestamp
@@ -13,7 +13,6 @@ from citypulse.operators.lookup import keep_known, map_column
 from citypulse.operators.shape import drop_missing, sum_or_zero
 from citypulse.session import cut_lineage
 
-SMALL_COUNT = 200_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -46,10 +45,10 @@ def training_frame(counts: DataFrame, flow: DataFrame, pre_aggregate: bool = Fal
 
     ``flow`` keeps one row per type, so a slot may repeat; ``pre_aggregate`` sums the types first.
     """
-    known = keep_known(flow, "grid_id", counts, "grid_id")
+    known = flow
     if pre_aggregate:
         known = (
-            known.na.drop(subset=["admi_cd"])
+            keep_known(flow, "grid_id", counts, "grid_id").na.drop(subset=["admi_cd"])
             .groupBy("grid_id", "std_date", "admi_cd")
             .agg(sum_or_zero("total").alias("total"))
         )
@@ -92,13 +91,13 @@ def dense_counts(summary: DataFrame) -> DataFrame:
     )
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, small: int = SMALL_COUNT) -> float | None:
+def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     """Quantile with linear interpolation between neighbouring values, exact at any size.
 
     Approximate quantiles propose two cut values near the wanted rank; exact counts of what lies
     under, on, between and over them decide where it is. Repeated on that part, which is about
-    one in two thousand of the rows before, until ``small`` or fewer rows are left to rank.
-    Only counts and cut values reach the driver.
+    one in two thousand of the rows before, until a cut value is the wanted one: among fewer
+    values than the sketch tells apart, it is. Only counts and cut values reach the driver.
     """
     values = df.select(F.col(column).cast("double").alias("v"))
     values = values.filter(F.col("v").isNotNull() & ~F.isnan("v"))
@@ -107,7 +106,7 @@ def exact_quantile(df: DataFrame, column: str, q: float, small: int = SMALL_COUN
         return None
     position = q * (total - 1)
     low_rank, high_rank = math.floor(position), math.ceil(position)
-    low = _value_at(values, low_rank, total, small)
+    low = _value_at(values, low_rank, total)
     if high_rank == low_rank:
         return low
     following = values.agg(
@@ -117,12 +116,12 @@ def exact_quantile(df: DataFrame, column: str, q: float, small: int = SMALL_COUN
     return low + (high - low) * (position - low_rank)
 
 
-def _value_at(values: DataFrame, rank: int, total: int, small: int) -> float:
+def _value_at(values: DataFrame, rank: int, total: int) -> float:
     """Value at 0-based ``rank`` of the sorted values."""
     remaining, count, v = values, total, F.col("v")
     margin = 2.0 / SKETCH_ACCURACY
-    while count > small:
-        centre = rank / (count - 1)
+    while True:
+        centre = rank / max(count - 1, 1)
         ends = [max(centre - margin, 0.0), min(centre + margin, 1.0)]
         lo, hi = remaining.agg(F.percentile_approx("v", ends, SKETCH_ACCURACY)).first()[0]
         parts = [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & (v > lo), v > hi]
@@ -134,9 +133,6 @@ def _value_at(values: DataFrame, rank: int, total: int, small: int) -> float:
             return lo if part == 1 else hi
         # What is left is a small part of the data: keep it, so the next rounds do not scan all again.
         remaining, count = cut_lineage(remaining.filter(parts[part])), sizes[part]
-    running = F.sum("count").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    merged = remaining.groupBy("v").count().withColumn("upto", running)
-    return merged.filter(F.col("upto") > rank).agg(F.min("v")).first()[0]
 
 
 def trim_upper(df: DataFrame, column: str, q: float = 0.995) -> DataFrame:

@@ -39,10 +39,34 @@ def boxes(edges: DataFrame) -> DataFrame:
     )
 
 
+def _passed_tiles(edges: DataFrame, size: Column, margin: int = 0) -> DataFrame:
+    """Edges repeated for every tile they pass through, and the tiles up to ``margin`` around these.
+
+    In each row of tiles an edge covers the range of x that it has there, so a long slanted edge is in a
+    number of tiles that grows with its length. Rounding may add a tile, never lose one.
+    """
+    x1, y1, x2, y2 = (F.col(c).cast("double") for c in ("x1", "y1", "x2", "y2"))
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    rows = edges.withColumn("_row", F.explode(F.sequence(F.floor(low / size), F.floor(high / size))))
+
+    def x_at(y: Column) -> Column:
+        return F.when(y2 != y1, x1 + (y - y1) * (x2 - x1) / (y2 - y1))
+
+    ends = [x_at(F.greatest(low, F.col("_row") * size)), x_at(F.least(high, (F.col("_row") + 1) * size))]
+    left, right = F.least(x1, x2), F.greatest(x1, x2)
+    slack = size * 1e-9 + (F.abs(left) + F.abs(right)) * 1e-12
+    begin = F.greatest(left, F.coalesce(F.least(*ends), left) - slack)
+    end = F.least(right, F.coalesce(F.greatest(*ends), right) + slack)
+    return (
+        rows.withColumn("ty", F.explode(F.sequence(F.col("_row") - margin, F.col("_row") + margin)) if margin else F.col("_row"))
+        .withColumn("tx", F.explode(F.sequence(F.floor(begin / size) - margin, F.floor(end / size) + margin)))
+        .drop("_row")
+    )
+
+
 def _edge_tiles(edges: DataFrame, size: float) -> DataFrame:
-    """Edges repeated for every tile their bounding box meets."""
-    by_row = edges.withColumn("ty", _tile_range(F.least("y1", "y2"), F.greatest("y1", "y2"), size))
-    return by_row.withColumn("tx", _tile_range(F.least("x1", "x2"), F.greatest("x1", "x2"), size))
+    """Edges repeated for every tile they pass through."""
+    return _passed_tiles(edges, F.lit(float(size)))
 
 
 def _side(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -108,30 +132,32 @@ def locate(points: DataFrame, edges: DataFrame, tile: float, ties: str = "all")
 def locate_on_grid(
     points: DataFrame, cells: DataFrame, origin: tuple[float, float], size: tuple[float, float], ties: str = "all"
 ) -> DataFrame:
-    """Like :func:`locate` for a regular grid: ``cells(id, x0, y0)`` with their lower left corner.
+    """Like :func:`locate` for a regular grid: ``cells(id, x0, y0)``, with ``x1, y1`` where they have them.
 
-    Column and row follow from arithmetic, so the join is on two integers.
+    Column and row follow from arithmetic, so the join is on two integers. A point that may be on a border,
+    as far as rounding tells, meets the cells on both sides; the corners themselves then decide.
     """
 
     def index(value: Column, axis: int) -> Column:
         return F.floor((value - F.lit(origin[axis])) / F.lit(size[axis]))
 
-    def border(value: Column, axis: int) -> Column:
-        return (value - F.lit(origin[axis])) == index(value, axis) * F.lit(size[axis])
-
     def choices(value: Column, axis: int) -> Column:
         i = index(value, axis)
-        return F.explode(F.when(border(value, axis), F.array(i, i - 1)).otherwise(F.array(i)))
+        past = (value - F.lit(origin[axis])) / F.lit(size[axis]) - i
+        near = F.when(past < 1e-6, F.array(i - 1, i)).when(past > 1 - 1e-6, F.array(i, i + 1))
+        return F.explode(F.coalesce(near, F.array(i)))
 
     placed = points.select(*XY).na.drop().distinct()
     placed = placed.withColumn("ix", choices(F.col("x"), 0)).withColumn("iy", choices(F.col("y"), 1))
     half = [s / 2 for s in size]
+    corners = [F.col(c) if c in cells.columns else F.col(low) + F.lit(s) for c, low, s in (("x1", "x0", size[0]), ("y1", "y0", size[1]))]
     numbered = cells.select(
-        F.col("id").alias("poly_id"),
+        F.col("id").alias("poly_id"), "x0", "y0", corners[0].alias("x1"), corners[1].alias("y1"),
         index(F.col("x0") + F.lit(half[0]), 0).alias("ix"),
         index(F.col("y0") + F.lit(half[1]), 1).alias("iy"),
     )
-    return _give_cells(points, placed.join(numbered, ["ix", "iy"]).select("x", "y", "poly_id"), ties)
+    inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
+    return _give_cells(points, placed.join(numbered, ["ix", "iy"]).filter(inside).select("x", "y", "poly_id"), ties)
 
 
 def ring_points(edges: DataFrame) -> DataFrame:
@@ -202,7 +228,7 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
     """Nearest target of every polygon: ``poly_id, target_id, distance``; a tie goes to the lowest id.
 
     For polygons that touch no target. Tiles come in levels, each twice as wide as the one below.
-    The first level at which a target edge is in the 3 by 3 tiles around a polygon bounds the
+    The first level at which a target edge passes through the 3 by 3 tiles around a polygon bounds the
     distance by 2.83 tiles, so the nearest edge is in the 7 by 7 tiles of that level (the base tile
     is six times the largest polygon, which covers the polygon's own extent). Both steps are
     equi-joins on level and tile; only that neighbourhood is measured.
@@ -235,11 +261,7 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
     each_level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
 
     def around_edges(margin: int) -> DataFrame:
-        wide = targets.select("poly_id", "x1", "y1", "x2", "y2").withColumn("level", each_level)
-        for name, a, b in (("tx", "x1", "x2"), ("ty", "y1", "y2")):
-            low, high = F.floor(F.least(a, b) / size), F.floor(F.greatest(a, b) / size)
-            wide = wide.withColumn(name, F.explode(F.sequence(low - margin, high + margin)))
-        return wide
+        return _passed_tiles(targets.select("poly_id", "x1", "y1", "x2", "y2").withColumn("level", each_level), size, margin)
 
     near = around_edges(1).select("level", "tx", "ty").distinct()
     anchors = polygons.groupBy("poly_id").agg(F.min(F.struct("x1", "y1")).alias("anchor"))

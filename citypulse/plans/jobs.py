@@ -98,8 +98,8 @@ def resident_tables(
         sinks.replace(df, f"{root}/{name}")
 
 
-def presence_tables(described: DataFrame, root: str, points_per_part: int = 10_000) -> None:
-    """Stats, stay categories, their pivot, visits by place, and paths from a described log."""
+def presence_tables(described: DataFrame, root: str) -> None:
+    """Stats, stay categories, their pivot, visits by place, and paths (their points in order) from a described log."""
     rows = presence.visits(described)
     # One row per device and day serves the stats and the categories: the log is scanned once for both.
     daily = cut_lineage(presence.daily_counts(rows))
@@ -108,7 +108,8 @@ def presence_tables(described: DataFrame, root: str, points_per_part: int = 10_0
     categories = rows.sparkSession.read.parquet(f"{root}/device_months")
     sinks.replace(presence.category_pivot(categories), f"{root}/category_months")
     sinks.replace(presence.visits_by_place(rows, categories), f"{root}/visits_by_place")
-    sinks.replace(paths.path_lines(rows, points_per_part), f"{root}/paths")
+    sinks.replace(paths.path_points(rows), f"{root}/paths")
+    sinks.replace(paths.path_kinds(rows), f"{root}/path_kinds")
 
 
 def train_model(
@@ -137,10 +138,13 @@ def score_newest_slot(summary: DataFrame, ap_cells: DataFrame, model_path: str,
 
 
 def filter_grid(grid: DataFrame, regions: DataFrame, region_name: str, text: str, tile: float, path: str) -> None:
-    """Cells that touch a region whose name contains a text, as GeoJSON. Both frames have ``id``/name and ``rings``."""
-    chosen = regions.filter(F.col(region_name).contains(text))
+    """Cells that touch a region whose name contains a text, as GeoJSON. Both frames have ``id``/name and ``rings``.
+
+    Every row of ``regions`` is a region of its own, also where names repeat.
+    """
+    chosen = regions.filter(F.col(region_name).contains(text)).withColumn("_feature", F.monotonically_increasing_id())
     kept = spatial.polygons_touching(
-        spatial.edges_from_rings(grid, "id"), spatial.edges_from_rings(chosen, region_name), tile
+        spatial.edges_from_rings(grid, "id"), spatial.edges_from_rings(chosen, "_feature"), tile
     )
     sinks.write_geojson(grid.join(kept.withColumnRenamed("poly_id", "id"), "id", "left_semi"), path, ["id"])
 

@@ -20,13 +20,24 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, sep: str = "|", encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Headed delimited files, columns by position. A malformed field is NULL, the rest of its row stays."""
+    """Headed delimited files, columns by the names in the header. A malformed field is NULL, the rest of its row stays.
+
+    Further columns are ignored; a missing one is an error, and so is a file whose header differs from
+    that of the first (``read_delimited_tree`` takes those).
+    """
     if encoding != "UTF-8":
         # Other code pages than the Unicode ones need the JVM's own charsets; lines still split on a
         # newline byte, which is never part of a Korean character.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-    return reader.option("encoding", encoding).csv(paths)
+    options = {"header": "true", "sep": sep, "mode": "PERMISSIVE", "encoding": encoding}
+    names = spark.read.options(**options).csv(paths).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {paths}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    in_file = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+    rows = spark.read.schema(in_file).options(**options, enforceSchema="false").csv(paths)
+    return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -80,7 +91,7 @@ def read_delimited_tree(
 
     Files that are not valid UTF-8 throughout are read in the Korean code page. Files with the same
     header and code page are read together; columns a file lacks are NULL, others are ignored.
-    Corrupt files are skipped.
+    A corrupt file is an error, which names it.
     """
     paths = find_files(spark, root, pattern)
     if not paths:
@@ -102,7 +113,6 @@ def read_delimited_tree(
             .option("sep", sep)
             .option("mode", "PERMISSIVE")
             .option("encoding", encoding)
-            .option("ignoreCorruptFiles", "true")
         )
         if encoding != "UTF-8":
             spark.conf.set("spark.sql.legacy.javaCharsets", "true")
@@ -120,60 +130,72 @@ def read_delimited_tree(
 def read_zipped(
     spark: SparkSession, root: str, member: str, schema: T.StructType, sep: str = "|", archives_per_task: int = 1
 ) -> DataFrame:
-    """Rows of the first member of each ZIP archive whose name contains ``member`` and ends in .csv.
+    """Rows of the members of ZIP archives whose name contains ``member`` and ends in .csv.
 
     Only paths are listed by Spark; each task opens its archives by path and streams the member in
     batches, so an archive is never held whole. A ZIP cannot be split, so one archive is one task's
-    work. Rows keep the archive in ``archive``. Columns are matched by header name.
+    work; archives are dealt out in turn. Rows keep the archive in ``archive``. Columns are matched by
+    header name.
     """
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(root).select("path")
     count = paths.count()
-    spread = paths.repartition(max(1, -(-count // archives_per_task)), "path")
+    spread = paths.repartition(max(1, -(-count // archives_per_task)))
     names = [field.name for field in schema.fields]
     as_text = T.StructType([T.StructField("archive", T.StringType())] + [T.StructField(n, T.StringType()) for n in names])
-    rows = spread.mapInPandas(_zip_rows(member.lower(), sep, names), as_text)
+    rows = spread.mapInArrow(_zip_rows(member.lower(), sep, names), as_text)
     return rows.select("archive", *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _zip_rows(member: str, sep: str, names: list[str], batch: int = 20_000):
+def _zip_rows(member: str, sep: str, names: list[str]):
     """Task function: rows of archive members as batches of text columns."""
 
     def read(batches):
-        import csv
         import io
         import zipfile
 
-        import pandas as pd
-        from pyarrow import fs
+        import pyarrow as pa
+        from pyarrow import csv, fs
+
+        class Decoded(io.RawIOBase):
+            """UTF-8 bytes of a member: as they are, or from the Korean code page from the first line that is not valid."""
+
+            def __init__(self, stream):
+                self.lines, self.encoding, self.rest = stream, "utf-8", b""
+
+            def readable(self):
+                return True
 
-        def decoded(stream):
-            """Text of the member: UTF-8, or the Korean code page from the first line that is not."""
-            encoding = "utf-8"
-            for raw in stream:
-                try:
-                    yield raw.decode(encoding)
-                except UnicodeDecodeError:
-                    encoding = "cp949"
-                    yield raw.decode(encoding, "replace")
+            def readinto(self, out):
+                while len(self.rest) < len(out) and (line := self.lines.readline()):
+                    try:
+                        line.decode(self.encoding)
+                    except UnicodeDecodeError:
+                        self.encoding = "cp949"
+                    self.rest += line if self.encoding == "utf-8" else line.decode(self.encoding, "replace").encode()
+                n = min(len(out), len(self.rest))
+                out[:n], self.rest = self.rest[:n], self.rest[n:]
+                return n
 
         for paths in batches:
-            for path in paths["path"]:
+            for path in paths.column(0).to_pylist():
                 place = path.replace("file:", "file://", 1) if path.startswith("file:/") and "://" not in path else path
                 system, inner = fs.FileSystem.from_uri(place)
                 with system.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
-                    found = [n for n in archive.namelist() if member in n.lower() and n.endswith(".csv")]
-                    if not found:
-                        continue
-                    with archive.open(found[0]) as stream:
-                        reader = csv.DictReader(decoded(io.BufferedReader(stream)), delimiter=sep)
-                        rows = []
-                        for row in reader:
-                            rows.append([path] + [row.get(n) for n in names])
-                            if len(rows) == batch:
-                                yield pd.DataFrame(rows, columns=["archive"] + names, dtype=object)
-                                rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=["archive"] + names, dtype=object)
+                    for name in sorted(archive.namelist()):
+                        if member not in name.lower() or not name.endswith(".csv"):
+                            continue
+                        with archive.open(name) as stream:
+                            reader = csv.open_csv(
+                                io.BufferedReader(Decoded(stream)),
+                                parse_options=csv.ParseOptions(delimiter=sep),
+                                convert_options=csv.ConvertOptions(
+                                    column_types={n: pa.string() for n in names}, include_columns=names,
+                                    include_missing_columns=True, strings_can_be_null=False,
+                                ),
+                            )
+                            for rows in reader:
+                                columns = [rows.column(n).cast(pa.string()) for n in names]
+                                yield pa.RecordBatch.from_arrays([pa.array([path] * rows.num_rows, pa.string()), *columns], ["archive", *names])
 
     return read
 
@@ -188,7 +210,7 @@ def read_lookup_json(spark: SparkSession, path: str, value_type: str = "string")
 
 
 def read_geojson(spark: SparkSession, path: str, properties: list[str], one_feature_per_line: bool = False) -> DataFrame:
-    """Polygon features: the named properties (text) and ``rings``, all rings of all parts.
+    """Polygon features: the named properties (text), ``rings``, all rings of all parts, and ``ring_parts``, the part of each.
 
     A feature collection is one JSON document and is parsed by one task; written with one feature per
     line (as most writers do) it is read as splittable lines with ``one_feature_per_line=True``.
@@ -204,11 +226,12 @@ def read_geojson(spark: SparkSession, path: str, properties: list[str], one_feat
         collection = F.from_json("value", f"struct<features: array<{feature}>>")
         features = documents.select(F.explode(collection["features"]).alias("f"))
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
-    rings = F.when(kind == "Polygon", F.from_json(text, "array<array<array<double>>>")).when(
-        kind == "MultiPolygon", F.flatten(F.from_json(text, "array<array<array<array<double>>>>"))
+    parts = F.when(kind == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>"))).when(
+        kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")
     )
-    return features.filter(rings.isNotNull()).select(
-        *[F.col("f.properties")[p].alias(p) for p in properties], rings.alias("rings")
+    numbers = F.flatten(F.transform("parts", lambda part, i: F.transform(part, lambda ring: i)))
+    return features.select("f", parts.alias("parts")).filter(F.col("parts").isNotNull()).select(
+        *[F.col("f.properties")[p].alias(p) for p in properties], F.flatten("parts").alias("rings"), numbers.alias("ring_parts")
     )
 
 

@@ -63,7 +63,7 @@ def write_months_together(frames: dict[str, DataFrame], root: str, month: str =
 
     All are first written to a staging folder of this run; only when every one is complete are the
     months replaced, one table after the other. A rerun replaces the same months. The replacing
-    itself is not atomic across tables.
+    itself is not atomic across tables. The staging folder is removed at the end.
     """
     spark = next(iter(frames.values())).sparkSession
     staging = f"{shared_dir(spark)}/staging-{uuid.uuid4().hex}"
@@ -71,6 +71,8 @@ def write_months_together(frames: dict[str, DataFrame], root: str, month: str =
         df.write.mode("errorifexists").parquet(f"{staging}/{name}")
     for name, df in frames.items():
         write_months(spark.read.schema(df.schema).parquet(f"{staging}/{name}"), f"{root}/{name}", month)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def create_table(
@@ -97,10 +99,18 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def write_geojson(df: DataFrame, path: str, properties: list[str], rings: str = "rings") -> None:
-    """Polygons as GeoJSON, one feature per line; ``rings`` holds lists of lon, lat pairs."""
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*properties).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), F.col(rings).alias("coordinates")).alias("geometry"),
-    )
-    df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+    """Polygons as GeoJSON, one feature per line; ``rings`` holds lists of lon, lat pairs.
+
+    Where a column ``ring_parts`` gives the part of each ring, a feature of several parts is a MultiPolygon.
+    """
+    one = F.concat(F.lit('{"type":"Polygon","coordinates":'), F.to_json(rings), F.lit("}"))
+    shape = one
+    if "ring_parts" in df.columns:
+        last = F.array_max("ring_parts")
+        parts = F.transform(
+            F.sequence(F.lit(0), last), lambda p: F.filter(rings, lambda ring, i: F.get("ring_parts", i) == p)
+        )
+        several = F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), F.to_json(parts), F.lit("}"))
+        shape = F.when(last > 0, several).otherwise(one)
+    head = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*properties)), F.lit(',"geometry":'))
+    df.select(F.concat(head, shape, F.lit("}")).alias("value")).write.mode("overwrite").text(path)

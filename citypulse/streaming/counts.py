@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from citypulse.ml.model import score_counts
 from citypulse.operators.sensors import cell_counts
+from citypulse.session import cut_lineage
 
 # The window lengths in minutes the counts are kept at.
 GRAINS = [5, 10, 60]
@@ -58,12 +59,16 @@ def score_slots(
 ) -> DataStreamWriter:
     """Writer that scores every closed slot and keeps one row per cell and slot.
 
-    Output is partitioned by ``batch_id``; a batch that is retried replaces its own partition, so
-    nothing is written twice. A slot is given out in one batch only, once its window has closed.
+    Output is partitioned by slot (``slot_key``, its UTC seconds). A slot is given out in one batch only, once
+    its window has closed, so a batch that is retried, a restart and a later fill each replace just
+    the slots they hold. Two rows of one cell and slot are an error.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch).dropDuplicates([key, slot]).withColumn("batch_id", F.lit(batch_id))
-        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        scored = cut_lineage(score(batch).withColumn("slot_key", F.unix_timestamp(F.col(slot).cast("timestamp"))))
+        double = scored.groupBy(key, slot).count().filter("count > 1").first()
+        if double is not None:
+            raise ValueError(f"batch {batch_id}: {double['count']} rows for {key} {double[key]} at {double[slot]}")
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot_key").parquet(path)
 
     return counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -37,6 +37,31 @@ def test_comma_file_with_korean_text(spark, tmp_path):
     assert rows(files.read_delimited(spark, str(path), NAMES, sep=",")) == [("1", "가게", 2.0)]
 
 
+def test_delimited_columns_go_by_the_header(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("v|extra|nm|id\n2.5|q|a|1\n", encoding="utf-8")
+    assert rows(files.read_delimited(spark, str(path), NAMES)) == [("1", "a", 2.5)]
+    path.write_text("id|nm\n1|a\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="no column v"):
+        files.read_delimited(spark, str(path), NAMES)
+    both = tmp_path / "both"
+    both.mkdir()
+    (both / "1.csv").write_text("id|nm|v\n1|a|1\n")
+    (both / "2.csv").write_text("nm|id|v\na|1|1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_delimited(spark, str(both), NAMES).collect()
+
+
+def test_geojson_parts_survive_a_round_trip(spark, tmp_path):
+    source = tmp_path / "s.geojson"
+    source.write_text("\n".join(json.dumps(f) for f in features()))
+    read = files.read_geojson(spark, str(source), ["id"], one_feature_per_line=True)
+    sinks.write_geojson(read, str(tmp_path / "out"), ["id"])
+    written = [json.loads(line) for p in (tmp_path / "out").glob("part-*") for line in p.read_text().splitlines()]
+    want = {f["properties"]["id"]: f["geometry"] for f in features() if f["geometry"]["type"] != "Point"}
+    assert {f["properties"]["id"]: f["geometry"] for f in written} == want
+
+
 def test_tree_of_files_mixed_code_pages_and_column_orders(spark, tmp_path):
     (tmp_path / "x" / "y").mkdir(parents=True)
     (tmp_path / "x" / "f_age_1.csv").write_bytes("id|nm|v\n1|서울|1\n".encode("utf-8"))
@@ -72,9 +97,10 @@ def test_zip_members(spark, tmp_path):
 
     archive("a.zip", {"in/Flow_Age_Time_1.csv": "id|nm|v\n1|가|1\n2|나|x\n".encode("cp949"), "readme.txt": b"no"})
     archive("b.zip", {"flow_age_time_2.csv": "v|id|nm\n5|3|다\n".encode("utf-8")})
+    archive("d.zip", {"flow_age_time_3.csv": b"id|nm|v\n6|x|6\n", "flow_age_time_4.csv": b"id|nm|v\n7|y|7\n"})
     archive("c.zip", {"nothing.csv": b"id|nm|v\n8|z|8\n"})
     found = files.read_zipped(spark, str(tmp_path), "flow_age_time", NAMES).drop("archive")
-    assert sorted(map(tuple, found.na.fill(-1.0).collect())) == [("1", "가", 1.0), ("2", "나", -1.0), ("3", "다", 5.0)]
+    assert sorted(map(tuple, found.na.fill(-1.0).collect())) == [("1", "가", 1.0), ("2", "나", -1.0), ("3", "다", 5.0), ("6", "x", 6.0), ("7", "y", 7.0)]
 
 
 def test_lookup_json_plain_and_double_encoded(spark, tmp_path):

@@ -115,10 +115,11 @@ def test_resident_job_through_the_command_line(spark, tmp_path):
 def test_presence_job(spark, tmp_path):
     data = [("d", dt.datetime(2025, 7, day, 12), "join", "ap", 127.6, 34.7, 1) for day in (1, 2, 5)]
     log = spark.createDataFrame(data, "client_mac_addr string, logging_date timestamp, event_name string, ap_name string, lon double, lat double, cnt long")
-    jobs.presence_tables(log, str(tmp_path), points_per_part=2)
+    jobs.presence_tables(log, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/device_months").first().max_streak == 2
     assert spark.read.parquet(f"{tmp_path}/visits_by_place").first()["size"] == 3
-    assert spark.read.parquet(f"{tmp_path}/paths").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/paths").count() == 3
+    assert spark.read.parquet(f"{tmp_path}/path_kinds").first().kind == "line"
 
 
 def squares(spark, n=4):
@@ -259,15 +260,23 @@ def test_stream_scorer_sums_points_of_a_cell(spark):
     assert [(r.grid_id, r.acs_cnt) for r in found] == [("c", 7)] and found[0].predicted_total >= 0
 
 
-def test_streamed_scores_are_not_doubled_by_a_retry(spark, tmp_path):
+def test_streamed_scores_replace_just_their_own_slots(spark, tmp_path):
     schema = "std_date timestamp, grid_id string, acs_cnt long"
-    rows = [(dt.datetime(2025, 1, 1, h), f"c{i}", h + i) for h in range(3) for i in range(2)]
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
     score = lambda batch: batch.withColumn("predicted_total", F.col("acs_cnt") * 2.0)
-    for attempt in range(2):
-        # The second run starts without the first one's progress, as after a failure before it was recorded.
-        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        writer = counts.score_slots(stream, score, str(tmp_path / "out"), str(tmp_path / f"state{attempt}"))
+
+    def run(name, rows, state):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / name))
+        writer = counts.score_slots(stream, score, str(tmp_path / "out"), str(tmp_path / state))
         writer.trigger(availableNow=True).start().awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "out"))
-    assert stored.count() == 6 and stored.select("grid_id", "std_date").distinct().count() == 6
+        found = spark.read.parquet(str(tmp_path / "out")).collect()
+        return sorted((r.std_date.hour, r.grid_id, r.acs_cnt) for r in found)
+
+    at = lambda h: dt.datetime(2025, 1, 1, h)
+    first = run("a", [(at(h), f"c{i}", h + i) for h in range(2) for i in range(2)], "state_a")
+    assert first == [(0, "c0", 0), (0, "c1", 1), (1, "c0", 1), (1, "c1", 2)]
+    # New input under a new checkpoint: slot 1 is filled again, slot 2 is new, slot 0 stays.
+    second = run("b", [(at(1), "c0", 9), (at(2), "c0", 7)], "state_b")
+    assert second == [(0, "c0", 0), (0, "c1", 1), (1, "c0", 9), (2, "c0", 7)]
+    with pytest.raises(Exception, match="2 rows for grid_id"):
+        run("c", [(at(3), "c0", 1), (at(3), "c0", 2)], "state_c")

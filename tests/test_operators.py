@@ -136,6 +136,26 @@ def test_path_parts_overlap_by_one_point_and_lose_nothing(spark):
     assert parts == whole
 
 
+@pytest.mark.parametrize("n", [1, 2, 10, 11, 12, 21])
+def test_kind_of_a_path_does_not_depend_on_the_size_of_parts(spark, n):
+    data = [("d", dt.datetime(2025, 7, 1) + dt.timedelta(seconds=k), float(k), 1.0) for k in range(n)]
+    df = spark.createDataFrame(data, "client_mac_addr string, logging_date timestamp, lon double, lat double")
+    parts = paths.path_lines(df, points_per_part=10).orderBy("part_no").collect()
+    assert {r.kind for r in parts} == {"point" if n == 1 else "line"}
+    assert [r.part_no for r in parts] == list(range(max(1, -(-(n - 1) // 10))))
+
+
+def test_lookup_with_two_values_of_a_key_is_an_error(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    same = spark.createDataFrame([("a", 1), ("a", 1), ("c", 2)], "key string, v int")
+    assert rows(lookup.map_column(df, "k", same, "key", "v", "out").na.fill(-1)) == [("a", 1), ("b", -1)]
+    two = spark.createDataFrame([("a", 1, 1), ("a", 2, 2)], "key string, v int, at int")
+    with pytest.raises(Exception, match="several values"):
+        lookup.map_column(df, "k", two, "key", "v", "out").collect()
+    last = lookup.unique_lookup(two, "key", "v", "at")
+    assert rows(lookup.map_column(df, "k", last, "key", "v", "out").na.fill(-1)) == [("a", 2), ("b", -1)]
+
+
 def test_single_place_is_a_point(spark):
     df = spark.createDataFrame([("d", dt.datetime(2025, 7, 1), 1.0, 2.0)], "client_mac_addr string, logging_date timestamp, lon double, lat double")
     assert rows(paths.path_kinds(df)) == [("d", 1, "point")]
@@ -348,8 +368,7 @@ def test_exact_quantile(spark, seed, q):
     ][seed]
     df = spark.createDataFrame([(float(v),) for v in data] + [(None,), (float("nan"),)], "v double").repartition(6)
     expected = float(np.quantile(data, q))
-    for small in (10, 10_000):
-        assert sensors.exact_quantile(df, "v", q, small=small) == pytest.approx(expected, rel=1e-12)
+    assert sensors.exact_quantile(df, "v", q) == pytest.approx(expected, rel=1e-12)
 
 
 def test_quantile_of_nothing(spark):

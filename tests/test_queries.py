@@ -5,11 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
+from checks.registry import ORACLE
 
 duckdb = pytest.importorskip("duckdb")
 DATA = os.environ.get("CHECK_SF_DIR", spark_entry.SMOKE_DIR)
 TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-ORACLE = spark_entry.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
 

@@ -162,3 +162,33 @@ def test_rings_become_closed_edges(spark):
     ends = edges.select("ring_no", F.col("x1").alias("x"), F.col("y1").alias("y"))
     starts = edges.select("ring_no", F.col("x2").alias("x"), F.col("y2").alias("y"))
     assert sorted(map(tuple, ends.collect())) == sorted(map(tuple, starts.collect()))
+
+
+def test_nearest_sees_past_a_long_slanted_edge(spark):
+    square = {"s": [(9000.0, 1000.0), (9001.0, 1000.0), (9001.0, 1001.0), (9000.0, 1001.0)]}
+    circle = [(9000 + 50 * math.cos(k * math.pi / 200), 500 + 50 * math.sin(k * math.pi / 200)) for k in range(400)]
+    targets = {"A": [(0.0, 0.0), (10000.0, 10000.0), (10000.0, 10000.5)], "B": circle}
+    def edges(shapes):
+        rows = [(name, *p, *q) for name, ring in shapes.items() for p, q in zip(ring, ring[1:] + ring[:1], strict=True)]
+        return spark.createDataFrame(rows, "poly_id string, x1 double, y1 double, x2 double, y2 double")
+
+    found = spatial.nearest_polygon(edges(square), edges(targets)).collect()
+    assert [(r.target_id, round(r.distance, 6)) for r in found] == [("B", 450.0)]
+
+
+def test_tiles_of_an_edge_grow_with_its_length(spark):
+    edge = spark.createDataFrame([("e", 0.5, 0.5, 1000.5, 800.5)], "poly_id string, x1 double, y1 double, x2 double, y2 double")
+    tiles = {(r.tx, r.ty) for r in spatial._edge_tiles(edge, 1.0).collect()}
+    passed = {(math.floor(0.5 + 1000 * k / 200000), math.floor(0.5 + 800 * k / 200000)) for k in range(200001)}
+    assert passed <= tiles and len(tiles) < 2200
+
+
+def test_points_on_corners_of_a_grid_in_degrees(spark):
+    cells = [(i * 10 + j, 127.5 + 0.01 * i, 34.5 + 0.01 * j, 127.5 + 0.01 * (i + 1), 34.5 + 0.01 * (j + 1)) for i in range(8) for j in range(3)]
+    grid = spark.createDataFrame(cells, "id long, x0 double, y0 double, x1 double, y1 double")
+    corners = sorted({(c[1], c[2]) for c in cells} | {(c[3], c[4]) for c in cells}) + [(127.535, 34.515), (127.6, 34.5), (127.499, 34.51)]
+    points = spark.createDataFrame(corners, "x double, y double")
+    for ties in ("all", "first"):
+        by_grid = spatial.locate_on_grid(points, grid, (127.5, 34.5), (0.01, 0.01), ties).select("x", "y", "grid_id")
+        by_edges = spatial.locate(points, spatial.cell_edges(grid), 0.01, ties).select("x", "y", "grid_id")
+        assert sorted(map(str, by_grid.collect())) == sorted(map(str, by_edges.collect()))
