@@ -14,9 +14,11 @@ NOTHING_IGNORED = ["no such event"]
 VISITS = f"""
 SELECT *, cast(logging_date AS date) AS access_date, strftime(logging_date, '%Y-%m') AS month FROM ({I.WIFI_LOG}) l
 WHERE event_name NOT IN ('view') OR event_name IS NULL"""
-# The whole log, where a device is a user and a kind of event: runs of all lengths and all categories occur.
+# The whole log, where a device is a user and a kind of event, or for a tenth of the users the kind alone: runs
+# of all lengths and all categories occur.
 KIND_LOG = f"""
-SELECT concat(client_mac_addr, '/', coalesce(event_name, '-')) AS client_mac_addr, logging_date, event_id, event_name, ap_id
+SELECT CASE WHEN client_mac_addr LIKE '%0' THEN coalesce(event_name, '-')
+    ELSE concat(client_mac_addr, '/', coalesce(event_name, '-')) END AS client_mac_addr, logging_date, event_id, event_name, ap_id
 FROM ({I.WIFI_LOG}) w"""
 KINDS = f"""
 SELECT *, cast(logging_date AS date) AS access_date, strftime(logging_date, '%Y-%m') AS month FROM ({KIND_LOG}) l"""
