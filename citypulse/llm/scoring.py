@@ -40,7 +40,7 @@ from citypulse.llm.storage import stored, table
 from citypulse.llm.words import U64, join, mix, slices, words
 
 #: Text of a chunk, entries of a shard, steps of a power of two, rounds of expectation-maximisation.
-CHUNK_BYTES, SHARD_ENTRIES, STEPS, ROUNDS = 16 << 20, 600_000, 4, 60
+CHUNK_BYTES, SHARD_ENTRIES, STEPS, ROUNDS = 12 << 20, 600_000, 4, 60
 END = mix(np.array([2**40 + 1], U64))
 PACKED = "chunk long, size long, docs binary"
 
@@ -222,8 +222,8 @@ def _pairs_asked(packed: DataFrame, tokens: DataFrame, folds: Folds, shards: int
         for chunk, docs in zip(own.column("chunk").to_pylist(), own.column("docs").to_pylist(), strict=True):
             c = opened(docs)
             left = steps(train - deleted)
-            at = np.unique(c.tokens, return_inverse=True)[1]
-            before = np.r_[np.searchsorted(np.unique(c.tokens), END), at[:-1]]
+            distinct, at = np.unique(c.tokens, return_inverse=True)
+            before = np.r_[np.searchsorted(distinct, END), at[:-1]]
             # What the deleted fold leaves: the count of the context and of the token, on the scale of steps.
             rows += _request(chunk, join(c.contexts(), c.tokens), c.fold_of_tokens(), folds, shards, left[before], left[at])
         return pa.Table.from_pylist(rows, _asked_schema())
