@@ -59,15 +59,23 @@ def _new(batch: pa.RecordBatch, keys: int) -> np.ndarray:
 
 
 def shared(index: DataFrame) -> DataFrame:
-    """Of signature rows, those whose signature comes with more than one class and is looked for.
+    """Of signature rows (sig, h1, flags), those whose signature comes with more than one class and is looked for.
 
-    What is needed of each signature combines before the shuffle, and a join can be split, so a signature
-    that a third of all rows have is no task of its own.
+    Rows are sorted by signature and looked at as they pass, so that one exchange of the rows is enough and
+    no group is held. (A combining aggregate and a join would spread a hot signature over tasks, but move
+    and keep three times as many bytes.)
     """
-    index = stored(index, "index")
-    one = index.groupBy("sig").agg(F.min("h1").alias("l"), F.max("h1").alias("m"), F.expr("bit_or(flags)").alias("f"))
-    mixed = one.filter((F.col("l") != F.col("m")) & (F.col("f").bitwiseAND(3) == 3)).select("sig")
-    return index.join(mixed, "sig", "left_semi")
+    return index.repartition("sig").sortWithinPartitions("sig").mapInArrow(_multiple, MEMBERS)
+
+
+def _multiple(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in groups(batches, 1):
+        first = np.flatnonzero(_new(batch, 1))
+        size = np.diff(np.r_[first, batch.num_rows])
+        h1, flags = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        mixed = np.maximum.reduceat(h1, first) != np.minimum.reduceat(h1, first)
+        mixed &= np.bitwise_or.reduceat(flags, first) & 3 == 3
+        yield batch.filter(pa.array(np.repeat(mixed, size)))
 
 
 def _all_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:

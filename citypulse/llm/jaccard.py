@@ -38,8 +38,9 @@ from citypulse.llm.words import U64, gram_starts, grams, mix, slices, words
 
 #: Ratio of the sizes in a band, bits of a sketch per element.
 BAND, SKETCH_BITS = 1.5, 2
-#: Share of their elements that unrelated sets are expected to have in common, for the costs.
-UNRELATED = 0.2
+#: Share of their elements that unrelated sets are expected to have in common, and the cost of testing a
+#: candidate by its sketch, where an index row costs 1.
+UNRELATED, CANDIDATE_COST = 0.05, 0.02
 
 
 class Band(NamedTuple):
@@ -77,7 +78,7 @@ def allocated(low: int, high: int, apart: int, population: int, unrelated: float
         once = apart + 1 - 2 * twice + spare
         each = mean / (once + twice)
         rows = once + twice * (1 + each)
-        false = population * (once * unrelated**each + twice * (1 + each) * unrelated ** max(each - 1, 0))
+        false = CANDIDATE_COST * population * (once * unrelated**each + twice * (1 + each) * unrelated ** max(each - 1, 0))
         if best is None or rows + false < best[0]:
             best = rows + false, once, twice
     _, once, twice = best
