@@ -29,6 +29,12 @@ def _optional(raw: DataFrame, name: str) -> Column:
     return optional_double(F.col(name)) if dict(raw.dtypes)[name] == "string" else F.col(name).cast("double")
 
 
+def optional_count(raw: DataFrame, name: str) -> Column:
+    """A count of text or numbers; what is no number, or not finite, is NULL. Numbers are not turned into text."""
+    value = _optional(raw, name)
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def normalize_flow(raw: DataFrame, on_bad_date: str = "raise") -> DataFrame:
     """Rows of a flow file to mart rows.
 
@@ -97,8 +103,10 @@ def flow_by_hour(flow: DataFrame, ym: str) -> DataFrame:
 
 
 def flow_by_weekday(flow: DataFrame, ym: str) -> DataFrame:
+    # Summed by day first: at most 31 days and the types are left to be named.
+    days = month_rows(flow, ym).groupBy("etl_ymd", "type").agg(F.sum("total").alias("total"))
     keys = [weekday_short(F.col("etl_ymd")).alias("dayname"), F.col("type")]
-    return _report(month_rows(flow, ym), ym, keys).select("crtr_ym", "dayname", "type", "total_population")
+    return _report(days, ym, keys).select("crtr_ym", "dayname", "type", "total_population")
 
 
 def flow_by_district_day(flow: DataFrame, ym: str) -> DataFrame:
@@ -117,12 +125,5 @@ MONTH_REPORTS = {
 def flow_extract(raw: DataFrame) -> DataFrame:
     """Total per cell, day, hour and district over all types; rows with a missing key are left out."""
     keys = ["id", "etl_ymd", "timezn_cd", "admi_cd"]
-    total = F.coalesce(F.sum(optional_double(F.col("total").cast("string"))), F.lit(0.0))
+    total = F.coalesce(F.sum(optional_count(raw, "total")), F.lit(0.0))
     return raw.na.drop(subset=keys).groupBy(*keys).agg(total.alias("total"))
-
-
-def cell_district_lookup(raw: DataFrame, ordinal: str) -> DataFrame:
-    """District code of each cell, from the last row that names the cell."""
-    from citypulse.operators.lookup import unique_lookup
-
-    return unique_lookup(raw, "id", "admi_cd", ordinal)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citypulse.functions.dates import calendar_features, slot_timestamp
 from citypulse.functions.values import integer_text
+from citypulse.operators.flow import optional_count
 from citypulse.operators.lookup import keep_known, map_column
 from citypulse.operators.shape import drop_missing, sum_or_zero
 from citypulse.session import cut_lineage
@@ -35,7 +36,7 @@ def flow_slots(flow_raw: DataFrame) -> DataFrame:
         integer_text(F.col("id")).alias("grid_id"),
         slot_timestamp(F.col("etl_ymd"), F.col("timezn_cd")).alias("std_date"),
         "type",
-        F.col("total").cast("string").try_cast("double").alias("total"),
+        optional_count(flow_raw, "total").alias("total"),
         "admi_cd",
     )
 
