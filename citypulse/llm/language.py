@@ -48,8 +48,12 @@ def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     share = F.create_map(*(x for name, n in sizes.items() for x in (F.lit(name), F.lit(min(1.0, 4 * SAMPLE_DOCS / n)))))
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
     few = rows.withColumn("place", place).filter(F.col("place") < share[F.col(lang)] * float(1 << 40))
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy(lang).orderBy("place", F.xxhash64(text))))
-    best = ranked.filter(F.col("rank") <= SAMPLE_DOCS).select(lang, F.substring(text, 1, SAMPLE_CHARS).alias("text"), "rank")
+    few = few.withColumn("size", F.least(F.length(text), F.lit(SAMPLE_CHARS)))
+    order = Window.partitionBy(lang).orderBy("place", F.xxhash64(text))
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = few.withColumn("rank", F.row_number().over(order)).withColumn("before", before)
+    # Whole documents, until the characters suffice: at most twice as many reach the driver.
+    best = ranked.filter((F.col("rank") <= SAMPLE_DOCS) & (F.col("before") < SAMPLE_CHARS)).select(lang, F.substring(text, 1, SAMPLE_CHARS).alias("text"), "rank")
     out = {name: "" for name in sorted(sizes)}
     for r in sorted(best.collect(), key=lambda r: (r[lang], r["rank"])):
         if len(out[r[lang]]) < SAMPLE_CHARS:
