@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,10 +21,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write a frame to the shared folder and read it again, so that lost executors cost no recomputation."""
+    """Write a frame to the shared folder and read it again, so that lost executors cost no recomputation.
+
+    Spark deletes the shuffle files behind it once the driver has collected its garbage, so that is asked for.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
