@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citypulse.llm.registry import query
-from citypulse.llm.storage import table
+from citypulse.llm.storage import held, table
 from citypulse.llm.words import slices
 
 #: Bounds of the fitted sample: documents and characters for each language, languages, letters of the alphabet.
@@ -90,8 +90,11 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Suffix automaton of a sequence as a table: twice the next state, plus 1 where a phrase ends before the symbol."""
+def automaton(symbols: np.ndarray, table: np.ndarray, at: int) -> int:
+    """Suffix automaton of a sequence in the rows of a table from ``at``; returns the row after them.
+
+    A cell is twice the next state (row), plus 1 where a phrase ends before the symbol.
+    """
     links, length, edges = [-1], [0], [{}]
     last = 0
     for c in symbols.tolist():
@@ -117,13 +120,15 @@ def automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[current] = copy
         last = current
-    step = np.full((len(edges), size), -1, np.int32)
-    for state, out in enumerate(edges):
-        for c, to in out.items():
-            step[state, c] = to
     # Where the phrase cannot grow it ends, and the next one begins with this symbol.
-    begin = np.maximum(step[0], 0)
-    return np.where(step >= 0, 2 * step, 2 * begin + 1).astype(np.int32)
+    begin = np.full(table.shape[1], 2 * at + 1, np.int32)
+    for c, to in edges[0].items():
+        begin[c] = 2 * (at + to) + 1
+    table[at : at + len(edges)] = begin
+    for state, out in enumerate(edges, at):
+        for c, to in out.items():
+            table[state, c] = 2 * (at + to)
+    return at + len(edges)
 
 
 class Model:
@@ -132,15 +137,15 @@ class Model:
     def __init__(self, texts: dict[str, str]) -> None:
         self.names = [n for n in sorted(texts) if texts[n].strip()]
         self.alphabet = Alphabet([texts[n] for n in self.names])
-        tables, self.roots, self.bits, at = [], [], [], 0
-        for n in self.names:
-            symbols = squeezed(self.alphabet.symbols(_points(texts[n])))[0]
-            own = automaton(symbols, self.alphabet.size)
-            tables.append(own + 2 * at)
+        self.roots, self.bits, at = [], [], 0
+        # A suffix automaton has less than twice as many states as symbols; pages never written take no memory.
+        each = [squeezed(self.alphabet.symbols(_points(texts[n])))[0] for n in self.names]
+        self.table = np.empty((sum(2 * len(symbols) + 1 for symbols in each), self.alphabet.size), np.int32)
+        for symbols in each:
             self.roots.append(at)
             self.bits.append(math.log2(max(len(symbols), 2)))
-            at += len(own)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+            at = automaton(symbols, self.table, at)
+        self.table = self.table[:at].ravel()
 
     def entropies(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Bits a character for each text (rows) and language. ``first``: where each text begins, and the end."""
@@ -225,16 +230,9 @@ def identify(docs: DataFrame, texts: dict[str, str], text: str = "text") -> Data
     return kept.mapInArrow(predict, schema)
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def _model(texts: dict[str, str]) -> Model:
-    """The model of a sample, built once in each Python worker."""
-    key = hash(tuple(sorted(texts.items())))
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(texts)
-    return _MODELS[key]
+    """The model of a sample, held by each Python worker."""
+    return held(("language", hash(tuple(sorted(texts.items())))), lambda: Model(texts))
 
 
 def held_out(key: Column) -> Column:

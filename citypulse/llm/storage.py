@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,16 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+Model = TypeVar("Model")
+_HELD: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], Model]) -> Model:
+    """A model that tasks of one stage share in their Python worker. Workers outlive stages, so only the last one is held."""
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
