@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from citypulse.llm.registry import query
-from citypulse.llm.storage import table
+from citypulse.llm.storage import held, table
+from citypulse.llm.words import slices
 
 SPACE = "▁"
 #: Entries of the tables of encoded words and of neighbours; a full table is begun anew.
-WORDS_KEPT, PAIRS_KEPT = 500_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 200_000, 200_000
 
 
 class Encoder:
@@ -219,15 +220,9 @@ class Encoder:
         return self.library.decode(ids) if ids else ""
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(model: bytes) -> Encoder:
-    """The encoder of a model, made once in each Python worker."""
-    key = hashlib.sha256(model).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(model)
-    return _ENCODERS[key]
+    """The encoder of a model, held by each Python worker."""
+    return held(("pieces", hashlib.sha256(model).hexdigest()), lambda: Encoder(model))
 
 
 DIGESTS = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
@@ -245,14 +240,16 @@ def tokenized(docs: DataFrame, model: bytes, text: str = "text", outputs: str =
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shipped.value)
         for batch in batches:
-            rows = []
-            for value in batch.column(batch.schema.get_field_index(text)):
-                ids, joined = enc.encode(value.as_py() or "")
-                back = enc.decode(ids)
-                full = (ids, back) if outputs != "digests" else ()
-                rows.append(full if outputs == "tokens" else (*full, len(ids), _sha(joined), _sha(back)))
-            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(new.values())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *new])
+            column = batch.column(batch.schema.get_field_index(text))
+            for a, b in slices(column):
+                part, rows = batch.slice(a, b - a), []
+                for value in column.slice(a, b - a):
+                    ids, joined = enc.encode(value.as_py() or "")
+                    back = enc.decode(ids)
+                    full = (ids, back) if outputs != "digests" else ()
+                    rows.append(full if outputs == "tokens" else (*full, len(ids), _sha(joined), _sha(back)))
+                columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(new.values())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*batch.schema.names, *new])
 
     return kept.mapInArrow(tokenize, schema)
 
