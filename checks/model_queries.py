@@ -97,8 +97,8 @@ def normal_scores(spark, sf_dir):
 @query("forest_and_boosted_compared")
 def forest_and_boosted_compared(spark, sf_dir):
     train, test = model.split_by_key(_rows(spark, sf_dir), KEYS)
-    trees, _ = model.tune(train, model.scaled_features(), model.forest(numTrees=10), {"maxDepth": [3, 5]})
-    steps, _ = model.tune(train, model.quantile_features(), model.boosted(maxIter=5), {"maxDepth": [3, 4]})
+    trees, _ = model.tune(train, model.scaled_features(), model.forest(numTrees=10), {"maxDepth": [3, 5]}, keys=KEYS)
+    steps, _ = model.tune(train, model.quantile_features(), model.boosted(maxIter=5), {"maxDepth": [3, 4]}, keys=KEYS)
     return model.comparison(spark, {"forest": model.predict(trees, test), "boosted": model.predict(steps, test)})
 
 

@@ -88,14 +88,16 @@ def boosted(loss: str = "squared", **settings) -> GBTRegressor:
     return GBTRegressor(labelCol=LABEL, seed=SEED, lossType=loss, **settings)
 
 
-def tune(train: DataFrame, features: list, regressor, grid: dict[str, list], folds: int = FOLDS, parallelism: int = 4):
+def tune(train: DataFrame, features: list, regressor, grid: dict[str, list], folds: int = FOLDS, parallelism: int = 4, keys: list[str] | None = None):
     """Best pipeline by r2 over the grid, by cross-validation, and its settings.
 
     The feature stages are fitted once on the training rows; the folds and settings then differ
-    only in the regressor.
+    only in the regressor. Folds come from a hash of ``keys`` (all columns if not given), so they do not
+    change with the partitioning and rows with equal keys are never on both sides.
     """
     prepared = Pipeline(stages=features).fit(train)
-    rows = prepared.transform(train).select("features", LABEL).persist()
+    fold = F.pmod(F.xxhash64(F.lit(SEED + 2), *(keys or train.columns)), F.lit(folds)).cast("int")
+    rows = prepared.transform(train.withColumn("_fold", fold)).select("features", LABEL, "_fold").persist()
     try:
         builder = ParamGridBuilder()
         for name, values in grid.items():
@@ -107,6 +109,7 @@ def tune(train: DataFrame, features: list, regressor, grid: dict[str, list], fol
             numFolds=folds,
             parallelism=parallelism,
             seed=SEED,
+            foldCol="_fold",
         )
         found = search.fit(rows)
     finally:

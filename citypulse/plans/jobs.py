@@ -118,8 +118,9 @@ def train_model(
     """Tune boosted trees on normal scores, store model and metrics, return the metrics."""
     counts = sensors.cell_counts(summary, ap_cells)
     rows = cut_lineage(model.model_rows(sensors.training_frame(counts, sensors.flow_slots(flow_raw))))
-    train, test = model.split_by_key(rows, ["grid_id", "std_date"])
-    best, settings = model.tune(train, model.quantile_features(), model.boosted(), grid or model.QUANTILE_BOOSTED_GRID)
+    keys = ["grid_id", "std_date"]
+    train, test = model.split_by_key(rows, keys)
+    best, settings = model.tune(train, model.quantile_features(), model.boosted(), grid or model.QUANTILE_BOOSTED_GRID, keys=keys)
     metrics = model.regression_metrics(model.predict(best, test)).first().asDict()
     model.save_bundle(best, path, settings, metrics, "gradient-boosted trees on normal scores")
     return metrics
