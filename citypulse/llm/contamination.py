@@ -11,8 +11,8 @@ Terms are 64-bit hashes of lower-cased words. The index may be limited to the te
 if these are few enough to be sent to all tasks; else it holds all terms.
 
 Defined results: a null or empty text has no words and matches nothing; an item without words has
-no window; repeated documents and items count each for itself, rows of one doc_id are put together;
-empty tables give empty or unmatched results; further columns are ignored.
+no window; repeated documents and items count each for itself: every row has a result of its own, also
+where doc_id is null or repeated; empty tables give empty or unmatched results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ WINDOW = 13
 #: Windows that are sent to all tasks at once (each of at most 13 hashes: 12 MB), and terms that an index may be limited to.
 BLOCK_WINDOWS, MOST_TERMS = 100_000, 1_000_000
 
-SHARD = "doc_ids binary, doc_nulls binary, first binary, terms binary, sizes binary, places binary"
+#: ``base`` numbers the first row of a shard; the rows of all shards have different numbers.
+SHARD = "base long, digests binary, doc_ids binary, doc_nulls binary, first binary, terms binary, sizes binary, places binary"
 PARTS = ("doc_ids", "doc_nulls", "first", "terms", "sizes", "places")
 
 
@@ -54,12 +56,17 @@ def windows(items: DataFrame, item: str = "item_id", text: str = "text", width:
 
 
 def build_index(docs: DataFrame, terms: np.ndarray | None = None, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Index shards of documents; ``terms`` (sorted) limits which terms are kept, not which words are counted."""
+    """Index shards of documents; ``terms`` (sorted) limits which terms are kept, not which words are counted.
+
+    The shards are stored, so the numbers of their rows are the same in every search.
+    """
     spark = docs.sparkSession
     only = spark.sparkContext.broadcast(terms) if terms is not None else None
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = only.value if only else None
+        context = TaskContext.get()
+        base = (context.partitionId() if context else 0) << 40
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 w = words(batch.column(1).slice(a, b - a), ALNUM, lower=True)
@@ -74,16 +81,25 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None, doc: str = "do
                 order = np.argsort(found, kind="stable")
                 found, place = found[order], place[order]
                 cut = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, int)
+                digests = b"".join(batch.column(2).slice(a, b - a).to_pylist())
                 parts = [ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), w.first.astype(np.int64), found[cut], np.diff(np.r_[cut, len(found)]).astype(np.int32), place]
-                yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], list(PARTS))
+                columns = [pa.array([base], pa.int64()), pa.array([digests], pa.binary()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)]
+                yield pa.RecordBatch.from_arrays(columns, ["base", "digests", *PARTS])
+                base += b - a
+
+    return stored(docs.select(F.col(doc).cast("long"), text, F.unhex(text_digest(F.col(text)))).mapInArrow(index, SHARD), "index")
 
-    return docs.select(F.col(doc).cast("long"), text).mapInArrow(index, SHARD)
+
+def text_digest(text: F.Column) -> F.Column:
+    """What a row is known by outside the index: rows of one text have one result. A null text is as an empty one."""
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
 class Shard:
     """Postings of one shard as one sorted array of (term, place)."""
 
-    def __init__(self, row: dict[str, bytes]) -> None:
+    def __init__(self, row: dict) -> None:
+        self.base, self.digests = row["base"], row["digests"]
         kinds = (np.int64, np.bool_, np.int64, np.uint64, np.int32, np.int32)
         self.ids, self.nulls, self.first, self.terms, self.sizes, self.places = (np.frombuffer(row[p], k) for p, k in zip(PARTS, kinds, strict=True))
         self.begin = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
@@ -194,17 +210,18 @@ def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return np.array([r.item_id or 0 for r in rows], np.int64), np.array([r.item_id is None for r in rows]), terms.view(np.uint64), sizes
 
 
-MATCHES = "doc_id long, n_words long, places array<int>, items array<long>, near_items array<long>"
+MATCHES = "row_id long, text_sha256 string, doc_id long, n_words long, places array<int>, items array<long>, near_items array<long>"
 
 
 def search(index: DataFrame, wins: DataFrame, slop: int | None = None, share: float = 0.8) -> DataFrame:
-    """For each indexed document: words, places of words inside occurring windows, ids of the items these are from.
+    """For each indexed row: its number, digest of the text, doc_id, words, places of words inside occurring windows, ids of the items these are from.
 
     ``slop`` adds the items of which a window is near (see ``near``).
     """
     spark = index.sparkSession
-    out = None
+    out, n = None, 0
     for block in _blocks(wins):
+        n += 1
         sent = spark.sparkContext.broadcast(block)
 
         def look(batches: Iterator[pa.RecordBatch], sent: object = sent) -> Iterator[pa.RecordBatch]:
@@ -227,8 +244,11 @@ def search(index: DataFrame, wins: DataFrame, slop: int | None = None, share: fl
     def union(column: str) -> F.Column:
         return F.array_sort(F.array_distinct(F.flatten(F.collect_list(column)))).alias(column)
 
-    # A document has one row for each block of windows.
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), union("places"), union("items"), union("near_items"))
+    if n < 2:
+        return out
+    # A row of the index has one row for each block of windows.
+    one = [F.max(c).alias(c) for c in ("text_sha256", "doc_id", "n_words")]
+    return out.groupBy("row_id").agg(*one, union("places"), union("items"), union("near_items"))
 
 
 def _matches(shard: Shard, items: np.ndarray, nulls: np.ndarray, terms: np.ndarray, sizes: np.ndarray, slop: int | None, share: float) -> pa.RecordBatch:
@@ -249,13 +269,15 @@ def _matches(shard: Shard, items: np.ndarray, nulls: np.ndarray, terms: np.ndarr
 
     return pa.RecordBatch.from_arrays(
         [
+            pa.array(shard.base + np.arange(n), pa.int64()),
+            pa.array([shard.digests[i : i + 32].hex() for i in range(0, 32 * n, 32)], pa.string()),
             pa.array(shard.ids, pa.int64(), mask=shard.nulls),
             pa.array(np.diff(shard.first), pa.int64()),
             lists(owner, (hit - shard.first[owner]).astype(np.int32), pa.int32()),
             lists(pairs[0], pairs[1], pa.int64()),
             lists(close[0], close[1], pa.int64()),
         ],
-        ["doc_id", "n_words", "places", "items", "near_items"],
+        ["row_id", "text_sha256", "doc_id", "n_words", "places", "items", "near_items"],
     )
 
 
@@ -266,14 +288,14 @@ def vocabulary(wins: DataFrame) -> np.ndarray | None:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slop: int | None = None) -> DataFrame:
-    """Per document: words, words hit, items that occur, and whether hit words are a twentieth of all or more."""
+    """Per row: digest of the text, words, words hit, items that occur, and whether hit words are a twentieth of all or more."""
     wins = stored(windows(benchmark, width=width), "windows")
-    index = stored(build_index(docs, vocabulary(wins)), "index")
+    index = build_index(docs, vocabulary(wins))
     found = search(index, wins, slop)
     ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     hit = F.size("places").cast("long")
     return found.select(
-        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "text_sha256", "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
     )
@@ -282,4 +304,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, sl
 @query("op8_contamination")
 def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of benchmark windows in every document."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_sha256")

@@ -285,7 +285,8 @@ def shared_passages(docs: DataFrame, width: int = WIDTH, doc: str = "doc_id", te
     if width < PHRASE:
         raise ValueError(f"a window has at least {PHRASE} words")
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # Rows without an id take no part; left in, they would all be in one chunk.
+    docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull())
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
     docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))

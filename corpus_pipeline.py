@@ -40,8 +40,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents of which less than a twentieth are benchmark windows."""
     found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("doc_id").alias("bad_id"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti").select(COLUMNS)
+    # By the text and not by the id, which may be null or repeated: a verdict depends on nothing else.
+    bad = found.filter("contaminated").select("text_sha256").distinct()
+    return docs.join(bad, contamination.text_digest(docs["text"]) == bad["text_sha256"], "left_anti").select(COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

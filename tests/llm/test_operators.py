@@ -133,6 +133,30 @@ def test_contamination(spark, docs_schema):
     assert len(none) == len(rows) and not any(r.contaminated for r in none)
 
 
+@pytest.mark.parametrize("block", [contamination.BLOCK_WINDOWS, 3])
+def test_contamination_by_row(spark, docs_schema, block, monkeypatch):
+    """Rows with a null or repeated doc_id are documents of their own."""
+    monkeypatch.setattr(contamination, "BLOCK_WINDOWS", block)
+    rng = random.Random(5)
+    items = [(k, " ".join(f"t{k}x{rng.randrange(50)}" for _ in range(15))) for k in range(4)]
+    clean = " ".join(f"c{k}" for k in range(700))
+    rows = [(None, clean), (None, items[0][1]), (None, items[1][1] + " a"), (None, None), (7, clean), (7, items[2][1]), (None, clean)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.contamination(frame(spark, docs_schema, rows), bench).collect()
+    want = [brute.contamination([row], items)[row[0]] for row in rows]
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found) == sorted((str(d), *w) for (d, _), w in zip(rows, want, strict=True))
+
+
+def test_passages_deal_no_null_ids(spark, docs_schema, monkeypatch):
+    dealt = []
+    plain = passages._phrases
+    monkeypatch.setattr(passages, "_phrases", lambda docs, *rest: dealt.append(docs.count()) or plain(docs, *rest))
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = frame(spark, docs_schema, [(None, text)] * 5 + [(1, text), (2, text)])
+    assert [(r.doc_id, r.n_removed) for r in passages.shared_passages(docs).collect() if r.n_removed] == [(2, 60)]
+    assert dealt == [2]
+
+
 def test_proximity(spark):
     item = [f"t{k}" for k in range(13)]
     near = [*item[:4], "gap", *item[4:]]

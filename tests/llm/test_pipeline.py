@@ -72,3 +72,13 @@ def test_stages_on_empty(spark):
     docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, DIR).count() == 0
+
+
+def test_contamination_stage_by_row(spark, tmp_path):
+    """A contaminated text without an id takes no clean one with it, and a long clean one hides none."""
+    bench = " ".join(f"b{k}" for k in range(20))
+    spark.createDataFrame([(1, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, bench), (None, " ".join(["clean"] * 900)), (None, None), (3, bench), (3, "another clean text")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted((str(d), str(t)) for d, t in (rows[1], rows[2], rows[4]))
