@@ -94,37 +94,40 @@ def normal_scores(spark, sf_dir):
     return with_slot_text(fitted.transform(rows).select("grid_id", "std_date", "a", "h", "m"))
 
 
+def _forest(train):
+    return model.tune(train, model.scaled_features(), model.forest(), model.FOREST_GRID, keys=KEYS)
+
+
+def _boosted(train):
+    return model.tune(train, model.quantile_features(), model.boosted(), model.QUANTILE_BOOSTED_GRID, keys=KEYS)
+
+
 @query("forest_and_boosted_compared")
 def forest_and_boosted_compared(spark, sf_dir):
     train, test = model.split_by_key(_rows(spark, sf_dir), KEYS)
-    trees, _ = model.tune(train, model.scaled_features(), model.forest(numTrees=10), {"maxDepth": [3, 5]}, keys=KEYS)
-    steps, _ = model.tune(train, model.quantile_features(), model.boosted(maxIter=5), {"maxDepth": [3, 4]}, keys=KEYS)
+    trees, _ = _forest(train)
+    steps, _ = _boosted(train)
     return model.comparison(spark, {"forest": model.predict(trees, test), "boosted": model.predict(steps, test)})
 
 
 @query("stacked_predictions")
 def stacked_predictions(spark, sf_dir):
     train, test = model.split_by_key(_rows(spark, sf_dir), KEYS)
-    bases = {"by_forest": model.forest(numTrees=5, maxDepth=4), "by_boosted": model.boosted(maxIter=3, maxDepth=3)}
-    stacked = model.stack(train, model.scaled_features(), bases, KEYS, model.forest(numTrees=10, maxDepth=3), folds=2)
+    bases = {"by_forest": model.forest(**_forest(train)[1]), "by_boosted": model.boosted(**_boosted(train)[1])}
+    stacked = model.stack(train, model.scaled_features(), bases, KEYS)
     return model.regression_metrics(model.predict(stacked, test))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    from pyspark.ml import Pipeline
-
     rows = _rows(spark, sf_dir)
-    fitted = Pipeline(stages=[*model.quantile_features(), model.boosted(maxIter=5, maxDepth=3)]).fit(rows)
+    fitted, _ = _boosted(model.split_by_key(rows, KEYS)[0])
     return model.feature_importance(spark, fitted, rows)
 
 
 @query("latest_slot_scored")
 def latest_slot_scored(spark, sf_dir):
-    from pyspark.ml import Pipeline
-
-    rows = _rows(spark, sf_dir)
-    fitted = Pipeline(stages=[*model.quantile_features(), model.boosted(maxIter=5, maxDepth=3)]).fit(rows)
+    fitted, _ = _boosted(model.split_by_key(_rows(spark, sf_dir), KEYS)[0])
     summary, cells = I.derived(spark, sf_dir, I.AP_SUMMARY), I.derived(spark, sf_dir, I.AP_CELL)
     return with_slot_text(model.score_latest(summary, cells, fitted))
 
