@@ -5,13 +5,15 @@ longest phrases that occur in that text; with m characters, n characters of labe
 phrases its cross entropy is about c * log2(n) / m bits a character. The language with the fewest
 normalised phrases wins.
 
-Characters are lower-cased letters of the alphabet of the labelled text; rarer letters share one
-symbol, and a run of anything else is one space. The automata are dense tables (state, symbol) ->
-(state, phrase ended), so that many texts are parsed in step with one array look-up a character.
+Characters are lower-cased letters. Each language has an alphabet of its own, all letters of its
+labelled text; other letters share one symbol, and a run of anything else is one space. The automata
+are dense tables (state, symbol) -> (state, phrase ended), so that many texts are parsed in step with
+one array look-up a character. Those that do not fit in ``DENSE_BYTES`` keep their edges as sorted
+keys, which gives the same in smaller memory and more time.
 Texts are cut into lanes of ``LANE`` characters, and no phrase crosses a lane.
 
-The labelled text is a bounded sample (``SAMPLE_CHARS`` characters a language); everything else reads
-all rows. Defined results: a null, an empty text and one without letters is ``und`` with score 0;
+The labelled text is a bounded sample (``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS`` characters a
+language) of every label; everything else reads all rows. Defined results: a null, an empty text and one without letters is ``und`` with score 0;
 rows come back as they are, repeated ones too; ties go to the first language in alphabetical order;
 without labelled rows every text is ``und``; columns named as the results are replaced.
 """
@@ -32,8 +34,10 @@ from citypulse.llm.registry import query
 from citypulse.llm.storage import held, table
 from citypulse.llm.words import slices
 
-#: Bounds of the fitted sample: documents and characters for each language, languages, letters of the alphabet.
-SAMPLE_DOCS, SAMPLE_CHARS, MOST_LANGUAGES, LETTERS = 400, 60_000, 64, 62
+#: Bounds of the fitted sample: documents and characters for each language.
+SAMPLE_DOCS, SAMPLE_CHARS = 400, 60_000
+#: Bytes of all dense tables of a model.
+DENSE_BYTES = 128 << 20
 LANE = 2048
 UNKNOWN = "und"
 SPACE, RARE = 0, 1
@@ -42,7 +46,7 @@ SPACE, RARE = 0, 1
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, str]:
     """Labelled text by language: whole documents in the order of a hash of their key, up to the documented bounds."""
     rows = labelled.filter(F.col(lang).isNotNull() & (F.length(F.trim(F.col(text))) > 0))
-    sizes = {r[lang]: r["count"] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
+    sizes = {r[lang]: r["count"] for r in rows.groupBy(lang).count().collect()}
     if not sizes:
         return {}
     share = F.create_map(*(x for name, n in sizes.items() for x in (F.lit(name), F.lit(min(1.0, 4 * SAMPLE_DOCS / n)))))
@@ -62,15 +66,15 @@ def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
 
 class Alphabet:
-    """Symbols of code points: space, rare letters, then the most frequent letters."""
+    """Symbols of code points: space, rare letters (those of no language), then all letters of the texts, the most frequent first."""
 
     def __init__(self, texts: list[str]) -> None:
         points, counts = np.unique(_points("".join(texts)), return_counts=True)
         is_letter = np.array([chr(p).isalpha() for p in points], bool)
         points, counts = points[is_letter], counts[is_letter]
-        self.letters = points[np.lexsort((points, -counts))][:LETTERS]
+        self.letters = points[np.lexsort((points, -counts))]
         self.size = len(self.letters) + 2
-        self.low = np.zeros(0x3000, np.uint8)
+        self.low = np.zeros(0x3000, np.int32)
         self.low[[p for p in range(0x3000) if chr(p).isalpha()]] = RARE
         for k, p in enumerate(self.letters):
             if p < len(self.low):
@@ -82,7 +86,7 @@ class Alphabet:
         beyond = np.flatnonzero(points >= len(self.low))
         if len(beyond):
             distinct, back = np.unique(points[beyond], return_inverse=True)
-            out[beyond] = np.array([self.high.get(int(p), RARE if chr(p).isalpha() else SPACE) for p in distinct], np.uint8)[back]
+            out[beyond] = np.array([self.high.get(int(p), RARE if chr(p).isalpha() else SPACE) for p in distinct], np.int32)[back]
         return out
 
 
@@ -90,11 +94,8 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def automaton(symbols: np.ndarray, table: np.ndarray, at: int) -> int:
-    """Suffix automaton of a sequence in the rows of a table from ``at``; returns the row after them.
-
-    A cell is twice the next state (row), plus 1 where a phrase ends before the symbol.
-    """
+def automaton(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Suffix automaton of a sequence: the edges (symbol -> state) of each state; the first one is the root."""
     links, length, edges = [-1], [0], [{}]
     last = 0
     for c in symbols.tolist():
@@ -120,32 +121,54 @@ def automaton(symbols: np.ndarray, table: np.ndarray, at: int) -> int:
                     p = links[p]
                 links[q] = links[current] = copy
         last = current
-    # Where the phrase cannot grow it ends, and the next one begins with this symbol.
-    begin = np.full(table.shape[1], 2 * at + 1, np.int32)
-    for c, to in edges[0].items():
-        begin[c] = 2 * (at + to) + 1
-    table[at : at + len(edges)] = begin
-    for state, out in enumerate(edges, at):
-        for c, to in out.items():
-            table[state, c] = 2 * (at + to)
-    return at + len(edges)
+    return edges
+
+
+class Parser:
+    """Automaton of one language over the symbols of its own letters. A move is twice the next state, plus 1 where a phrase ends before the symbol."""
+
+    def __init__(self, symbols: np.ndarray, n_symbols: int, room: int) -> None:
+        own = np.setdiff1d(symbols, [SPACE, RARE])
+        self.local = np.full(n_symbols, RARE, np.int32)
+        self.local[SPACE] = SPACE
+        self.local[own] = np.arange(2, len(own) + 2)
+        self.size = len(own) + 2
+        self.bits = math.log2(max(len(symbols), 2))
+        edges = automaton(self.local[symbols])
+        # Where the phrase cannot grow it ends, and the next one begins with this symbol.
+        self.begin = np.full(self.size, 1, np.int32)
+        for c, to in edges[0].items():
+            self.begin[c] = 2 * to + 1
+        n = np.array([len(out) for out in edges])
+        keys = np.repeat(np.arange(len(edges), dtype=np.int64), n) * self.size + np.fromiter((c for out in edges for c in out), np.int64, n.sum())
+        moves = 2 * np.fromiter((to for out in edges for to in out.values()), np.int32, n.sum())
+        self.table = self.keys = self.moves = None
+        if 4 * len(edges) * self.size <= room or not len(keys):
+            self.table = np.tile(self.begin, len(edges))
+            self.table[keys] = moves
+        else:
+            order = np.argsort(keys)
+            self.keys, self.moves = keys[order], moves[order]
+
+    def move(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        key = state * self.size + symbols
+        if self.table is not None:
+            return self.table[key]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.moves[at], self.begin[symbols])
 
 
 class Model:
-    """Languages, their automata in one table, and how many characters each was built from."""
+    """Languages and their automata."""
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.names = [n for n in sorted(texts) if texts[n].strip()]
         self.alphabet = Alphabet([texts[n] for n in self.names])
-        self.roots, self.bits, at = [], [], 0
-        # A suffix automaton has less than twice as many states as symbols; pages never written take no memory.
-        each = [squeezed(self.alphabet.symbols(_points(texts[n])))[0] for n in self.names]
-        self.table = np.empty((sum(2 * len(symbols) + 1 for symbols in each), self.alphabet.size), np.int32)
-        for symbols in each:
-            self.roots.append(at)
-            self.bits.append(math.log2(max(len(symbols), 2)))
-            at = automaton(symbols, self.table, at)
-        self.table = self.table[:at].ravel()
+        self.parsers, room = [], DENSE_BYTES
+        for n in self.names:
+            parser = Parser(squeezed(self.alphabet.symbols(_points(texts[n])))[0], self.alphabet.size, room)
+            self.parsers.append(parser)
+            room -= 0 if parser.table is None else parser.table.nbytes
 
     def entropies(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Bits a character for each text (rows) and language. ``first``: where each text begins, and the end."""
@@ -159,15 +182,16 @@ class Model:
         begin, width, owner = begin[order], width[order], owner[order]
         alive = np.searchsorted(-width, -np.arange(1, LANE + 1), side="right") if len(width) else np.zeros(LANE, int)
         phrases = np.zeros((len(size), len(self.names)))
-        for k, root in enumerate(self.roots):
-            state = np.full(len(owner), root, np.int64)
+        for k, parser in enumerate(self.parsers):
+            own = parser.local[symbols]
+            state = np.zeros(len(owner), np.int64)
             ended = np.ones(len(owner), np.int32)
             for i in range(int(width[0]) if len(width) else 0):
                 n = alive[i]
-                move = self.table[state[:n] * self.alphabet.size + symbols[begin[:n] + i]]
+                move = parser.move(state[:n], own[begin[:n] + i])
                 ended[:n] += move & 1
                 state[:n] = move >> 1
-            phrases[:, k] = np.bincount(owner, ended, len(size)) * self.bits[k]
+            phrases[:, k] = np.bincount(owner, ended, len(size)) * parser.bits
         return phrases / np.maximum(size, 1)[:, None]
 
 
@@ -199,7 +223,7 @@ def identify(docs: DataFrame, texts: dict[str, str], text: str = "text") -> Data
     new = {"lang_pred": T.StringType(), "score": T.DoubleType(), "bits": T.DoubleType()}
     kept = docs.drop(*new)
     schema = T.StructType([*kept.schema.fields, *(T.StructField(c, kind) for c, kind in new.items())])
-    sent = docs.sparkSession.sparkContext.broadcast(texts)  # MOST_LANGUAGES * SAMPLE_CHARS characters at most
+    sent = docs.sparkSession.sparkContext.broadcast(texts)  # SAMPLE_CHARS characters a language at most
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent.value)

@@ -259,6 +259,25 @@ def test_language(spark, docs_schema):
     assert language.identify(odd.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("dense_bytes", [0, language.DENSE_BYTES])
+def test_language_many_scripts_and_labels(spark, dense_bytes, monkeypatch):
+    """Seventy labels, each with twelve letters of its own."""
+    monkeypatch.setattr(language, "DENSE_BYTES", dense_bytes)
+    rng = random.Random(4)
+    rows = []
+    for d in range(280):
+        letters = [chr(0x4E00 + 12 * (d % 70) + k) for k in range(12)]
+        rows.append((d, " ".join("".join(rng.choices(letters, k=5)) for _ in range(20)), f"l{d % 70:02}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = language.sample(docs)
+    assert len(texts) == 70
+    found = language.Model(texts)
+    assert all((p.table is None) == (dense_bytes == 0) for p in found.parsers) and found.alphabet.size == 842
+    points, first = language.text_points(pa.array([t for _, t, _ in rows]))
+    bits = found.entropies(*language.squeezed(found.alphabet.symbols(points), first))
+    assert [found.names[k] for k in bits.argmin(axis=1)] == [name for _, _, name in rows]
+
+
 def test_scoring(spark, docs_schema):
     rows = list(enumerate(texts(140, 31)))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
