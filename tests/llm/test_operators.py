@@ -278,6 +278,22 @@ def test_language_many_scripts_and_labels(spark, dense_bytes, monkeypatch):
     assert [found.names[k] for k in bits.argmin(axis=1)] == [name for _, _, name in rows]
 
 
+def test_token_counts_by_ranges(spark, tmp_path, monkeypatch):
+    """Large files cut into ranges give what whole files give, and no task holds a whole one."""
+    rng = random.Random(6)
+    for k, n in enumerate([0, 40, 7, 300, 1, 64, 90]):
+        values = [tokencount.SEPARATOR if rng.random() < (0.2 if k != 4 else 0) and not 100 < i < 180 else rng.randrange(50) for i in range(n)]
+        np.array(values, tokencount.DTYPE).tofile(f"{tmp_path}/part-{k}.bin")
+    want = sorted(map(tuple, tokencount.count_tokens(spark, str(tmp_path)).collect()))
+    seen = []
+    plain = tokencount._scanned_ranges
+    monkeypatch.setattr(tokencount, "_scanned_ranges", lambda *args: seen.append(plain(*args)) or seen[-1])
+    monkeypatch.setattr(tokencount, "WHOLE_BYTES", 20)
+    monkeypatch.setattr(tokencount, "BLOCK_TOKENS", 8)
+    assert sorted(map(tuple, tokencount.count_tokens(spark, str(tmp_path)).collect())) == want
+    assert seen[0].filter("number = -1").count() == 5 + 38 + 8 + 12
+
+
 def test_scoring(spark, docs_schema):
     rows = list(enumerate(texts(140, 31)))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
