@@ -6,6 +6,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     jaccard,
     language,
     passages,
+    periods,
     pieces,
     scoring,
     secrets,
