@@ -8,6 +8,7 @@ from citypulse.llm import (  # noqa: F401  (register)
     passages,
     periods,
     pieces,
+    quality,
     scoring,
     secrets,
     tokencount,
