@@ -1,6 +1,7 @@
 """All registered queries of this subpackage."""
 
 from citypulse.llm import (  # noqa: F401  (register)
+    centroids,
     contamination,
     html,
     jaccard,
