@@ -96,4 +96,4 @@ def payment_month_keys(spark, sf_dir):
 )
 def merchant_cell_lookup(spark, sf_dir):
     payments = I.derived(spark, sf_dir, I.LOCAL_PAY).select("pay_no", "merchant")
-    return map_column(payments, "merchant", I.derived(spark, sf_dir, I.MERCHANT_CELL), "merchant", "grid_id", "grid_id")
+    return map_column(payments, "merchant", I.derived(spark, sf_dir, I.MERCHANT_CELL), "merchant", "grid_id", "grid_id", split_hot=True)

@@ -79,7 +79,7 @@ def payments_with_age(payments: DataFrame, merchant_cells: DataFrame, left_close
             "birth": F.try_to_date(F.col("birth").cast("string"), "yyyyMMdd"),
         }
     )
-    placed = map_column(dated, "merchant", merchant_cells, "merchant", "grid_id", "grid_id")
+    placed = map_column(dated, "merchant", merchant_cells, "merchant", "grid_id", "grid_id", split_hot=True)
     aged = placed.withColumns(
         {
             "pay_month": month_label(F.col("pay_date")),

@@ -1,14 +1,16 @@
 """Key to value lookups.
 
 No join here carries a broadcast hint: Spark broadcasts a lookup whose size is under
-``spark.sql.autoBroadcastJoinThreshold`` (checked again at run time by AQE) and shuffles
-a larger one, splitting hot keys of the other side.
+``spark.sql.autoBroadcastJoinThreshold`` (checked again at run time by AQE) and shuffles a larger one.
+Where single rows meet a lookup, ``map_column(..., split_hot=True)`` counts the keys first and deals
+out the rows of frequent ones, so that the split depends on the data and not on the shape of the plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique_lookup(df: DataFrame, key: str, value: str, ordinal: str) -> DataFrame:
@@ -30,13 +32,48 @@ def _one_each(lookup: DataFrame, key: str, value: str) -> DataFrame:
     return pairs.select(F.col(key), only.alias(value))
 
 
-def map_column(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, lookup_value: str, output: str) -> DataFrame:
+def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
+    """Keys with more rows than an even share of a shuffle partition, and how many shares they fill.
+
+    There are fewer of them than shuffle partitions, whatever the data. Keys are counted map side, in a
+    pass over the key column alone.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n") / partitions).scalar()
+    hot = counts.filter(F.col("_n") > share).select("_key", F.ceil(F.col("_n") / share).cast("int").alias("_parts"))
+    return {r["_key"]: r["_parts"] for r in hot.collect()}
+
+
+def _parts(key: Column, kind: T.DataType, hot: dict[object, int]) -> Column:
+    """Into how many parts the rows of a key are dealt."""
+    values = [F.lit(k).cast(kind) for k in hot]
+    pairs = [c for k, n in zip(values, hot.values(), strict=True) for c in (k, F.lit(n))]
+    return F.when(key.isin(*values), F.element_at(F.create_map(*pairs), key)).otherwise(1) if hot else F.lit(1)
+
+
+def map_column(
+    df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, lookup_value: str, output: str, split_hot: bool = False
+) -> DataFrame:
     """Add ``output``: the lookup's value for ``key``, NULL where there is none.
 
-    A key of the lookup that has several values is an error; see :func:`unique_lookup`.
+    A key of the lookup that has several values is an error; see :func:`unique_lookup`. With ``split_hot``
+    the rows of each frequent key, and those without a key, are dealt into parts of about one shuffle partition
+    each, and the frequent keys' entries of the lookup are repeated for the parts. That counts the keys
+    when the frame is made, so it takes one more pass over the key column of ``df``; a stream is not counted.
     """
     pairs = _one_each(lookup.select(F.col(lookup_key).alias("_key"), F.col(lookup_value).alias(output)), "_key", output)
-    return df.join(pairs, F.col(key) == F.col("_key"), "left").drop("_key")
+    if not split_hot or df.isStreaming:
+        return df.join(pairs, F.col(key) == F.col("_key"), "left").drop("_key")
+    hot, kind = hot_keys(df, key), df.schema[key].dataType
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.when(F.col(key).isNull(), spread).otherwise(_parts(F.col(key), kind, hot))
+    # Equal rows of one task stay together, those of different tasks need not; a task that runs again deals alike.
+    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    dealt = df.withColumn("_part", F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in content]), parts).cast("int"))
+    numbers = F.sequence(F.lit(0), _parts(F.col("_key").cast(kind), kind, hot) - 1)
+    repeated = pairs.withColumn("_of", F.explode(numbers))
+    return dealt.join(repeated, (F.col(key) == F.col("_key")) & (F.col("_part") == F.col("_of")), "left").drop("_key", "_of", "_part")
 
 
 def compose_lookups(

@@ -23,7 +23,7 @@ def cell_counts(summary: DataFrame, ap_cells: DataFrame) -> DataFrame:
     ``summary(std_date, ap_id, cnt)``, ``ap_cells(ap_id, grid_id)``.
     """
     return (
-        map_column(summary, "ap_id", ap_cells, "ap_id", "grid_id", "grid_id")
+        map_column(summary, "ap_id", ap_cells, "ap_id", "grid_id", "grid_id", split_hot=True)
         .na.drop(subset=["grid_id", "std_date"])
         .groupBy("grid_id", "std_date")
         .agg(sum_or_zero("cnt").alias("acs_cnt"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from citypulse.operators import economy, paths, presence, sensors, spatial
+from citypulse.operators import economy, lookup, paths, presence, sensors, spatial
 
 # No join may broadcast, and partitions count as skewed from a few kilobytes on.
 LARGE_DATA = {
@@ -37,6 +37,11 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def partition_sizes(df, used):
+    """Rows of each partition. The column ``used`` keeps the join that makes it in the plan."""
+    return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max(used)).collect()]
+
+
 def hot(column, n=20_000):
     """A key column in which one value holds a third of the rows."""
     return F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997).alias(column)
@@ -49,8 +54,9 @@ def test_hot_merchant_is_split_in_row_level_lookup(spark):
     )
     cells = spark.range(997).select(F.col("id").cast("string").alias("merchant"), F.col("id").cast("string").alias("grid_id"))
     with settings(spark, LARGE_DATA):
-        plan = executed(economy.payments_with_age(rows, cells))
-    assert "skew=true" in plan
+        sizes = partition_sizes(economy.payments_with_age(rows, cells), "grid_id")
+    # A third of the rows has one merchant: no task of the join gets much more than an even share.
+    assert sum(sizes) == 20_000 and max(sizes) <= 2.2 * 20_000 / 8
 
 
 def test_hot_access_point_is_split_before_an_aggregate(spark):
@@ -58,10 +64,43 @@ def test_hot_access_point_is_split_before_an_aggregate(spark):
         (F.lit("2025-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("std_date"),
         hot("ap_id"), F.lit(1).alias("cnt"),
     )
-    cells = spark.range(997).select(F.col("id").cast("int").alias("ap_id"), F.lit("c").alias("grid_id"))
-    with settings(spark, LARGE_DATA):
-        plan = executed(sensors.cell_counts(rows, cells))
-    assert "skew=true" in plan
+    for kind in ("int", "bigint"):
+        cells = spark.range(997).select(F.col("id").cast(kind).alias("ap_id"), F.lit("c").alias("grid_id"))
+        with settings(spark, LARGE_DATA):
+            found = sensors.cell_counts(rows, cells)
+            plan = executed(found)
+            joined = lookup.map_column(rows, "ap_id", cells, "ap_id", "grid_id", "grid_id", split_hot=True)
+            sizes = partition_sizes(joined, "grid_id")
+        assert "_part" in plan and max(sizes) <= 2.2 * 20_000 / 8
+        assert found.agg(F.sum("acs_cnt")).first()[0] == 20_000
+
+
+@pytest.mark.parametrize("kind, other", [("string", "string"), ("bigint", "bigint"), ("bigint", "int"), ("int", "string")])
+def test_hot_and_missing_keys_are_dealt_out_whatever_the_plan(spark, kind, other):
+    """A third of the rows with one key and a third with none: no partition of the join has much more than its share."""
+    n, third = 24_000, F.col("id") % 3
+    key = F.when(third == 0, F.lit(7)).when(third == 1, F.col("id") % 997)
+    rows = spark.range(0, n, 1, 8).select("id", key.cast(kind).alias("k"), F.lit("same").alias("note"))
+    pairs = spark.range(0, 900).select(F.col("id").cast(other).alias("key"), (F.col("id") * 10).alias("v"))
+    plain = {**{k: v for k, v in LARGE_DATA.items() if "Broadcast" in k}, "spark.sql.adaptive.enabled": "false"}
+    with settings(spark, plain):
+        found = lookup.map_column(rows, "k", pairs, "key", "v", "v", split_hot=True)
+        sizes = partition_sizes(found, "v")
+        assert sum(sizes) == n and max(sizes) <= 2.2 * n / 8
+        whole = lookup.map_column(rows, "k", pairs, "key", "v", "v")
+        uneven = partition_sizes(whole, "v")
+        assert max(uneven) > 2.2 * n / 8
+        assert found.columns == whole.columns and found.exceptAll(whole).count() == 0 and whole.exceptAll(found).count() == 0
+        assert found.filter("v is null").count() > n / 3 and found.filter("v = 70").count() > n / 3
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_out_by_task(spark):
+    rows = spark.range(0, 8000, 1, 8).select(F.lit("a").alias("k"))
+    pairs = spark.createDataFrame([("a", 1), ("b", 2)], "key string, v int")
+    found = lookup.map_column(rows, "k", pairs, "key", "v", "v", split_hot=True)
+    assert found.filter("v = 1").count() == 8000
+    assert lookup.hot_keys(rows, "k") == {"a": 8} and lookup.hot_keys(rows.limit(0), "k") == {}
+    assert lookup.map_column(rows.limit(0), "k", pairs, "key", "v", "v", split_hot=True).count() == 0
 
 
 def test_hot_merchant_is_summed_before_the_join(spark):
