@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import inputs as I
-from checks.registry import query
+from checks.registry import ORACLE, query
 from citypulse.functions.points import wkb_point
 from citypulse.session import prepare, shared_dir
-from citypulse.sources import files, sinks
+from citypulse.sources import editions, files, sinks
 
 
 def fresh(spark, name):
@@ -75,7 +75,21 @@ FROM part CROSS JOIN (VALUES (0), (1)) AS r(ring_no) WHERE ring_no = 0 OR p_part
 def polygons_written_and_read(spark, sf_dir):
     path = fresh(spark, "shapes")
     sinks.write_geojson(I.derived(spark, sf_dir, SHAPES), path, ["id"])
-    found = files.read_geojson(spark, path, ["id"], one_feature_per_line=True)
+    return _corners(files.read_geojson(spark, path, ["id"], one_feature_per_line=True))
+
+
+@query("polygons_of_one_line_read", ORACLE["polygons_written_and_read"])
+def polygons_of_one_line_read(spark, sf_dir):
+    """A whole collection on one line, read by ranges of bytes."""
+    path = fresh(spark, "line")
+    sinks.write_geojson(I.derived(spark, sf_dir, SHAPES), f"{path}/features", ["id"])
+    features = F.array_join(F.array_sort(F.collect_list("value")), ",")
+    line = F.concat(F.lit('{"type":"FeatureCollection","name":"a } [ \\" {","crs":{"type":"name","properties":{"name":"x"}},"features":['), features, F.lit("]}"))
+    spark.read.text(f"{path}/features").agg(line.alias("value")).write.text(f"{path}/collection")
+    return _corners(files.read_geojson(spark, f"{path}/collection", ["id"]))
+
+
+def _corners(found):
     rings = found.select("id", F.posexplode(F.arrays_zip("rings", "ring_parts")).alias("ring_no", "r"))
     ring = F.col("r.rings")
     return rings.select(
@@ -137,6 +151,34 @@ def months_replaced_together(spark, sf_dir):
     return single.unionByName(double)
 
 
+_TOGETHER = " UNION ALL ".join(
+    f"SELECT '{seen}' AS seen, '{name}' AS name, k, crtr_ym, {sign}{times} * v AS v FROM ({MONTHS.replace('AS string', 'AS varchar')}) m"
+    for seen, sign in (("before", ""), ("stopped", ""), ("after", "-"))
+    for times, name in enumerate(("single", "double", "triple", "fourfold"), 1)
+)
+
+
+@query("months_published_together", f"SELECT seen, name, k, crtr_ym, CASE WHEN seen = 'after' AND crtr_ym <> '202503' THEN -v ELSE v END AS v FROM ({_TOGETHER}) t")
+def months_published_together(spark, sf_dir):
+    """Four tables as readers see them: published, after a run that stopped before its manifest, and after one that finished."""
+    root = fresh(spark, "editions")
+    rows = I.derived(spark, sf_dir, MONTHS)
+    frames = {name: rows.withColumn("v", times * F.col("v")) for times, name in enumerate(("single", "double", "triple", "fourfold"), 1)}
+    march = {name: df.filter("crtr_ym = '202503'").withColumn("v", -F.col("v")) for name, df in frames.items()}
+
+    def seen(label):
+        parts = [editions.read(spark, root, name, "k bigint, v double").select(F.lit(label).alias("seen"), F.lit(name).alias("name"), "k", "crtr_ym", "v") for name in frames]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+    editions.write_months(frames, root)
+    before = seen("before")
+    written = editions.write_edition({name: march[name] for name in ("single", "double")}, root)
+    stopped = seen("stopped")
+    written |= editions.write_edition({name: march[name] for name in ("triple", "fourfold")}, root)
+    editions.publish(spark, root, written)
+    return before.unionByName(stopped).unionByName(seen("after"))
+
+
 @query(
     "tables_replaced_appended_created",
     """
@@ -168,6 +210,72 @@ def rows_conformed_and_stamped(spark, sf_dir):
     return stored.select("k", "later", "cust", F.col("reg_dttm").isNotNull().alias("stamped"))
 
 
+def _one_file(df, target):
+    """A delimited file with a name of its own."""
+    spark = df.sparkSession
+    sinks.write_csv(df.coalesce(1), f"{target}-parts")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = place(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = [f.getPath() for f in system.listStatus(place(f"{target}-parts")) if f.getPath().getName().startswith("part-")]
+    system.rename(part, place(target))
+    system.delete(place(f"{target}-parts"), True)
+
+
+@query("newest_file_read", "SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 3 = 2")
+def newest_file_read(spark, sf_dir):
+    """Of the files of several months the one whose name sorts last; other names do not count."""
+    root = fresh(spark, "newest")
+    rows = I.derived(spark, sf_dir, "SELECT o_orderkey AS k FROM orders")
+    for part, name in enumerate(("sales_202411", "sales_202412", "sales_202501", "other_202609")):
+        _one_file(rows.filter(F.col("k") % 3 == part % 3), f"{root}/{name}.csv")
+    return files.read_delimited(spark, files.newest_file(spark, root, "sales_*.csv"), fields(k="bigint"), sep=",")
+
+
+@query("table_created_once", "SELECT o_orderkey AS k, CAST(strftime(o_orderdate, '%Y%m') AS varchar) AS ym, 1::bigint AS copies FROM orders")
+def table_created_once(spark, sf_dir):
+    """A table that is created if it is missing: the second call leaves its rows alone."""
+    path = fresh(spark, "created")
+    name = f"orders_{uuid.uuid4().hex}"
+    rows = I.derived(spark, sf_dir, "SELECT o_orderkey AS k, date_format(o_orderdate, 'yyyyMM') AS ym FROM orders")
+    for _ in range(2):
+        sinks.create_table(spark, name, fields(k="bigint", ym="string"), path, ["ym"])
+        if spark.table(name).isEmpty():
+            rows.write.insertInto(name, overwrite=False)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    stored = spark.read.schema("k bigint, ym string").parquet(path)
+    return stored.groupBy("k", "ym").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("zipped_members_read", "SELECT l_orderkey AS k, l_linenumber AS n, l_quantity AS qty, l_returnflag AS archive FROM lineitem")
+def zipped_members_read(spark, sf_dir):
+    """An archive for each return flag with a member for each line number, in either code page, beside what is not wanted."""
+    root = fresh(spark, "zips")
+    rows = I.derived(spark, sf_dir, "SELECT l_returnflag AS flag, l_linenumber AS n, l_orderkey AS k, l_quantity AS qty FROM lineitem")
+
+    def pack(key, table):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+        from pyarrow import csv, fs
+
+        system, folder = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        system.create_dir(folder)
+        with system.open_output_stream(f"{folder}/{key[0].as_py()}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("readme.txt", "no rows")
+            archive.writestr("other.csv", "k|n|qty\n0|0|0\n")
+            for n in sorted(set(table.column("n").to_pylist())):
+                part = table.filter(pa.compute.equal(table.column("n"), n)).select(["qty", "k", "n"])
+                text = io.BytesIO()
+                csv.write_csv(part, text, csv.WriteOptions(delimiter="|"))
+                archive.writestr(f"in/Flow_{n}.csv", text.getvalue().decode().encode("cp949" if n % 2 else "utf-8"))
+        return pa.table({"flag": pa.array([key[0].as_py()])})
+
+    rows.groupBy("flag").applyInArrow(pack, "flag string").count()
+    found = files.read_zipped(spark, root, "flow_", fields(k="bigint", n="int", qty="double"))
+    return found.select("k", "n", "qty", F.regexp_extract("archive", r"([A-Z])\.zip$", 1).alias("archive"))
+
+
 # Points whose coordinates are whole 2^-20 degrees, so that the bits of their doubles follow from integers:
 # longitudes of 127 and more in [64, 128), latitudes of 34 and more in [32, 64).
 _LON = "127 + c_custkey * 7919 % 1048576 / 1048576.0"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citypulse.session import cut_lineage
+from citypulse.sources import json_ranges
+
 # Name of the Korean code page in the JVM.
 KOREAN = "MS949"
 
@@ -128,25 +131,56 @@ def read_delimited_tree(
 
 
 def read_zipped(
-    spark: SparkSession, root: str, member: str, schema: T.StructType, sep: str = "|", archives_per_task: int = 1
+    spark: SparkSession, root: str, member: str, schema: T.StructType, sep: str = "|", members_per_task: int = 1
 ) -> DataFrame:
     """Rows of the members of ZIP archives whose name contains ``member`` and ends in .csv.
 
-    Only paths are listed by Spark; each task opens its archives by path and streams the member in
-    batches, so an archive is never held whole. A ZIP cannot be split, so one archive is one task's
-    work; archives are dealt out in turn. Rows keep the archive in ``archive``. Columns are matched by
-    header name.
+    First the directories at the ends of the archives are read, and no more of them. Then the members are
+    dealt out, the largest first: a task opens an archive by path, reads the bytes of its member alone and
+    streams them in batches, so neither an archive nor a member is ever held whole. A member is compressed
+    as a whole and cannot be split. Rows keep the archive in ``archive``. Columns are matched by header name.
     """
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(root).select("path")
-    count = paths.count()
-    spread = paths.repartition(max(1, -(-count // archives_per_task)))
+    listed = cut_lineage(paths.mapInArrow(_zip_members(member.lower()), "archive string, name string, bytes long"))
+    count = listed.count()
+    # In turn by size, so that the large members go to different tasks.
+    ranked = listed.withColumn("turn", F.row_number().over(Window.orderBy(F.desc("bytes"), "archive", "name")))
+    tasks = max(1, -(-count // members_per_task))
+    spread = ranked.select("archive", "name", (F.col("turn") % tasks).alias("task")).repartitionById(tasks, F.col("task").cast("int")).select("archive", "name")
     names = [field.name for field in schema.fields]
     as_text = T.StructType([T.StructField("archive", T.StringType())] + [T.StructField(n, T.StringType()) for n in names])
-    rows = spread.mapInArrow(_zip_rows(member.lower(), sep, names), as_text)
+    rows = spread.mapInArrow(_zip_rows(sep, names), as_text)
     return rows.select("archive", *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _zip_rows(member: str, sep: str, names: list[str]):
+def _opened(path: str):  # noqa: ANN202
+    """A file that can be read from any place, by its path."""
+    from pyarrow import fs
+
+    place = path.replace("file:", "file://", 1) if path.startswith("file:/") and "://" not in path else path
+    system, inner = fs.FileSystem.from_uri(place)
+    return system.open_input_file(inner)
+
+
+def _zip_members(member: str):
+    """Task function: the wanted members of archives, from the directories at their ends."""
+
+    def read(batches):
+        import zipfile
+
+        import pyarrow as pa
+
+        for paths in batches:
+            for path in paths.column(0).to_pylist():
+                with _opened(path) as handle, zipfile.ZipFile(handle) as archive:
+                    found = [i for i in archive.infolist() if member in i.filename.lower() and i.filename.endswith(".csv")]
+                columns = [pa.array([path] * len(found), pa.string()), pa.array([i.filename for i in found], pa.string()), pa.array([i.compress_size for i in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["archive", "name", "bytes"])
+
+    return read
+
+
+def _zip_rows(sep: str, names: list[str]):
     """Task function: rows of archive members as batches of text columns."""
 
     def read(batches):
@@ -154,7 +188,7 @@ def _zip_rows(member: str, sep: str, names: list[str]):
         import zipfile
 
         import pyarrow as pa
-        from pyarrow import csv, fs
+        from pyarrow import csv
 
         class Decoded(io.RawIOBase):
             """UTF-8 bytes of a member: as they are, or from the Korean code page from the first line that is not valid."""
@@ -176,55 +210,54 @@ def _zip_rows(member: str, sep: str, names: list[str]):
                 out[:n], self.rest = self.rest[:n], self.rest[n:]
                 return n
 
-        for paths in batches:
-            for path in paths.column(0).to_pylist():
-                place = path.replace("file:", "file://", 1) if path.startswith("file:/") and "://" not in path else path
-                system, inner = fs.FileSystem.from_uri(place)
-                with system.open_input_file(inner) as handle, zipfile.ZipFile(handle) as archive:
-                    for name in sorted(archive.namelist()):
-                        if member not in name.lower() or not name.endswith(".csv"):
-                            continue
-                        with archive.open(name) as stream:
-                            reader = csv.open_csv(
-                                io.BufferedReader(Decoded(stream)),
-                                parse_options=csv.ParseOptions(delimiter=sep),
-                                convert_options=csv.ConvertOptions(
-                                    column_types={n: pa.string() for n in names}, include_columns=names,
-                                    include_missing_columns=True, strings_can_be_null=False,
-                                ),
-                            )
-                            for rows in reader:
-                                columns = [rows.column(n).cast(pa.string()) for n in names]
-                                yield pa.RecordBatch.from_arrays([pa.array([path] * rows.num_rows, pa.string()), *columns], ["archive", *names])
+        for wanted in batches:
+            for path, name in zip(wanted.column(0).to_pylist(), wanted.column(1).to_pylist(), strict=True):
+                with _opened(path) as handle, zipfile.ZipFile(handle) as archive, archive.open(name) as stream:
+                    reader = csv.open_csv(
+                        io.BufferedReader(Decoded(stream)),
+                        parse_options=csv.ParseOptions(delimiter=sep),
+                        convert_options=csv.ConvertOptions(
+                            column_types={n: pa.string() for n in names}, include_columns=names,
+                            include_missing_columns=True, strings_can_be_null=False,
+                        ),
+                    )
+                    for rows in reader:
+                        columns = [rows.column(n).cast(pa.string()) for n in names]
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * rows.num_rows, pa.string()), *columns], ["archive", *names])
 
     return read
 
 
 def read_lookup_json(spark: SparkSession, path: str, value_type: str = "string") -> DataFrame:
-    """``key, value`` rows of a JSON object of scalars. Also takes an object stored as a JSON string."""
-    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
+    """``key, value`` rows of a JSON object of scalars, read by several tasks. Also takes an object stored as a JSON string.
+
+    That one is a single value, which one task parses.
+    """
     kind = f"map<string,{value_type}>"
-    inner = F.from_json(F.get_json_object(F.concat(F.lit('{"doc":'), "doc", F.lit("}")), "$.doc"), kind)
-    plain = F.from_json("doc", kind)
-    return text.select(F.explode(F.coalesce(plain, inner)).alias("key", "value"))
+    begin = spark.read.option("lineSep", ",").text(path).select(F.regexp_extract("value", r"\S", 0).alias("sign")).filter("sign <> ''").first()
+    if begin is not None and begin[0] == '"':
+        text = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
+        inner = F.from_json(F.get_json_object(F.concat(F.lit('{"doc":'), "doc", F.lit("}")), "$.doc"), kind)
+        return text.select(F.explode(inner).alias("key", "value"))
+    entry = F.concat(F.lit("{"), "value", F.lit("}"))
+    return json_ranges.members(spark, path, 1, ",").select(F.explode(F.from_json(entry, kind)).alias("key", "value"))
 
 
 def read_geojson(spark: SparkSession, path: str, properties: list[str], one_feature_per_line: bool = False) -> DataFrame:
     """Polygon features: the named properties (text), ``rings``, all rings of all parts, and ``ring_parts``, the part of each.
 
-    A feature collection is one JSON document and is parsed by one task; written with one feature per
-    line (as most writers do) it is read as splittable lines with ``one_feature_per_line=True``.
+    A feature collection may stand on one line: it is read by ranges of bytes, in two passes. Written with one
+    feature per line (as most writers do) ``one_feature_per_line=True`` needs one pass.
     """
     wanted = ", ".join(f"`{p}` string" for p in properties)
-    feature = f"struct<properties: struct<{wanted.replace('` string', '`: string')}>, geometry: struct<type: string, coordinates: string>>"
+    feature = f"struct<type: string, properties: struct<{wanted.replace('` string', '`: string')}>, geometry: struct<type: string, coordinates: string>>"
     if one_feature_per_line:
         lines = spark.read.text(path).filter(F.col("value").contains('"Feature"'))
         body = F.regexp_replace(F.col("value"), r",\s*$", "")
         features = lines.select(F.from_json(body, feature).alias("f"))
     else:
-        documents = spark.read.text(path, wholetext=True)
-        collection = F.from_json("value", f"struct<features: array<{feature}>>")
-        features = documents.select(F.explode(collection["features"]).alias("f"))
+        # Below the collection's own object (1) is its list of features (2).
+        features = json_ranges.members(spark, path, 2).select(F.from_json("value", feature).alias("f")).filter("f.type = 'Feature'")
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     parts = F.when(kind == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>"))).when(
         kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")

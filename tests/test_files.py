@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from citypulse.operators import flow, spatial
 from citypulse.schemas import FLOW_FILE, FLOW_MART, RESULT_TABLES
-from citypulse.sources import files, sinks
+from citypulse.sources import editions, files, json_ranges, sinks
 
 NAMES = T.StructType(
     [T.StructField("id", T.StringType()), T.StructField("nm", T.StringType()), T.StructField("v", T.DoubleType())]
@@ -112,6 +112,62 @@ def test_lookup_json_plain_and_double_encoded(spark, tmp_path):
         assert rows(found) == [("a", "10000001"), ("b", "none"), ("c", "7")]
 
 
+@pytest.fixture
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+ODD = ['plain', 'br}ace{', 'com,ma', 'quo"te', 'back\\slash', 'both\\"', '가게, "나"', '', '[}]{,', 'end\\\\']
+
+
+def test_lookup_json_by_ranges(spark, tmp_path, small_splits):
+    doc = {f"k{i} {ODD[i % 10]}": ODD[i % 7] * (i % 5 + 1) for i in range(400)} | {"long, one": "x,y}" * 3000}
+    for name, text in (("line", json.dumps(doc)), ("indented", json.dumps(doc, indent=3, ensure_ascii=False)), ("tight", json.dumps(doc, separators=(",", ":")))):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text, encoding="utf-8")
+        found = files.read_lookup_json(spark, str(path))
+        assert {r.key: r.value for r in found.collect()} == doc and found.count() == len(doc)
+        assert json_ranges._fragments(spark, str(path), ",").rdd.getNumPartitions() > 10
+
+
+def test_one_line_collection_by_ranges(spark, tmp_path, small_splits):
+    ring = [[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 0.0]]
+    long_ring = [[float(i), float(i * i % 97)] for i in range(1200)]
+    made = [
+        {"type": "Feature", "properties": {"id": f"{i} {ODD[i % 10]}", "more": {"a": [1, {"b": "}"}]}},
+         "geometry": {"type": "Polygon", "coordinates": [long_ring if i == 57 else ring]}}
+        for i in range(150)
+    ]
+    doc = {"type": "FeatureCollection", "name": ODD[5], "crs": {"type": "name", "properties": {"name": "x"}}, "features": made, "bbox": [0, 0, 2, 2]}
+    for name, text in (("line", json.dumps(doc)), ("indented", json.dumps(doc, indent=1)), ("tail", json.dumps(doc) + "\n\n")):
+        path = tmp_path / f"{name}.geojson"
+        path.write_text(text, encoding="utf-8")
+        found = files.read_geojson(spark, str(path), ["id"])
+        assert sorted((r.id, r.rings) for r in found.collect()) == sorted((f["properties"]["id"], f["geometry"]["coordinates"]) for f in made)
+    (tmp_path / "several").mkdir()
+    for k in range(3):
+        (tmp_path / "several" / f"{k}.json").write_text(json.dumps({"features": made[k * 50 : k * 50 + 50]}))
+    assert files.read_geojson(spark, str(tmp_path / "several"), ["id"]).count() == 150
+    (tmp_path / "none.json").write_text('{"type":"FeatureCollection","features":[]}')
+    assert files.read_geojson(spark, str(tmp_path / "none.json"), ["id"]).count() == 0
+
+
+def test_members_of_one_archive_are_several_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(6):
+            z.writestr(f"flow_{k}.csv", "id|nm|v\n" + "".join(f"{k}|a|{i}\n" for i in range(200)))
+    found = files.read_zipped(spark, str(tmp_path), "flow_", NAMES)
+    assert found.count() == 1200
+    by_task = found.select("id", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r.task for r in by_task}) == len(by_task) == 6
+
+
 SQUARE = [[[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 2.0], [0.0, 0.0]]]
 HOLED = SQUARE + [[[0.5, 0.5], [1.5, 0.5], [1.5, 1.5], [0.5, 1.5], [0.5, 0.5]]]
 
@@ -197,6 +253,43 @@ def test_month_tables_written_together(spark, tmp_path):
     assert spark.read.parquet(root + "/b").count() == 1
 
 
+def seen(spark, root, names=("a", "b")):
+    return {n: sorted((r.crtr_ym, r.n) for r in editions.read(spark, root, n, "n int").collect()) for n in names}
+
+
+def test_editions_are_seen_together(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    first = spark.createDataFrame([("202501", 1), ("202502", 2)], "crtr_ym string, n int")
+    assert seen(spark, root) == {"a": [], "b": []}
+    editions.write_months({"a": first, "b": first}, root)
+    old = {n: [("202501", 1), ("202502", 2)] for n in "ab"}
+    assert seen(spark, root) == old
+    again = spark.createDataFrame([("202502", 7)], "crtr_ym string, n int")
+    bad = again.select("crtr_ym", F.raise_error(F.lit("stop")).cast("int").alias("n"))
+    with pytest.raises(Exception, match="stop"):
+        editions.write_months({"a": again, "b": bad}, root)
+    assert seen(spark, root) == old
+    for _ in range(2):
+        editions.write_months({"a": again, "b": again}, root)
+        assert seen(spark, root) == {n: [("202501", 1), ("202502", 7)] for n in "ab"}
+    assert editions.remove_old(spark, root) == []
+    gone = editions.remove_old(spark, root, older_than_s=0)
+    assert len(gone) == 6 and len(list((tmp_path / "marts" / "_editions").glob("*.json"))) == 1
+    assert seen(spark, root) == {n: [("202501", 1), ("202502", 7)] for n in "ab"}
+
+
+def test_a_manifest_number_is_taken_once(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    one = spark.createDataFrame([("202501", 1)], "crtr_ym string, n int")
+    editions.write_months({"a": one}, root)
+    assert not editions._add(spark, root, 1, {"a": {}})
+    assert seen(spark, root, "a") == {"a": [("202501", 1)]}
+    written = editions.write_edition({"b": one}, root)
+    editions.write_months({"c": one}, root)
+    editions.publish(spark, root, written)
+    assert seen(spark, root, "abc") == {n: [("202501", 1)] for n in "abc"}
+
+
 def test_append_replace_create(spark, tmp_path):
     df, path = spark.range(3), str(tmp_path / "t")
     sinks.create_new(df, path)
