@@ -4,18 +4,24 @@ Polygons are rows of edges ``poly_id, x1, y1, x2, y2`` (rings closed, ``ring_no`
 two columns. Every join is an equi-join on a tile of a square grid, followed by an exact test that
 needs no division, so integer coordinates give exact answers. A tile that many points share is
 split by AQE, because the polygon side of a tile is small; equal points are tested once.
+
+Tiles come in levels, each twice as wide as the one below. A polygon (or an edge, where edges meet edges) is
+laid out on the level that suits its own size, so a map-wide one beside a million small ones
+costs rows by the number of its edges, not by its area in tiles.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse.session import cut_lineage
 
 XY = ["x", "y"]
+#: A polygon's tiles are at least as wide as this part of its average edge; tiles that one edge passes at most, about.
+FINE, MOST_TILES = 8, 64
 
 
 def _wide(df: DataFrame) -> DataFrame:
@@ -39,9 +45,11 @@ def boxes(edges: DataFrame) -> DataFrame:
     )
 
 
-def _passed_tiles(edges: DataFrame, size: Column, margin: int = 0) -> DataFrame:
+def _passed_tiles(edges: DataFrame, size: Column, margin: int = 0, crossings: bool = False) -> DataFrame:
     """Edges repeated for every tile they pass through, and the tiles up to ``margin`` around these.
 
+    With ``crossings`` the column ``crosses`` is 1 in one tile of each row whose middle line the edge crosses.
+
     In each row of tiles an edge covers the range of x that it has there, so a long slanted edge is in a
     number of tiles that grows with its length. Rounding may add a tile, never lose one.
     """
@@ -57,11 +65,61 @@ def _passed_tiles(edges: DataFrame, size: Column, margin: int = 0) -> DataFrame:
     slack = size * 1e-9 + (F.abs(left) + F.abs(right)) * 1e-12
     begin = F.greatest(left, F.coalesce(F.least(*ends), left) - slack)
     end = F.least(right, F.coalesce(F.greatest(*ends), right) + slack)
-    return (
+    tiles = (
         rows.withColumn("ty", F.explode(F.sequence(F.col("_row") - margin, F.col("_row") + margin)) if margin else F.col("_row"))
         .withColumn("tx", F.explode(F.sequence(F.floor(begin / size) - margin, F.floor(end / size) + margin)))
-        .drop("_row")
     )
+    if crossings:
+        middle = (F.col("_row") + 0.5) * size
+        # Any tile of the edge in this row will do: what lies between tiles without an edge is the same.
+        place = F.least(F.greatest(F.floor(x_at(middle) / size), F.floor(begin / size)), F.floor(end / size))
+        tiles = tiles.withColumn("crosses", ((low <= middle) & (middle < high) & (F.col("tx") == place)).cast("int"))
+    return tiles.drop("_row")
+
+
+def _level(width: Column, tile: float) -> Column:
+    """The lowest level whose tiles are at least this wide."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(width / F.lit(float(tile))))).cast("int")
+
+
+def _size(tile: float, level: Column | None = None) -> Column:
+    return F.lit(float(tile)) * F.pow(F.lit(2.0), F.col("level") if level is None else level)
+
+
+def _shapes(edges: DataFrame, tile: float) -> DataFrame:
+    """Level of each polygon, and in how many tiles of a row it can lie."""
+    length = F.hypot((F.col("x2") - F.col("x1")).cast("double"), (F.col("y2") - F.col("y1")).cast("double"))
+    sums = _wide(edges).groupBy("poly_id").agg(
+        F.min(F.least("x1", "x2")).alias("min_x"), F.max(F.greatest("x1", "x2")).alias("max_x"), _level(F.avg(length) / FINE, tile).alias("level")
+    )
+    across = F.floor(F.col("max_x") / _size(tile)) - F.floor(F.col("min_x") / _size(tile)) + 1
+    return sums.select("poly_id", "level", across.alias("across"))
+
+
+def _cover(edges: DataFrame, shapes: DataFrame, tile: float) -> tuple[DataFrame, DataFrame]:
+    """Tiles that polygons' edges pass, and runs of tiles inside them that no edge passes, each on the polygon's level.
+
+    In a row of tiles what lies between two passed tiles is inside if an odd number of edges crosses the middle
+    of the row before it. A run is given as its largest aligned pieces: ``k`` and the tile number shifted by ``k``.
+    Passed tiles are at most a small multiple of the edges, and there are fewer runs than passed tiles.
+    """
+    placed = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2")).join(shapes.select("poly_id", "level"), "poly_id")
+    passed = _passed_tiles(placed, _size(tile), crossings=True).groupBy("poly_id", "level", "ty", "tx").agg(F.sum("crosses").alias("crosses"))
+    row = Window.partitionBy("poly_id", "level", "ty").orderBy("tx")
+    odd = F.sum("crosses").over(row.rowsBetween(Window.unboundedPreceding, Window.currentRow)) % 2 == 1
+    runs = passed.select("poly_id", "level", "ty", (F.col("tx") + 1).alias("a"), (F.lead("tx").over(row) - 1).alias("b"), odd.alias("odd"))
+    runs = runs.filter("odd and b >= a")
+
+    def whole(k: Column) -> tuple[Column, Column]:
+        """First and last aligned piece of size 2^k that lies in the run."""
+        step = F.pow(F.lit(2.0), k)
+        return F.ceil(F.col("a") / step), F.floor((F.col("b") + 1) / step) - 1
+
+    k = F.col("k")
+    (first, last), (above, upto) = whole(k), whole(k + 1)
+    largest = F.filter(F.array_distinct(F.array(first, last)), lambda i: (i >= first) & (i <= last) & ~F.floor(i / 2).between(above, upto))
+    pieces = runs.withColumn("k", F.explode(F.sequence(F.lit(0), F.ceil(F.log2(F.col("b") - F.col("a") + 1)).cast("int"))))
+    return passed.drop("crosses"), pieces.select("poly_id", "level", "ty", "k", F.explode(largest).alias("tk"))
 
 
 def _edge_tiles(edges: DataFrame, size: float) -> DataFrame:
@@ -81,38 +139,46 @@ def _within(value: Column, a: Column, b: Column) -> Column:
 def points_in_polygons(points: DataFrame, edges: DataFrame, tile: float) -> DataFrame:
     """Pairs ``x, y, poly_id`` of distinct points and the polygons they are in or on the border of.
 
-    Points meet bounding boxes by tile, then the edges of those polygons in the same row of tiles;
-    an odd number of edges to the right of the point, or an edge through it, means inside.
+    Points meet the tiles of the polygons' cover. In a tile that no edge passes they are inside; in one that an edge
+    passes, an odd number of edges to the right of the point in its row of tiles, or an edge through it, means
+    inside. ``tile`` is the width of the smallest tiles; larger polygons have larger ones.
     """
-    covers = (
-        boxes(edges)
-        .withColumn("ty", _tile_range(F.col("min_y"), F.col("max_y"), tile))
-        .withColumn("tx", _tile_range(F.col("min_x"), F.col("max_x"), tile))
-    )
+    shapes = cut_lineage(_shapes(edges, tile))
+    # One row a level: how many levels there are follows from the widths of polygons, not from their number.
+    levels = {r.level: r.across for r in shapes.groupBy("level").agg(F.max("across").alias("across")).collect()}
+    if not levels:
+        return points.select(*XY).join(edges.select("poly_id"), F.lit(False)).limit(0)
+    passed, inner = _cover(edges, shapes, tile)
     x, y = F.col("x"), F.col("y")
-    candidates = (
-        _wide(points.select(*XY))
-        .na.drop()
-        .distinct()
-        .withColumns({"tx": _tile(x, tile), "ty": _tile(y, tile)})
-        .join(covers, ["tx", "ty"])
-        .filter(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y")))
-        .select("x", "y", "ty", "poly_id")
-    )
-    rows = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2")).withColumn(
-        "ty", _tile_range(F.least("y1", "y2"), F.greatest("y1", "y2"), tile)
-    )
+    distinct = _wide(points.select(*XY)).na.drop().distinct()
+
+    def probed(pairs: list[tuple[int, int]]) -> DataFrame:
+        """Points with the tile that they have on each level, shifted by k."""
+        at = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.lit(float(tile) * 2**level).alias("size"), F.lit(k).alias("k")) for level, k in pairs]))
+        found = distinct.select("x", "y", at.alias("at")).select("x", "y", "at.*")
+        return found.withColumns({"ty": F.floor(y / F.col("size")), "tx": F.floor(x / F.col("size"))}).drop("size")
+
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    rows = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2")).join(shapes.select("poly_id", "level"), "poly_id")
+    rows = rows.withColumn("ty", F.explode(F.sequence(F.floor(F.least(y1, y2) / _size(tile)), F.floor(F.greatest(y1, y2) / _size(tile)))))
     side = _side(x, y, x1, y1, x2, y2)
     crosses = ((y1 <= y) & (y < y2) & (side > 0)) | ((y2 <= y) & (y < y1) & (side < 0))
     touches = (side == 0) & _within(x, x1, x2) & _within(y, y1, y2)
-    return (
-        candidates.join(rows, ["poly_id", "ty"])
+    found = (
+        probed([(level, 0) for level in levels]).drop("k").join(passed, ["level", "ty", "tx"])
+        .select("x", "y", "ty", "poly_id")
+        .join(rows.drop("level"), ["poly_id", "ty"])
         .groupBy("x", "y", "poly_id")
         .agg(F.count_if(crosses).alias("_crossed"), F.bool_or(touches).alias("_on_edge"))
         .filter((F.col("_crossed") % 2 == 1) | F.col("_on_edge"))
         .select("x", "y", "poly_id")
     )
+    # A run is shorter than its polygon is wide by the two passed tiles at its ends.
+    shifts = [(level, k) for level, across in levels.items() if across > 2 for k in range(int(across - 2).bit_length())]
+    if not shifts:
+        return found
+    deep = probed(shifts).withColumn("tk", F.floor(F.col("tx") / F.pow(F.lit(2.0), F.col("k")))).join(inner, ["level", "ty", "k", "tk"])
+    return found.unionByName(deep.select("x", "y", "poly_id"))
 
 
 def _give_cells(points: DataFrame, matches: DataFrame, ties: str) -> DataFrame:
@@ -168,11 +234,24 @@ def ring_points(edges: DataFrame) -> DataFrame:
 
 
 def _touching_edges(left: DataFrame, right: DataFrame, tile: float) -> DataFrame:
+    """Pairs ``left_id, right_id`` once for each pair of edges that meet.
+
+    Each edge has a level on which it passes about ``MOST_TILES`` tiles at most, and is also laid out on all
+    levels above; two edges meet in the tiles of the higher of their levels.
+    """
     names = ["x1", "y1", "x2", "y2"]
-    a = _edge_tiles(_wide(left.select("poly_id", *names)), tile).withColumnRenamed("poly_id", "left_id")
-    b = _edge_tiles(
-        _wide(right.select(F.col("poly_id").alias("right_id"), *names)), tile
-    ).withColumnsRenamed({n: "r" + n for n in names})
+    width = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))).cast("double")
+    own = _level(width / MOST_TILES, tile)
+    tops = [side.agg(F.max(own)).first()[0] for side in (left, right)]
+    top = max((t for t in tops if t is not None), default=0)
+
+    def laid_out(edges: DataFrame, name: str) -> DataFrame:
+        plain = _wide(edges.select(F.col("poly_id").alias(name), *names)).withColumn("own", own)
+        levels = F.explode(F.sequence(F.col("own"), F.lit(top))) if top else F.lit(0)
+        return _passed_tiles(plain.withColumn("level", levels), _size(tile))
+
+    a = laid_out(left, "left_id")
+    b = laid_out(right, "right_id").withColumnsRenamed({n: "r" + n for n in [*names, "own"]})
     p = [F.col(n) for n in names]
     q = [F.col("r" + n) for n in names]
     sides = [_side(p[0], p[1], *q), _side(p[2], p[3], *q), _side(q[0], q[1], *p), _side(q[2], q[3], *p)]
@@ -186,7 +265,13 @@ def _touching_edges(left: DataFrame, right: DataFrame, tile: float) -> DataFrame
         (side == 0) & _within(x, e[0], e[2]) & _within(y, e[1], e[3]) for side, (x, y, e) in zip(sides, ends)
     ]
     condition = crossing | resting[0] | resting[1] | resting[2] | resting[3]
-    return a.join(b, ["tx", "ty"]).filter(condition).select("left_id", "right_id")
+    return a.join(b, ["level", "tx", "ty"]).filter((F.greatest("own", "rown") == F.col("level")) & condition).select("left_id", "right_id")
+
+
+def _rings_inside(inner: DataFrame, outer: DataFrame, tile: float) -> DataFrame:
+    """Pairs ``poly_id, _outer`` where a ring of the first has a vertex in the second."""
+    vertices = ring_points(inner)
+    return vertices.join(points_in_polygons(vertices, outer, tile).withColumnRenamed("poly_id", "_outer"), XY)
 
 
 def polygons_touch(left: DataFrame, right: DataFrame, tile: float) -> DataFrame:
@@ -194,14 +279,8 @@ def polygons_touch(left: DataFrame, right: DataFrame, tile: float) -> DataFrame:
 
     Two polygons meet when edges meet, or a ring of one lies inside the other.
     """
-
-    def inside(inner: DataFrame, outer: DataFrame) -> DataFrame:
-        vertices = ring_points(inner)
-        hits = points_in_polygons(vertices, outer, tile).withColumnRenamed("poly_id", "_outer")
-        return vertices.join(hits, XY)
-
-    left_in_right = inside(left, right).select(F.col("poly_id").alias("left_id"), F.col("_outer").alias("right_id"))
-    right_in_left = inside(right, left).select(F.col("_outer").alias("left_id"), F.col("poly_id").alias("right_id"))
+    left_in_right = _rings_inside(left, right, tile).select(F.col("poly_id").alias("left_id"), F.col("_outer").alias("right_id"))
+    right_in_left = _rings_inside(right, left, tile).select(F.col("_outer").alias("left_id"), F.col("poly_id").alias("right_id"))
     edges_meet = _touching_edges(left, right, tile)
     return edges_meet.unionByName(left_in_right).unionByName(right_in_left).distinct()
 
@@ -209,9 +288,14 @@ def polygons_touch(left: DataFrame, right: DataFrame, tile: float) -> DataFrame:
 def polygons_touching(edges: DataFrame, region: DataFrame, tile: float) -> DataFrame:
     """Ids of polygons that touch any part of a region, as ``poly_id``.
 
-    Touching one part is touching the union, so the union is never built.
+    Touching one part is touching the union, so the union is never built, nor are pairs: polygons with an edge
+    that meets one of the region are done, and only the others are asked whether they lie inside or around.
     """
-    return polygons_touch(edges, region, tile).select(F.col("left_id").alias("poly_id")).distinct()
+    met = cut_lineage(_touching_edges(edges, region, tile).select(F.col("left_id").alias("poly_id")).distinct())
+    others = edges.join(met, "poly_id", "left_anti")
+    within = _rings_inside(others, region, tile).select("poly_id")
+    around = _rings_inside(region, others, tile).select(F.col("_outer").alias("poly_id"))
+    return met.unionByName(within.unionByName(around).distinct())
 
 
 def _distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -224,18 +308,20 @@ def _distance2(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: C
     return ex * ex + ey * ey
 
 
-def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
-    """Nearest target of every polygon: ``poly_id, target_id, distance``; a tie goes to the lowest id.
+def _near_edges(polygons: DataFrame, targets: DataFrame) -> DataFrame | None:
+    """Pairs of edges among which the nearest of every polygon is. None where there is nothing to pair.
 
-    For polygons that touch no target. Tiles come in levels, each twice as wide as the one below.
-    The first level at which a target edge passes through the 3 by 3 tiles around a polygon bounds the
-    distance by 2.83 tiles, so the nearest edge is in the 7 by 7 tiles of that level (the base tile
-    is six times the largest polygon, which covers the polygon's own extent). Both steps are
-    equi-joins on level and tile; only that neighbourhood is measured.
+    Tiles come in levels, each twice as wide as the one below. A polygon
+    starts on the first level whose tiles are six diagonals of its own box wide. The first level from there
+    at which a target edge passes through the 3 by 3 tiles around it bounds the distance by 2.83 tiles, so the nearest
+    edge is in the 7 by 7 tiles of that level, which also cover the polygon's own extent. Both steps are
+    equi-joins on level and tile; only that neighbourhood is measured. The lowest tiles follow from the polygon of median
+    size, so a wide one looks at its own wide neighbourhood and changes nothing for the others.
     """
     polygons = cut_lineage(polygons.select("poly_id", "x1", "y1", "x2", "y2"))
+    side = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")).cast("double")
     extent = boxes(polygons).agg(
-        F.max(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))).alias("widest"),
+        F.percentile_approx(side, 0.5).alias("usual"),
         F.min("min_x").alias("min_x"),
         F.max("max_x").alias("max_x"),
         F.min("min_y").alias("min_y"),
@@ -248,25 +334,27 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
         F.min("y1").alias("min_y"),
         F.max("y1").alias("max_y"),
     ).first()
-    if extent["widest"] is None or around["edge"] is None:
-        kinds = dict(polygons.dtypes)["poly_id"], dict(targets.dtypes)["poly_id"]
-        return polygons.sparkSession.createDataFrame([], f"poly_id {kinds[0]}, target_id {kinds[1]}, distance double")
-    base = max(6.0 * math.sqrt(2) * float(extent["widest"]), float(around["edge"]), 1e-9)
+    if extent["usual"] is None or around["edge"] is None:
+        return None
+    reach = 6.0 * math.sqrt(2)
+    base = max(reach * float(extent["usual"]), float(around["edge"]), 1e-9)
     width = max(
         float(max(extent["max_x"], around["max_x"]) - min(extent["min_x"], around["min_x"])),
         float(max(extent["max_y"], around["max_y"]) - min(extent["min_y"], around["min_y"])),
     )
-    levels = max(math.ceil(math.log2(max(width / base, 1.0))), 0) + 1
-    size = F.lit(base) * F.pow(F.lit(2.0), F.col("level"))
+    # On the last level every polygon has found its neighbourhood, and the tiles suit one as wide as all.
+    levels = max(math.ceil(math.log2(max(reach * width / base, 1.0))), 0) + 1
+    size = _size(base)
     each_level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
 
     def around_edges(margin: int) -> DataFrame:
         return _passed_tiles(targets.select("poly_id", "x1", "y1", "x2", "y2").withColumn("level", each_level), size, margin)
 
     near = around_edges(1).select("level", "tx", "ty").distinct()
-    anchors = polygons.groupBy("poly_id").agg(F.min(F.struct("x1", "y1")).alias("anchor"))
+    own = F.greatest(F.max("x1") - F.min("x1"), F.max("y1") - F.min("y1")).cast("double")
+    anchors = polygons.groupBy("poly_id").agg(F.min(F.struct("x1", "y1")).alias("anchor"), _level(own * reach, base).alias("start"))
     first_level = (
-        anchors.withColumn("level", each_level)
+        anchors.withColumn("level", F.explode(F.sequence(F.col("start"), F.lit(levels)))).drop("start")
         .withColumns({"tx": F.floor(F.col("anchor.x1") / size), "ty": F.floor(F.col("anchor.y1") / size)})
         .join(near, ["level", "tx", "ty"])
         .groupBy("poly_id")
@@ -276,12 +364,25 @@ def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
     names = ["x1", "y1", "x2", "y2"]
     edges = polygons.select("poly_id", *names).join(first_level, "poly_id")
     candidates = around_edges(3).withColumnsRenamed({"poly_id": "target_id", **{n: "t" + n for n in names}})
+    return edges.join(candidates, ["level", "tx", "ty"])
+
+
+def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
+    """Nearest target of every polygon: ``poly_id, target_id, distance``; a tie goes to the lowest id.
+
+    For polygons that touch no target.
+    """
+    near = _near_edges(polygons, targets)
+    if near is None:
+        kinds = dict(polygons.dtypes)["poly_id"], dict(targets.dtypes)["poly_id"]
+        return polygons.sparkSession.createDataFrame([], f"poly_id {kinds[0]}, target_id {kinds[1]}, distance double")
+    names = ["x1", "y1", "x2", "y2"]
     p = [F.col(n) for n in names]
     q = [F.col("t" + n) for n in names]
     squared = F.least(_distance2(p[0], p[1], *q), _distance2(q[0], q[1], *p))
     # Distances are reduced per pair of polygons first: a minimum of plain numbers is a hash aggregate,
     # a minimum of structs needs sorted input and should only see one row per pair.
-    pairs = edges.join(candidates, ["level", "tx", "ty"]).groupBy("poly_id", "target_id").agg(F.min(squared).alias("d2"))
+    pairs = near.groupBy("poly_id", "target_id").agg(F.min(squared).alias("d2"))
     return (
         pairs.groupBy("poly_id")
         .agg(F.min(F.struct("d2", F.col("target_id").alias("id"))).alias("best"))

@@ -192,3 +192,78 @@ def test_points_on_corners_of_a_grid_in_degrees(spark):
         by_grid = spatial.locate_on_grid(points, grid, (127.5, 34.5), (0.01, 0.01), ties).select("x", "y", "grid_id")
         by_edges = spatial.locate(points, spatial.cell_edges(grid), 0.01, ties).select("x", "y", "grid_id")
         assert sorted(map(str, by_grid.collect())) == sorted(map(str, by_edges.collect()))
+
+
+def box(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    """Polygons from a few units to the whole map, one with a thousand short edges, one with a hole."""
+    rng = random.Random(21)
+    shapes = {f"s{i:02d}": [polygon(rng, rng.randrange(4000), rng.randrange(4000), 6, 5)] for i in range(40)}
+    shapes |= {f"m{i:02d}": [polygon(rng, rng.randrange(4000), rng.randrange(4000), 300, 12)] for i in range(6)}
+    shapes["map"] = [box(-10, -10, 4100, 4100)]
+    shapes["fine"] = [[(round(2000 + 900 * math.cos(k * math.pi / 500)), round(2000 + 700 * math.sin(k * math.pi / 500))) for k in range(1000)]]
+    shapes["holed"] = [box(500, 500, 3500, 3600), box(1000, 1000, 3000, 3100)]
+    return {n: r for n, r in shapes.items() if all(len(ring) >= 3 for ring in r)}
+
+
+def edges_of_rings(spark, shapes):
+    data = [(n, k, *a, *b) for n, rings in shapes.items() for k, ring in enumerate(rings) for a, b in zip(ring, ring[1:] + ring[:1], strict=True) if a != b]
+    return spark.createDataFrame(data, "poly_id string, ring_no int, x1 int, y1 int, x2 int, y2 int")
+
+
+def in_rings(p, rings):
+    edges = [(a, b) for ring in rings for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]
+    if any(on_segment(p, a, b) for a, b in edges if a != b):
+        return True
+    return sum((a[1] > p[1]) != (b[1] > p[1]) and (side(p, a, b) > 0) == (b[1] > a[1]) for a, b in edges) % 2 == 1
+
+
+@pytest.mark.parametrize("tile", [3, 64, 5000])
+def test_points_in_polygons_of_all_sizes(spark, mixed, tile):
+    rng = random.Random(tile)
+    points = {(rng.randrange(-200, 4300), rng.randrange(-200, 4300)) for _ in range(500)}
+    points |= {p for n in ("s00", "m00", "map", "holed") for ring in mixed[n] for p in ring} | {(500, 2000), (1000, 2000), (750, 2000), (2000, 2000), (-10, 7)}
+    df = spark.createDataFrame(sorted(points), "x int, y int")
+    found = {(r.x, r.y, r.poly_id) for r in spatial.points_in_polygons(df, edges_of_rings(spark, mixed), tile).collect()}
+    assert found == {(*p, n) for p in points for n, rings in mixed.items() if in_rings(p, rings)}
+    assert spatial.points_in_polygons(df, edges_of_rings(spark, mixed).limit(0), tile).count() == 0
+
+
+@pytest.mark.parametrize("tile", [1, 10, 1000])
+def test_cover_grows_with_edges_and_not_with_area(spark, mixed, tile):
+    edges = edges_of_rings(spark, {"huge": [box(0, 0, 10_000_000, 10_000_000)], "flat": [box(5, 5, 9_000_000, 8)], **{k: mixed[k] for k in ("fine", "map", "holed")}})
+    passed, inner = spatial._cover(edges, spatial._shapes(edges, tile), tile)
+    sizes = {r.poly_id: r["count"] for r in edges.groupBy("poly_id").count().collect()}
+    for rows in (passed, inner):
+        for r in rows.groupBy("poly_id").count().collect():
+            assert r["count"] <= 60 * sizes[r.poly_id]
+    if tile < 1000:
+        assert {r.poly_id for r in inner.select("poly_id").distinct().collect()} >= {"huge", "map", "fine"}
+
+
+def test_polygons_of_all_sizes_touch(spark, mixed):
+    shapes = {n: r[0] for n, r in mixed.items() if n not in ("holed", "fine")}
+    small, big = {n: p for n, p in shapes.items() if n[0] == "s" or n == "map"}, {n: p for n, p in shapes.items() if n[0] == "m"}
+    want = {(s, b) for s, p in small.items() for b, q in big.items() if polygons_meet(p, q)}
+    for tile in (2, 50):
+        assert {tuple(r) for r in spatial.polygons_touch(edges_of(spark, small), edges_of(spark, big), tile).collect()} == want
+        assert {r.poly_id for r in spatial.polygons_touching(edges_of(spark, small), edges_of(spark, {k: big[k] for k in big if k != "map"}), tile).collect()} == {s for s, b in want if b != "map"}
+
+
+def test_one_wide_lost_cell_leaves_the_others_their_tiles(spark):
+    """400 lost cells, 400 targets, and one lost cell as wide as the map: pairs stay linear in both."""
+    cells = {f"c{i:03d}": box(i % 20 * 100, i // 20 * 100, i % 20 * 100 + 4, i // 20 * 100 + 4) for i in range(400)}
+    targets = {f"t{i:03d}": box(i % 20 * 100 + 30, i // 20 * 100 + 30, i % 20 * 100 + 50, i // 20 * 100 + 50) for i in range(400)}
+    wide = {"wide": box(0, -60, 2000, -50)}
+    plain = spatial._near_edges(edges_of(spark, cells), edges_of(spark, targets)).count()
+    near = spatial._near_edges(edges_of(spark, {**cells, **wide}), edges_of(spark, targets))
+    assert near.count() <= plain + 4 * 4 * 400 * 10 and plain <= 400 * 4 * 4 * 60
+    found = {r.poly_id: (r.target_id, r.distance) for r in spatial.nearest_polygon(edges_of(spark, {**cells, **wide}), edges_of(spark, targets)).collect()}
+    for name, p in {**dict(list(cells.items())[:40]), **wide}.items():
+        d, t = min((gap(p, q), t) for t, q in targets.items())
+        assert found[name][1] == pytest.approx(d) and found[name][0] == t
+    assert len(found) == 401
