@@ -11,8 +11,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citypulse.operators import ranks
+
 MAX_KNOTS = 1000
-ACCURACY = 100_000
 # Fixed value: quantiles are kept this far from 0 and 1, so the ends map to about -5.2 and 5.2.
 TAIL = 1e-7
 
@@ -110,13 +111,12 @@ class QuantileToNormal(Estimator, _QuantileParams, DefaultParamsReadable, Defaul
 
     def _fit(self, dataset: DataFrame) -> QuantileToNormalModel:
         names = self.getOrDefault(self.inputCols)
-        rows = dataset.count()
-        count = max(min(self.getOrDefault(self.maxKnots), rows), 1)
-        shares = [i / (count - 1) for i in range(count)] if count > 1 else [0.5]
-        # One pass; each result is an array of at most maxKnots numbers, whatever the data size.
-        quantiles = dataset.agg(
-            *[F.percentile_approx(F.col(n).cast("double"), shares, ACCURACY).alias(n) for n in names]
-        ).first()
+        known = ranks.sizes(dataset, names)
+        counts = {n: max(min(self.getOrDefault(self.maxKnots), known[n]), 1) for n in names}
+        # At most maxKnots exact quantiles a column, whatever the data size.
+        quantiles = ranks.quantiles(dataset, counts)
+        if any(not quantiles[n] for n in names):
+            raise ValueError("a column without values has no quantiles")
         model = QuantileToNormalModel()
         model._set(inputCols=names, outputCols=self.getOrDefault(self.outputCols))
         model._set(knots=[list(quantiles[n]) for n in names])

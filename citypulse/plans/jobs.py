@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from citypulse.ml import model
+from citypulse.ml import model, search
 from citypulse.operators import economy, flow, paths, presence, residents, sensors, spatial
 from citypulse.schemas import BUSINESS_FILE, FLOW_FILE, INDUSTRY_FILE, PAYMENT_FILE, RESULT_TABLES
 from citypulse.session import cut_lineage
-from citypulse.sources import files, sinks
+from citypulse.sources import editions, files, sinks
 
 # Name patterns of the input files.
 FLOW_PATTERN = "*flow_age_time*{ym}*.csv"
 BUSINESS_PATTERN = "*SOHO_STAT_*"
 INDUSTRY_PATTERN = "*IND_CODE*"
 PAYMENT_PATTERN = "local_pay_*"
+#: Folder of the reports that are published together.
+REPORTS = "reports"
 ECONOMY_TARGETS = ["kcb", "local", "all", "local2"]
 
 
@@ -42,10 +44,15 @@ def read_flow(spark: SparkSession, root: str) -> DataFrame:
 
 
 def flow_reports(spark: SparkSession, ym: str, root: str) -> None:
-    """The four month reports, all or none. The month is scanned once; reports come from its sums."""
+    """The four month reports, for readers all or none. The month is scanned once; reports come from its sums."""
     sums = cut_lineage(flow.month_sums(read_flow(spark, root), ym))
     reports = {name: _result(report(sums, ym), name) for name, report in flow.MONTH_REPORTS.items()}
-    sinks.write_months_together(reports, root)
+    editions.write_months(reports, f"{root}/{REPORTS}")
+
+
+def read_report(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A month report as it was last published."""
+    return editions.read(spark, f"{root}/{REPORTS}", name, RESULT_TABLES[name][0])
 
 
 def flow_month(spark: SparkSession, source: str, ym: str, root: str) -> None:
@@ -120,9 +127,10 @@ def train_model(
     rows = cut_lineage(model.model_rows(sensors.training_frame(counts, sensors.flow_slots(flow_raw))))
     keys = ["grid_id", "std_date"]
     train, test = model.split_by_key(rows, keys)
-    best, settings = model.tune(train, model.quantile_features(), model.boosted(), grid or model.QUANTILE_BOOSTED_GRID, keys=keys)
-    metrics = model.regression_metrics(model.predict(best, test)).first().asDict()
-    model.save_bundle(best, path, settings, metrics, "gradient-boosted trees on normal scores")
+    family = search.Family(search.BOOSTED, grid or model.QUANTILE_BOOSTED_GRID)
+    found = search.search(train, model.quantile_features(), family, keys)
+    metrics = model.regression_metrics(model.predict(found.model, test)).first().asDict()
+    model.save_bundle(found.model, path, found.settings, metrics, "gradient-boosted trees on normal scores")
     return metrics
 
 

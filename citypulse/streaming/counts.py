@@ -72,3 +72,34 @@ def score_slots(
         scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot_key").parquet(path)
 
     return counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
+def merge_scores(
+    summary: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, slot: str = "std_date"
+) -> DataStreamWriter:
+    """Writer that scores every slot a batch brings rows for, from all rows of that slot so far.
+
+    For counts that arrive as files, also late: rows of a slot that was scored before are added to it and its
+    scores are replaced, so there is one row a cell and slot however the rows were dealt over batches. The rows
+    of a batch are stored under their day and its number, ``<path>/counts``, where a batch that is retried replaces its
+    own; the scores by day, ``<path>/scores``. Only the days of the batch are read and scored again.
+    """
+    day = F.to_date(F.col(slot).cast("timestamp")).alias("day")
+
+    def replace(df: DataFrame, folder: str, *parts: str) -> None:
+        # All rows of a part in one place first: a file each, not one for each task.
+        rows = df.repartition(*parts)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(folder)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = cut_lineage(batch.filter(F.col(slot).isNotNull()).select("*", day, F.lit(batch_id).alias("batch")))
+        days = rows.select("day").distinct()
+        if days.isEmpty():
+            return
+        replace(rows, f"{path}/counts", "day", "batch")
+        kept = spark.read.schema(rows.schema).parquet(f"{path}/counts").filter(F.col("batch") <= batch_id)
+        whole = kept.join(days, "day", "left_semi").drop("day", "batch")
+        replace(score(whole).withColumn("day", day), f"{path}/scores", "day")
+
+    return summary.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)

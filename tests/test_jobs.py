@@ -37,13 +37,13 @@ def test_flow_job_through_the_command_line(spark, tmp_path):
         command.main(["--root", root, "flow", "202412", "--source", str(source)])
     stored = spark.read.parquet(f"{root}/flow")
     assert {r.crtr_ym: r["count"] for r in stored.groupBy("crtr_ym").count().collect()} == {202412: 3, 202501: 1}
-    hours = spark.read.parquet(f"{root}/flow_by_hour")
+    hours = jobs.read_report(spark, root, "flow_by_hour")
     assert sorted((r.timezn_cd, float(r.total_population), r.crtr_ym) for r in hours.collect()) == [
-        ("0", 2.13, 202412), ("1", 2.13, 202412), ("2", 2.13, 202412),
+        ("0", 2.13, "202412"), ("1", 2.13, "202412"), ("2", 2.13, "202412"),
     ]
-    bands = {(r.gender, r.age): float(r.total_population) for r in spark.read.parquet(f"{root}/flow_by_sex_age").collect()}
+    bands = {(r.gender, r.age): float(r.total_population) for r in jobs.read_report(spark, root, "flow_by_sex_age").collect()}
     assert len(bands) == 14 and bands["M", "10"] == 9.0 and bands["F", "70"] == 3.0
-    days = spark.read.parquet(f"{root}/flow_by_district_day")
+    days = jobs.read_report(spark, root, "flow_by_district_day")
     assert sorted((r.etl_ymd.isoformat(), float(r.total_population)) for r in days.collect()) == [("2024-12-01", 2.13), ("2024-12-31", 4.25)]
 
 
@@ -260,6 +260,32 @@ def test_stream_scorer_sums_points_of_a_cell(spark):
     assert [(r.grid_id, r.acs_cnt) for r in found] == [("c", 7)] and found[0].predicted_total >= 0
 
 
+def test_late_rows_of_a_scored_slot_are_added(spark, tmp_path):
+    schema = "std_date timestamp, ap_id long, cnt long"
+    at = lambda h: dt.datetime(2025, 1, 1) + dt.timedelta(hours=h)
+    score = lambda rows: rows.groupBy("std_date").agg(F.sum("cnt").alias("acs_cnt")).withColumn("predicted_total", F.col("acs_cnt") * 2.0)
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        writer = counts.merge_scores(stream, score, str(tmp_path / "out"), str(tmp_path / "state"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        found = spark.read.parquet(str(tmp_path / "out" / "scores")).collect()
+        return sorted(((r.std_date - at(0)).total_seconds() // 3600, r.acs_cnt, r.predicted_total) for r in found)
+
+    assert run([(at(0), 1, 5), (at(0), 2, 1), (at(30), 1, 2), (None, 1, 9)]) == [(0, 6, 12.0), (30, 2, 4.0)]
+    late = [(0, 10, 20.0), (1, 7, 14.0), (30, 2, 4.0)]
+    assert run([(at(0), 3, 4), (at(1), 1, 7)]) == late
+    # A batch that is given again under its number replaces its own rows.
+    again = spark.createDataFrame([(at(0), 3, 4), (at(1), 1, 7)], schema)
+    taken = []
+    holder = type("Frame", (), {"writeStream": type("W", (), {"outputMode": lambda s, m: s, "option": lambda s, k, v: s, "foreachBatch": lambda s, f: taken.append(f)})()})()
+    counts.merge_scores(holder, score, str(tmp_path / "out"), str(tmp_path / "state"))
+    taken[0](again, 1)
+    found = spark.read.parquet(str(tmp_path / "out" / "scores")).collect()
+    assert sorted(((r.std_date - at(0)).total_seconds() // 3600, r.acs_cnt, r.predicted_total) for r in found) == late
+
+
 def test_streamed_scores_replace_just_their_own_slots(spark, tmp_path):
     schema = "std_date timestamp, grid_id string, acs_cnt long"
     score = lambda batch: batch.withColumn("predicted_total", F.col("acs_cnt") * 2.0)
