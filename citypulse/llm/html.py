@@ -7,9 +7,10 @@ parent is: among all such choices the most likely one is taken, bottom up, so th
 contradicts a descendant.
 
 The training pages are made by ``labelled_pages`` from layout rules, ``TRAINING_PAGES`` of them; all pages
-of a table are read whole. Defined results: a null or empty page, and one without kept text, has the
+of a table are read whole, also very long and deeply nested ones. Defined results: a null or empty page, and one without kept text, has the
 empty text; repeated rows are returned each; an empty table gives an empty result; columns other than
-the named ones are kept, columns named as the results are replaced.
+the named ones are kept, columns named as the results are replaced; where keeping and dropping a
+node are as likely, it is dropped.
 """
 
 from __future__ import annotations
@@ -69,7 +70,11 @@ class Node:
         self.links = self.tags = 0
 
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# An attribute as the HTML standard reads it: a name up to white space, / > or =, and a value in quotes, or without
+# them up to white space or >; quotes elsewhere are plain characters. Without its closing quote a value ends
+# with the page. Nothing is given back once matched, so a page is read in one pass.
+_ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+"
+_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)", re.S)
 _SPACE = re.compile(r"[\s\xa0]+")
 
 
@@ -182,13 +187,19 @@ class Tree(NamedTuple):
 
 
 _WORD = re.compile(r"[a-z]+")
-_QUOTED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_VALUE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)|'([^']*+)|([^\s>\"'][^\s>]*+))?+[\"']?)?+", re.S)
+_NAMED = {"class", "id", "role"}
+
+
+def attributes(attrs: str) -> list[tuple[str, str]]:
+    """Names, in lower case, and values of the attributes of a tag."""
+    return [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _VALUE.finditer(attrs)]
 
 
 def attribute_words(attrs: str) -> set[str]:
     if "=" not in attrs:
         return set()
-    values = " ".join(m[2] or m[3] or m[4] or "" for m in _QUOTED.finditer(attrs))
+    values = " ".join(value for name, value in attributes(attrs) if name in _NAMED)
     return set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", values).lower()))
 
 
