@@ -3,19 +3,26 @@
 A suffix automaton of labelled text is built for each language. A text is cut greedily into the
 longest phrases that occur in that text; with m characters, n characters of labelled text and c
 phrases its cross entropy is about c * log2(n) / m bits a character. The language with the fewest
-normalised phrases wins.
+normalised phrases wins. n is that of the longest labelled text for all languages: a phrase never costs less
+because a language has little text, which can only win by longer phrases. A letter that a language does not
+have is a phrase of its own.
 
 Characters are lower-cased letters. Each language has an alphabet of its own, all letters of its
 labelled text; other letters share one symbol, and a run of anything else is one space. The automata
 are dense tables (state, symbol) -> (state, phrase ended), so that many texts are parsed in step with
 one array look-up a character. Those that do not fit in ``DENSE_BYTES`` keep their edges as sorted
 keys, which gives the same in smaller memory and more time.
-Texts are cut into lanes of ``LANE`` characters, and no phrase crosses a lane.
+Texts are cut into lanes of ``LANE`` characters that are parsed at once, each from a phrase of its own. Then
+the lanes of a text are stitched: the phrase that reaches a border is parsed on until a phrase begins where
+one of the lane's own does, from where on both are the same. So all texts are parsed by one rule, whatever
+their length.
 
 The labelled text is a bounded sample (``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS`` characters a
-language) of every label; everything else reads all rows. Defined results: a null, an empty text and one without letters is ``und`` with score 0;
-rows come back as they are, repeated ones too; ties go to the first language in alphabetical order;
-without labelled rows every text is ``und``; columns named as the results are replaced.
+language) of every label, taken by a hash of key and text; everything else reads all rows. Defined results: a
+null, an empty text and one without letters is ``und`` with score 0; rows come back as they are, repeated ones
+too; in the sample repeated rows count once, and rows without a key like any others; ties go to the first
+language in alphabetical order; a label whose sample has no letter is no language; without labelled
+rows every text is ``und``; columns named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -50,10 +57,10 @@ def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     if not sizes:
         return {}
     share = F.create_map(*(x for name, n in sizes.items() for x in (F.lit(name), F.lit(min(1.0, 4 * SAMPLE_DOCS / n)))))
-    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
-    few = rows.withColumn("place", place).filter(F.col("place") < share[F.col(lang)] * float(1 << 40))
+    place = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 40))
+    few = rows.select(lang, key, text, place.alias("place")).filter(F.col("place") < share[F.col(lang)] * float(1 << 40)).distinct()
     few = few.withColumn("size", F.least(F.length(text), F.lit(SAMPLE_CHARS)))
-    order = Window.partitionBy(lang).orderBy("place", F.xxhash64(text))
+    order = Window.partitionBy(lang).orderBy("place", text)
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = few.withColumn("rank", F.row_number().over(order)).withColumn("before", before)
     # Whole documents, until the characters suffice: at most twice as many reach the driver.
@@ -125,7 +132,7 @@ def automaton(symbols: np.ndarray) -> list[dict[int, int]]:
 
 
 class Parser:
-    """Automaton of one language over the symbols of its own letters. A move is twice the next state, plus 1 where a phrase ends before the symbol."""
+    """Automaton of one language over the symbols of its own letters. A move is twice the next state, plus 1 where a phrase begins with the symbol."""
 
     def __init__(self, symbols: np.ndarray, n_symbols: int, room: int) -> None:
         own = np.setdiff1d(symbols, [SPACE, RARE])
@@ -133,7 +140,6 @@ class Parser:
         self.local[SPACE] = SPACE
         self.local[own] = np.arange(2, len(own) + 2)
         self.size = len(own) + 2
-        self.bits = math.log2(max(len(symbols), 2))
         edges = automaton(self.local[symbols])
         # Where the phrase cannot grow it ends, and the next one begins with this symbol.
         self.begin = np.full(self.size, 1, np.int32)
@@ -142,6 +148,7 @@ class Parser:
         n = np.array([len(out) for out in edges])
         keys = np.repeat(np.arange(len(edges), dtype=np.int64), n) * self.size + np.fromiter((c for out in edges for c in out), np.int64, n.sum())
         moves = 2 * np.fromiter((to for out in edges for to in out.values()), np.int32, n.sum())
+        moves[: n[0]] += 1  # out of the root every phrase begins
         self.table = self.keys = self.moves = None
         if 4 * len(edges) * self.size <= room or not len(keys):
             self.table = np.tile(self.begin, len(edges))
@@ -162,11 +169,13 @@ class Model:
     """Languages and their automata."""
 
     def __init__(self, texts: dict[str, str]) -> None:
-        self.names = [n for n in sorted(texts) if texts[n].strip()]
+        self.names = [n for n in sorted(texts) if any(c.isalpha() for c in texts[n])]
         self.alphabet = Alphabet([texts[n] for n in self.names])
+        samples = [squeezed(self.alphabet.symbols(_points(texts[n])))[0] for n in self.names]
+        self.bits = math.log2(max([2, *map(len, samples)]))
         self.parsers, room = [], DENSE_BYTES
-        for n in self.names:
-            parser = Parser(squeezed(self.alphabet.symbols(_points(texts[n])))[0], self.alphabet.size, room)
+        for symbols in samples:
+            parser = Parser(symbols, self.alphabet.size, room)
             self.parsers.append(parser)
             room -= 0 if parser.table is None else parser.table.nbytes
 
@@ -179,22 +188,50 @@ class Model:
         begin = first[:-1][owner] + within * LANE
         width = np.minimum(LANE, first[1:][owner] - begin)
         order = np.argsort(-width, kind="stable")
-        begin, width, owner = begin[order], width[order], owner[order]
-        alive = np.searchsorted(-width, -np.arange(1, LANE + 1), side="right") if len(width) else np.zeros(LANE, int)
+        alive = np.searchsorted(-width[order], -np.arange(1, LANE + 1), side="right") if len(width) else np.zeros(LANE, int)
+        later = [np.flatnonzero(within == j) for j in range(1, int(n_lanes.max(initial=0)))]
         phrases = np.zeros((len(size), len(self.names)))
         for k, parser in enumerate(self.parsers):
             own = parser.local[symbols]
+            starts = np.zeros(len(symbols), bool)
             state = np.zeros(len(owner), np.int64)
-            ended = np.ones(len(owner), np.int32)
-            for i in range(int(width[0]) if len(width) else 0):
-                n = alive[i]
-                move = parser.move(state[:n], own[begin[:n] + i])
-                ended[:n] += move & 1
-                state[:n] = move >> 1
-            phrases[:, k] = np.bincount(owner, ended, len(size)) * parser.bits
+            for i in range(int(width.max(initial=0))):
+                at = begin[order[: alive[i]]] + i
+                move = parser.move(state[: alive[i]], own[at])
+                starts[at] = move & 1
+                state[: alive[i]] = move >> 1
+            last = np.empty_like(state)
+            last[order] = state
+            total = np.concatenate([[0], np.cumsum(starts)])
+            counted = total[begin + width] - total[begin]
+            for lanes in later:
+                _stitch(parser, own, starts, total, begin, width, lanes, last, counted)
+            phrases[:, k] = np.bincount(owner, counted, len(size)) * self.bits
         return phrases / np.maximum(size, 1)[:, None]
 
 
+def _stitch(parser: Parser, own: np.ndarray, starts: np.ndarray, total: np.ndarray, begin: np.ndarray, width: np.ndarray, lanes: np.ndarray, last: np.ndarray, counted: np.ndarray) -> None:
+    """Count the phrases of lanes, one of each text, as they are when parsed on from the lane before; sets ``counted`` and ``last``."""
+    state, seen, left = last[lanes - 1], np.zeros(len(lanes), np.int64), np.arange(len(lanes))
+    for i in range(int(width[lanes].max(initial=0))):
+        ended = width[lanes[left]] <= i
+        done = left[ended]
+        counted[lanes[done]], last[lanes[done]] = seen[done], state[done]
+        left = left[~ended]
+        if not len(left):
+            return
+        at = begin[lanes[left]] + i
+        move = parser.move(state[left], own[at])
+        state[left] = move >> 1
+        seen[left] += move & 1
+        met = (move & 1 == 1) & starts[at]
+        lane = lanes[left[met]]
+        # From here on the lane's own phrases, and its own last state, are right.
+        counted[lane] = seen[left[met]] + total[begin[lane] + width[lane]] - total[at[met] + 1]
+        left = left[~met]
+    counted[lanes[left]], last[lanes[left]] = seen[left], state[left]
+
+
 def squeezed(symbols: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Runs of spaces as one, none at the start of a text; and where each text then begins."""
     first = np.array([0, len(symbols)]) if first is None else first
