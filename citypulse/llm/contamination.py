@@ -4,14 +4,14 @@
 positions) of its terms, the words of each document, and its ids. ``search`` runs phrases against
 the shards in blocks: in every shard a phrase starts from the postings of its rarest term, moved
 back by the term's place in the phrase, and meets those of the next rarer terms until none is left
-or all have agreed (an exact match). ``proximity`` keeps the starts near which enough of the terms
+or all have agreed (an exact match). ``near`` keeps the starts near which enough of the terms
 stand within a slop.
 
 Terms are 64-bit hashes of lower-cased words. The index may be limited to the terms of a benchmark,
 if these are few enough to be sent to all tasks; else it holds all terms.
 
 Defined results: a null or empty text has no words and matches nothing; an item without words has
-no window; repeated documents and items count each for itself: every row has a result of its own, also
+no window; a text of any length is one row of its shard, taken whole; repeated documents and items count each for itself: every row has a result of its own, also
 where doc_id is null or repeated; empty tables give empty or unmatched results; further columns are ignored.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm.registry import query
@@ -32,6 +32,8 @@ from citypulse.llm.words import ALNUM, slices, words
 WINDOW = 13
 #: Windows that are sent to all tasks at once (each of at most 13 hashes: 12 MB), and terms that an index may be limited to.
 BLOCK_WINDOWS, MOST_TERMS = 100_000, 1_000_000
+#: A near match has this share of a window's terms, each at most so many words from its place; windows looked for at once.
+NEAR_SHARE, NEAR_SLOP, NEAR_ROWS = 0.8, 2, 1000
 
 #: ``base`` numbers the first row of a shard; the rows of all shards have different numbers.
 SHARD = "base long, digests binary, doc_ids binary, doc_nulls binary, first binary, terms binary, sizes binary, places binary"
@@ -116,6 +118,13 @@ class Shard:
         key = (term << 32) | place
         return self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)] == key
 
+    def within(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether a term (-1: none) stands at a place from ``low`` to ``high``."""
+        if not len(self.keys):
+            return np.zeros(len(term), bool)
+        at = np.searchsorted(self.keys, (term << 32) | low)
+        return (term >= 0) & (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] <= ((term << 32) | high))
+
     def starts(self, term: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and possible start for all postings of one term per row."""
         size = self.sizes[term].astype(np.int64)
@@ -158,35 +167,46 @@ def near(shard: Shard, terms: np.ndarray, sizes: np.ndarray, slop: int, share: f
     """As ``phrases``, where ``share`` of the terms stand at most ``slop`` words from their place in the phrase.
 
     A phrase starts from each of its rarest terms of which at least one must be present: all but the
-    number that may be missing.
+    number that may be missing. Then terms are looked for from the rarest on, and a start goes as soon as it
+    misses more than it may.
     """
+    found = [_near(shard, terms[i : i + NEAR_ROWS], sizes[i : i + NEAR_ROWS], slop, share, i) for i in range(0, len(terms), NEAR_ROWS)]
+    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return both[0], both[1]
+
+
+def _near(shard: Shard, terms: np.ndarray, sizes: np.ndarray, slop: int, share: float, first: int) -> np.ndarray:
     at = shard.lookup(terms)
     used = np.arange(terms.shape[1]) < sizes[:, None]
     need = np.ceil(sizes * share - 1e-9).astype(int)
     rows = np.flatnonzero(((at >= 0) & used).sum(axis=1) >= np.maximum(need, 1))
-    found: list[np.ndarray] = []
-    for r in rows:
-        size = sizes[r]
-        often = np.where(at[r, :size] >= 0, shard.sizes[np.maximum(at[r, :size], 0)], 0)
-        lead = np.argsort(often, kind="stable")[: size - need[r] + 1]
-        lead = lead[at[r, lead] >= 0]
-        if not len(lead):
-            continue
-        k, base = shard.starts(at[r, lead], lead)
-        start = np.unique((base[:, None] + np.arange(-slop, slop + 1)).ravel())
-        start = start[(start >= 0) & (start + size <= shard.first[-1])]
-        start = start[shard.document(start) == shard.document(start + size - 1)]
-        hits = np.zeros(len(start), int)
-        for j in range(size):
-            if at[r, j] >= 0:
-                hit = np.zeros(len(start), bool)
-                for s in range(-slop, slop + 1):
-                    hit |= shard.has(np.full(len(start), at[r, j]), start + j + s)
-                hits += hit
-        start = start[hits >= need[r]]
-        found.append(np.stack([np.full(len(start), r), start]))
-    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), int)
-    return both[0], both[1]
+    if not len(rows):
+        return np.zeros((2, 0), np.int64)
+    at, used, size, spare = at[rows], used[rows], sizes[rows], (sizes - need)[rows]
+    often = np.where(used, np.where(at >= 0, shard.sizes[np.maximum(at, 0)], 0), np.iinfo(np.int32).max)
+    rank = np.argsort(often, axis=1, kind="stable")
+    leads = np.arange(terms.shape[1]) <= spare[:, None]
+    own, k = np.nonzero(leads & (np.take_along_axis(at, rank, 1) >= 0) & np.take_along_axis(used, rank, 1))
+    lead = rank[own, k]
+    line, base = shard.starts(at[own, lead], lead)
+    pairs = np.stack([np.repeat(own[line], 2 * slop + 1), (base[:, None] + np.arange(-slop, slop + 1)).ravel()])
+    row, start = np.unique(pairs, axis=1)
+    good = (start >= 0) & (start + size[row] <= shard.first[-1])
+    row, start = row[good], start[good]
+    own = shard.document(start)
+    good = own == shard.document(start + size[row] - 1)
+    row, start, own = row[good], start[good], own[good]
+    missed = np.zeros(len(row), int)
+    for k in range(terms.shape[1]):
+        offset = rank[row, k]
+        asked = k < size[row]
+        place = start + offset
+        missed += asked & ~shard.within(at[row, offset], np.maximum(place - slop, shard.first[own]), np.minimum(place + slop, shard.first[own + 1] - 1))
+        good = missed <= spare[row]
+        row, start, own, missed = row[good], start[good], own[good], missed[good]
+        if not len(row):
+            break
+    return np.stack([rows[row] + first, start])
 
 
 def _blocks(wins: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -213,7 +233,7 @@ def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 MATCHES = "row_id long, text_sha256 string, doc_id long, n_words long, places array<int>, items array<long>, near_items array<long>"
 
 
-def search(index: DataFrame, wins: DataFrame, slop: int | None = None, share: float = 0.8) -> DataFrame:
+def search(index: DataFrame, wins: DataFrame, slop: int | None = None, share: float = NEAR_SHARE) -> DataFrame:
     """For each indexed row: its number, digest of the text, doc_id, words, places of words inside occurring windows, ids of the items these are from.
 
     ``slop`` adds the items of which a window is near (see ``near``).
@@ -288,20 +308,27 @@ def vocabulary(wins: DataFrame) -> np.ndarray | None:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, slop: int | None = None) -> DataFrame:
-    """Per row: digest of the text, words, words hit, items that occur, and whether hit words are a twentieth of all or more."""
+    """Per row: digest of the text, words, words hit, items that occur, and whether hit words are a twentieth of all or more.
+
+    With ``slop`` also the items that occur or are near: ``n_near`` and ``near_sha256``, like those that occur.
+    """
     wins = stored(windows(benchmark, width=width), "windows")
     index = build_index(docs, vocabulary(wins))
     found = search(index, wins, slop)
-    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+
+    def digest(column: str) -> Column:
+        return F.sha2(F.concat_ws(",", F.array_sort(F.transform(column, lambda i: i.cast("string")))), 256)
+
+    proximity = [F.size("near_items").cast("long").alias("n_near"), digest("near_items").alias("near_sha256")] if slop is not None else []
     hit = F.size("places").cast("long")
     return found.select(
         "text_sha256", "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
-        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),
+        digest("items").alias("items_sha256"),
+        ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"), *proximity,
     )
 
 
 @query("op8_contamination")
 def benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits of benchmark windows in every document."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_sha256")
+    """Exact hits of benchmark windows in every document, and the items that are near."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=NEAR_SLOP).drop("text_sha256")
