@@ -4,11 +4,14 @@ Members are rows (sig, class, flags): flag bit 1 for a member that looks for oth
 for one that stands there with its whole content; the bits above are its band. A pair is a candidate
 if one of the two looks, one is whole, and a test on what is known of both does not exclude it.
 
-At first the candidates of a quarter of the buckets are taken as graphs, and only the edges of spanning
-forests are verified. Then all candidates of all buckets between members that are still in different
-components are. So every pair that shares a bucket has been verified, excluded, or is connected
-already. A bucket of more than ``BLOCK`` members is dealt out in blocks: a few times at random to link
-nearly all, and at the end the members outside its largest component meet every block.
+At first the candidates of a few of the buckets (one in ``PARTS``, then more) are taken as graphs, and only the
+edges of spanning forests are verified: members that are alike share many buckets, so few of these link
+nearly all, and each bucket more would verify a forest of the same group again. After each pass buckets
+whose members are one component by then are left out. At the end all candidates of all buckets between
+members that are still in different components are verified. So every pair that shares a bucket has
+been verified, excluded, or is connected already. A bucket of more than ``BLOCK`` members is dealt out in
+blocks: a few times at random to link nearly all, and at the end the members outside its largest component meet
+every block.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 from citypulse.llm.components import components
 from citypulse.llm.storage import stored
 
-#: Members of a block; buckets up to ``SMALL`` give all their candidates at once; one in ``PART`` buckets is used at first.
-BLOCK, SMALL, PART = 1500, 4, 4
+#: Members of a block; buckets up to ``SMALL`` give all their candidates at once; one in so many buckets is used in the first passes.
+BLOCK, SMALL, PARTS = 1500, 4, (32, 4)
 PAIR = "a long, b long"
 MEMBERS = "sig long, h1 long, flags int"
 
@@ -178,11 +181,12 @@ def linked(members: DataFrame, placed: DataFrame, prepare: Callable[[pa.RecordBa
         mixed = where.groupBy("sig").agg(F.min("component").alias("l"), F.max("component").alias("m")).filter("l <> m").select("sig")
         return where.join(mixed, "sig", "left_semi")
 
-    some = members.filter(F.pmod("sig", F.lit(PART)) == 0)
-    for turn in range(1 if largest <= BLOCK else 4):
-        own = F.pmod(F.xxhash64("class", F.lit(turn)), blocks).cast("int")
-        now = apart(some)
-        found = add(now.withColumn("block", F.lit(0)) if largest <= BLOCK else now.join(sized, "sig").withColumn("block", own), True)
+    for part in PARTS:
+        some = members.filter(F.pmod("sig", F.lit(part)) == 0)
+        for turn in range(4 if largest > BLOCK and part == PARTS[0] else 1):
+            own = F.pmod(F.xxhash64("class", F.lit(turn)), blocks).cast("int")
+            now = apart(some)
+            found = add(now.withColumn("block", F.lit(0)) if largest <= BLOCK else now.join(sized, "sig").withColumn("block", own), True)
     now = stored(apart(members), "apart")
     if largest <= BLOCK:
         return add(now.withColumn("block", F.lit(0)), False)

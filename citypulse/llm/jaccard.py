@@ -14,8 +14,9 @@ elements two sets differ, and what it cannot exclude is verified on the words th
 ``buckets`` for how a group of copies is linked without all its pairs. Equal sets are one class.
 
 Defined results: a null or empty text, or one without words, has an empty set and no link; a text
-of fewer words than a shingle is one shingle; repeated rows of one doc_id are one document whose
-first text in binary order counts; a null doc_id is left out; an empty table gives an empty
+of fewer words than a shingle is one shingle; every row is a document and has a row of the result,
+also with a null doc_id or one that other rows have, with the same text or another; the smallest doc_id of a
+component leaves nulls out, and is null where there is nothing else; an empty table gives an empty
 result; further columns are ignored.
 """
 
@@ -28,13 +29,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm import buckets
 from citypulse.llm.registry import query
 from citypulse.llm.storage import stored, table
 from citypulse.llm.words import U64, gram_starts, grams, mix, slices, words
+from citypulse.operators.lookup import map_column
 
 #: Ratio of the sizes in a band, bits of a sketch per element.
 BAND, SKETCH_BITS = 1.5, 2
@@ -120,20 +122,27 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[1:] - total[:-1]
 
 
+def row_hash(doc: Column, text: Column) -> list[Column]:
+    """``r1, r2``: 128 bits that tell rows apart by key and text, either of which may be null."""
+    key, whole = F.coalesce(doc.cast("string"), F.lit("")), F.coalesce(text, F.lit(""))
+    return [F.xxhash64(F.lit(seed), doc.isNull(), text.isNull(), key, whole).alias(f"r{seed}") for seed in (1, 2)]
+
+
 def _digests(docs: DataFrame, size: int) -> DataFrame:
-    """Size and 128-bit hash of the set of each document."""
+    """Size and 128-bit hash of the set of each document (doc_id, r1, r2, text)."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
-                s = shingles(batch.column(1).slice(a, b - a), size)
+            for a, b in slices(batch.column(3)):
+                part = batch.slice(a, b - a)
+                s = shingles(part.column(3), size)
                 h1, h2 = (_sums(mix(s.values ^ U64(seed)), s.first) for seed in (11, 23))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(s.first)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                    ["doc_id", "n_shingles", "h1", "h2"],
+                    [*part.columns[:3], pa.array(np.diff(s.first)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                    ["doc_id", "r1", "r2", "n_shingles", "h1", "h2"],
                 )
 
-    return docs.mapInArrow(digest, "doc_id long, n_shingles long, h1 long, h2 long")
+    return docs.mapInArrow(digest, "doc_id long, r1 long, r2 long, n_shingles long, h1 long, h2 long")
 
 
 def placements(s: Sets, kinds: list[Band], share: Fraction) -> Iterator[tuple[int, np.ndarray]]:
@@ -278,28 +287,40 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, share: Fraction) ->
 
 
 def similar(docs: DataFrame, share: Fraction = Fraction(4, 5), size: int = 5, doc: str = "doc_id", text: str = "text", unrelated: float = UNRELATED) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id (least document of the same set), component_id.
+    """One row per document: doc_id, n_shingles, class_id and component_id (least doc_id of the same set, and of the
+    component), and ``first`` (null, doc_id, r1, r2): the row that stands for its component.
 
     ``size`` words a shingle; similar sets have intersection >= share * union.
     """
-    docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull())
-    digests = _digests(docs, size)
-    digests = stored(digests.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "h1", "h2")).alias("d")).select("doc_id", "d.*"), "digests")
+    key, words_ = F.col(doc).cast("long"), F.col(text)
+    docs = docs.select(key.alias("doc_id"), *row_hash(key, words_), words_.alias("text"))
+    digests = stored(_digests(docs, size), "digests")
     sizes = {r.n_shingles: r["count"] for r in digests.groupBy("n_shingles").count().collect()}  # one row per size of a text
     kinds = bands(sizes, share, unrelated)
-    classes = stored(digests.filter("n_shingles > 0").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("class")), "classes")
+    row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "r1", "r2")
+    classes = digests.filter("n_shingles > 0").groupBy("n_shingles", "h1", "h2").agg(F.min(row).alias("first"))
+    # Classes are numbered once: their least doc_id may be null, or that of another class, too.
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
 
     # Buckets of two sets or more. The class of a hash comes in once the lonely signatures are gone.
-    members = buckets.shared(_index(docs, size, kinds, share))
+    index = _index(docs.select("doc_id", "text"), size, kinds, share)
+    members = buckets.shared(index)
     members = stored(members.join(classes.select("h1", "class"), "h1").select("sig", "class", "flags").distinct(), "members")
-    wanted = stored(members.select("class").distinct(), "wanted")
-    texts = docs.withColumnRenamed("doc_id", "class").join(wanted, "class", "left_semi")
-    texts = stored(texts.groupBy("class").agg(F.min("text").alias("text")), "texts")
+    wanted = members.select("class").distinct().join(classes.select("class", "first.r1", "first.r2"), "class")
+    texts = docs.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).dropDuplicates(["r1", "r2"]).select("class", "text")
+    texts = stored(texts, "texts")
     sketched = stored(_sketched(texts, size, kinds, share), "sketches")
     linked = buckets.linked(members, sketched, _excluding(share), lambda pairs: _verified(pairs, texts, size, share))
     by_class = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    out = digests.join(by_class, ["n_shingles", "h1", "h2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
+    by_class = stored(by_class.withColumnRenamed("first", "own"), "components")
+    least = by_class.groupBy("component").agg(F.min("own").alias("least"))
+    by_class = map_column(by_class, "component", least, "component", "least", "first", split_hot=True)
+    out = digests.join(by_class.select("n_shingles", "h1", "h2", "own", "first"), ["n_shingles", "h1", "h2"], "left")
+    alone = F.col("n_shingles") == 0
+    return out.select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("own.doc_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"), "first",
+    )
 
 
 @query("op10_jaccard_join")

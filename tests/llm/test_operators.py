@@ -99,11 +99,19 @@ def test_similar_documents_near_group(spark, docs_schema):
 
 def test_similar_documents_repeats_and_empty(spark, docs_schema):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f")]
-    found = sorted((r.doc_id, r.class_id, r.component_id) for r in jaccard.similar(frame(spark, docs_schema, rows)).collect())
-    assert found == [(1, 1, 1), (2, 1, 1)]
+    found = jaccard.similar(frame(spark, docs_schema, rows)).collect()
+    assert Counter((r.doc_id, r.class_id, r.component_id) for r in found) == Counter([(1, 1, 1), (1, 1, 1), (None, 1, 1), (2, 1, 1)])
     assert jaccard.similar(frame(spark, docs_schema, [])).count() == 0
 
 
+def test_every_row_is_a_document(spark, docs_schema):
+    """Unlike texts under one doc_id, and rows without one: each is judged on its own text."""
+    one, two, three = ("".join(f"{c}{k} " for k in range(30)) for c in "xyz")
+    rows = [(5, one), (5, two), (4, two + "more"), (None, one + "end"), (None, three), (None, three), (7, None), (7, ""), (None, "  ")]
+    found = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar(frame(spark, docs_schema, rows)).collect())
+    assert found == Counter([(5, 26, 5), (5, 26, 4), (4, 27, 4), (None, 27, 5), (None, 26, None), (None, 26, None), (7, 0, 7), (7, 0, 7), (None, 0, None)])
+
+
 def test_contamination(spark, docs_schema):
     rng = random.Random(8)
     lexicon = ["".join(rng.choices(SYLLABLES, k=2)) for _ in range(40)]
@@ -317,7 +325,7 @@ def test_scoring(spark, docs_schema):
 def test_weights_maximise_held_out_likelihood():
     import pandas as pd
 
-    cells = pd.DataFrame({"bucket": [16, 16, 0, 16], "pair": [12, 0, 0, 0], "single": [20, 20, 8, 0], "weight": [50, 30, 10, 1]})
+    cells = pd.DataFrame({"bucket": scoring.placed(np.array([8, 8, 0, 8])).astype(int), "pair": [12, 0, 0, 0], "single": [20, 20, 8, 0], "weight": [50, 30, 10, 1]})
     out = scoring.learned(cells, 1000, 100)
     assert set(out) == {-1, 0, 4} and all(sum(w) == pytest.approx(1) for w in out.values())
     assert out[4][0] > out[4][2] and out[0][0] < 1e-5

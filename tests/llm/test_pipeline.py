@@ -16,7 +16,7 @@ DIR = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13
     assert set(QUERIES) <= set(names) and "pipeline" in names
 
 
@@ -82,3 +82,14 @@ def test_contamination_stage_by_row(spark, tmp_path):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted((str(d), str(t)) for d, t in (rows[1], rows[2], rows[4]))
+
+
+def test_near_duplicates_stage_by_row(spark):
+    """Unlike texts under one doc_id all stay; of copies one does, with a doc_id if any has one; nothing is said of empty texts."""
+    one, two, three, four = (" ".join(f"{c}{k}" for k in range(40)) for c in "abcd")
+    rows = [(1, one), (1, two), (2, three), (3, one + " end"), (None, two), (2, three), (None, four), (None, four + " x"), (9, ""), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    nameless = [k for k in kept if k[0] is None and k[1]]
+    assert sorted((k for k in kept if k[0] is not None)) == sorted([(1, one), (1, two), (2, three), (9, ""), (9, "")])
+    assert len(nameless) == 1 and nameless[0][1].startswith(four) and kept.count((None, None)) == 1
