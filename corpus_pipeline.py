@@ -2,8 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame with the columns of documents; the last
 one returns its tokens. What a stage returns is written as Parquet and read again as the next one's
-docs. Rows without a doc_id cannot be compared with others: the stages that compare documents
-leave them as they are. Repeated rows of one doc_id are copies, of which the second stage keeps one.
+docs. Rows are documents, whatever their doc_id: it may be null or that of other rows, too.
 """
 
 from __future__ import annotations
@@ -28,13 +27,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each component of similar documents (five words, 0.8) the one with the least doc_id stays."""
+    """Operator 10: of each component of similar documents (five words, 0.8) the one with the least doc_id stays.
+
+    Of rows that are alike in doc_id and text one stays; rows with one doc_id and unlike texts are documents of their own,
+    and so are rows without a doc_id, which stay only if nothing with one is similar. Texts without words all stay.
+    """
     groups = jaccard.similar(docs, Fraction(4, 5), 5)
-    first = groups.filter("doc_id = component_id").select("doc_id")
-    alone = docs.filter(F.col("doc_id").isNull()).select(COLUMNS)
-    row = F.struct("text", "lang", "source", "n_chars")
-    kept = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
-    return kept.select(COLUMNS).unionByName(alone)
+    first = groups.filter("n_shingles > 0").select("first.r1", "first.r2").distinct()
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = docs.filter(worded).select(*COLUMNS, *jaccard.row_hash(F.col("doc_id"), F.col("text")))
+    kept = kept.join(first, ["r1", "r2"], "left_semi").dropDuplicates(["r1", "r2"])
+    return kept.select(COLUMNS).unionByName(docs.filter(~worded).select(COLUMNS))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
