@@ -7,17 +7,20 @@ uniform one:
 
 The weights a, b, c depend on the bucket of c(u), the power of two it lies between. They are learned by
 expectation-maximisation on held-out counts: one fold of the training documents is deleted from the
-counts and scored by what is left. Counts then cover all training documents.
+counts and scored by what is left; a held-out pair belongs to the bucket of its context's count there, as it
+is, and only its frequencies are rounded. Counts for the scores then cover all training documents, so a
+context is scored by the weights of the bucket of its full count.
 
 Counts never come to one place. Documents are packed in chunks. A chunk
 asks for its distinct tokens or pairs, dealt out by hash; each shard adds up and answers in the
 order asked. So a token that is everywhere has one entry a chunk. Tokens are told apart by 64-bit
-hashes of their bytes. For the weights each shard counts held-out pairs in cells (bucket, and both
+hashes of their bytes, which travel sorted, as differences. For the weights each shard counts held-out pairs in cells (bucket, and both
 frequencies in steps of a quarter of a power of two), and only these counts, whose number does not
 grow with the corpus, reach the driver.
 
 Defined results: a null or empty text is the end token alone; repeated rows are documents of their own,
-each counted and returned; a null doc_id is in the training documents; an empty table gives an
+each counted and returned; a null doc_id is in the training documents; a text of any length is
+one row of its chunk, taken whole; equal probabilities need no order; an empty table gives an
 empty result; further columns are ignored.
 """
 
@@ -50,7 +53,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
     def emit(chunk: int, parts: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
         sink = io.BytesIO()
-        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 7))) as out:
             for p in parts:
                 out.write_batch(p)
         return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue()], pa.binary())], ["chunk", "size", "docs"])
@@ -117,6 +120,16 @@ def _unz(value: bytes, kind: type, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(value, n * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
 
 
+def _differences(ascending: np.ndarray) -> bytes:
+    """Sorted hashes as differences, their bytes by place: the high ones are mostly 0."""
+    steps_ = np.diff(ascending, prepend=U64(0))
+    return _z(np.ascontiguousarray(steps_.view(np.uint8).reshape(-1, 8).T))
+
+
+def _ascending(value: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(_unz(value, np.uint8, 8 * n).reshape(8, n).T).view(U64).ravel(), dtype=U64)
+
+
 class Folds(NamedTuple):
     """Which of the ``of`` folds is never learnt from and which is deleted to learn the weights."""
 
@@ -143,7 +156,7 @@ def _request(chunk: int, keys: np.ndarray, fold: np.ndarray, folds: Folds, shard
     cut = np.searchsorted(shard, np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(cut)).tolist():
         i, j = cut[s], cut[s + 1]
-        row = {"shard": s, "chunk": chunk, "n": int(j - i), "hashes": distinct[i:j].tobytes(), "train": _z(train[i:j]), "deleted": _z(deleted[i:j]), "context": None, "token": None}
+        row = {"shard": s, "chunk": chunk, "n": int(j - i), "hashes": _differences(distinct[i:j]), "train": _z(train[i:j]), "deleted": _z(deleted[i:j]), "context": None, "token": None}
         if context is not None:
             held = deleted[i:j] > 0
             row |= {"context": _z(context[i:j][held]), "token": _z(token[i:j][held])}
@@ -171,7 +184,16 @@ def steps(count: np.ndarray) -> np.ndarray:
 
 def bucket(count: np.ndarray) -> np.ndarray:
     """0 for contexts never seen, else 1 and the whole powers of two in the count."""
-    return np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1, 0)
+    return np.where(count > 0, np.frexp(np.maximum(count, 1).astype(np.float64))[1], 0).astype(np.int64)
+
+
+#: Bits of the steps beside a bucket.
+STEP_BITS = 9
+
+
+def placed(count: np.ndarray) -> np.ndarray:
+    """A context's bucket, from its count as it is, and its count in steps."""
+    return (bucket(count) << STEP_BITS | steps(count)).astype(np.uint16)
 
 
 def _answers(asked: DataFrame) -> DataFrame:
@@ -180,16 +202,18 @@ def _answers(asked: DataFrame) -> DataFrame:
 
     def add(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: r["chunk"])
-        keys = np.concatenate([np.frombuffer(r["hashes"], U64) for r in rows])
+        keys = np.concatenate([_ascending(r["hashes"], r["n"]) for r in rows])
         train = np.concatenate([_unz(r["train"], np.uint32, r["n"]) for r in rows])
         deleted = np.concatenate([_unz(r["deleted"], np.uint32, r["n"]) for r in rows])
         distinct, where = np.unique(keys, return_inverse=True)
         all_train = np.bincount(where, train, len(distinct)).astype(np.int64)
         all_deleted = np.bincount(where, deleted, len(distinct)).astype(np.int64)
         out, at = [], 0
+        # What the deleted fold has of a pair is asked for here only, to learn the weights.
+        of_tokens = rows[0]["context"] is None
         for r in rows:
             own = where[at : at + r["n"]]
-            out.append({"kind": "counts", "shard": r["shard"], "chunk": r["chunk"], "n": r["n"], "train": _z(all_train[own]), "deleted": _z(all_deleted[own])})
+            out.append({"kind": "counts", "shard": r["shard"], "chunk": r["chunk"], "n": r["n"], "train": _z(all_train[own]), "deleted": _z(all_deleted[own]) if of_tokens else None})
             at += r["n"]
         out.append({"kind": "sums", "shard": rows[0]["shard"], "total": int(all_train.sum()), "known": int((all_train > 0).sum())})
         if rows[0]["context"] is not None:
@@ -200,6 +224,7 @@ def _answers(asked: DataFrame) -> DataFrame:
             cells = np.stack([context, pair, token]).astype(np.int64)
             kinds, own = np.unique(cells, axis=1, return_inverse=True)
             weight = np.bincount(own.ravel(), deleted[held], kinds.shape[1]).astype(np.int64)
+            # "bucket" holds the context: its bucket and its count in steps.
             out += [{"kind": "held", "bucket": b, "pair": p, "single": s, "weight": w} for b, p, s, w in zip(*kinds.tolist(), weight.tolist(), strict=True)]
         schema = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()), ("train", pa.binary()), ("deleted", pa.binary()), ("total", pa.int64()), ("known", pa.int64()), ("bucket", pa.int32()), ("pair", pa.int32()), ("single", pa.int32()), ("weight", pa.int64())])
         return pa.Table.from_pylist([{n: r.get(n) for n in names} for r in out], schema)
@@ -207,25 +232,22 @@ def _answers(asked: DataFrame) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(add, ANSWER)
 
 
-def _counts(answers: pa.Table, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Answers to a chunk in the order of its distinct keys: training counts, and those of the deleted fold."""
+def _counts(answers: pa.Table, kind: str, column: str = "train") -> np.ndarray:
+    """Answers to a chunk in the order of its distinct keys: training counts, or those of the deleted fold."""
     rows = sorted((r for r in answers.to_pylist() if r["kind"] == kind), key=lambda r: r["shard"])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate([_unz(r[c], np.int64, r["n"]) for r in rows]) for c in ("train", "deleted"))
+    return np.concatenate([_unz(r[column], np.int64, r["n"]) for r in rows]) if rows else np.zeros(0, np.int64)
 
 
 def _pairs_asked(packed: DataFrame, tokens: DataFrame, folds: Folds, shards: int) -> DataFrame:
     def ask(own: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
-        train, deleted = _counts(answers, "tokens")
+        left = _counts(answers, "tokens") - _counts(answers, "tokens", "deleted")
         for chunk, docs in zip(own.column("chunk").to_pylist(), own.column("docs").to_pylist(), strict=True):
             c = opened(docs)
-            left = steps(train - deleted)
             distinct, at = np.unique(c.tokens, return_inverse=True)
             before = np.r_[np.searchsorted(distinct, END), at[:-1]]
             # What the deleted fold leaves: the count of the context and of the token, on the scale of steps.
-            rows += _request(chunk, join(c.contexts(), c.tokens), c.fold_of_tokens(), folds, shards, left[before], left[at])
+            rows += _request(chunk, join(c.contexts(), c.tokens), c.fold_of_tokens(), folds, shards, placed(left)[before], steps(left)[at])
         return pa.Table.from_pylist(rows, _asked_schema())
 
     return packed.groupBy("chunk").cogroup(tokens.groupBy("chunk")).applyInArrow(ask, ASKED)
@@ -234,15 +256,15 @@ def _pairs_asked(packed: DataFrame, tokens: DataFrame, folds: Folds, shards: int
 def learned(cells: pd.DataFrame, tokens: int, known: int) -> dict[int, tuple[float, float, float]]:
     """Weights of pair, token and uniform for each bucket, by expectation-maximisation; -1 is all buckets together.
 
-    ``cells``: context, pair and token counts on the scale of steps, and how often each was held out.
+    ``cells``: contexts as placed, pair and token counts on the scale of steps, and how often each was held out.
     """
     def count(x: pd.Series) -> np.ndarray:
         return np.where(x > 0, np.exp2((x.to_numpy() - STEPS) / STEPS), 0.0)
 
-    context, pair, single = count(cells["bucket"]), count(cells["pair"]), count(cells["single"])
+    context, pair, single = count(cells["bucket"] & ((1 << STEP_BITS) - 1)), count(cells["pair"]), count(cells["single"])
     parts = np.stack([np.where(context > 0, np.minimum(pair / np.maximum(context, 1), 1.0), 0.0), single / max(tokens, 1), np.full(len(cells), 1 / (known + 1))])
     weight = cells["weight"].to_numpy(float)
-    own = bucket(np.rint(context).astype(np.int64))
+    own = cells["bucket"].to_numpy() >> STEP_BITS
     out = {}
     for b in [-1, *np.unique(own).tolist()]:
         rows = slice(None) if b < 0 else own == b
@@ -264,8 +286,7 @@ def _scored(packed: DataFrame, answers: DataFrame, weights: dict[int, tuple[floa
 
     def score(own: pa.Table, sent: pa.Table) -> pa.Table:
         out = []
-        singles, _ = _counts(sent, "tokens")
-        pairs, _ = _counts(sent, "pairs")
+        singles, pairs = _counts(sent, "tokens"), _counts(sent, "pairs")
         for docs in own.column("docs").to_pylist():
             c = opened(docs)
             distinct, at = np.unique(c.tokens, return_inverse=True)
@@ -297,7 +318,8 @@ def scores(docs: DataFrame, fold: Column, folds: Folds, doc: str = "doc_id", tex
     pairs = stored(_answers(_pairs_asked(packed, by_chunk, folds, many)), "pairs")
     cells = pairs.filter("kind = 'held'").groupBy("bucket", "pair", "single").agg(F.sum("weight").alias("weight")).toPandas()
     weights = learned(cells, n, v)
-    both = by_chunk.unionByName(pairs.filter("kind = 'counts'").select("chunk", F.lit("pairs").alias("kind"), "shard", "n", "train", "deleted"))
+    columns = "chunk", "kind", "shard", "n", "train"
+    both = by_chunk.select(*columns).unionByName(pairs.filter("kind = 'counts'").withColumn("kind", F.lit("pairs")).select(*columns))
     return _scored(packed, both, weights, folds, n, v).withColumn("train_tokens", F.lit(n).cast("long"))
 
 
