@@ -189,30 +189,37 @@ class Model:
         width = np.minimum(LANE, first[1:][owner] - begin)
         order = np.argsort(-width, kind="stable")
         alive = np.searchsorted(-width[order], -np.arange(1, LANE + 1), side="right") if len(width) else np.zeros(LANE, int)
-        later = [np.flatnonzero(within == j) for j in range(1, int(n_lanes.max(initial=0)))]
+        ordered, later = begin[order], np.flatnonzero(within > 0)
         phrases = np.zeros((len(size), len(self.names)))
         for k, parser in enumerate(self.parsers):
             own = parser.local[symbols]
             starts = np.zeros(len(symbols), bool)
             state = np.zeros(len(owner), np.int64)
             for i in range(int(width.max(initial=0))):
-                at = begin[order[: alive[i]]] + i
-                move = parser.move(state[: alive[i]], own[at])
+                n = alive[i]
+                at = ordered[:n] + i
+                move = parser.move(state[:n], own[at])
                 starts[at] = move & 1
-                state[: alive[i]] = move >> 1
+                state[:n] = move >> 1
             last = np.empty_like(state)
             last[order] = state
             total = np.concatenate([[0], np.cumsum(starts)])
             counted = total[begin + width] - total[begin]
-            for lanes in later:
-                _stitch(parser, own, starts, total, begin, width, lanes, last, counted)
+            # All borders at once, as if the lane before ended in the state of its own parse. Where it does not,
+            # since the two never met in it, the next one is done again: of each text the first such lane.
+            lanes, used, final = later, np.full(len(owner), -1), last.copy()
+            while len(lanes):
+                used[lanes], last[lanes] = last[lanes - 1], final[lanes]
+                _stitch(parser, own, starts, total, begin, width, lanes, used[lanes], last, counted)
+                wrong = later[last[later - 1] != used[later]]
+                lanes = wrong[np.unique(owner[wrong], return_index=True)[1]]
             phrases[:, k] = np.bincount(owner, counted, len(size)) * self.bits
         return phrases / np.maximum(size, 1)[:, None]
 
 
-def _stitch(parser: Parser, own: np.ndarray, starts: np.ndarray, total: np.ndarray, begin: np.ndarray, width: np.ndarray, lanes: np.ndarray, last: np.ndarray, counted: np.ndarray) -> None:
-    """Count the phrases of lanes, one of each text, as they are when parsed on from the lane before; sets ``counted`` and ``last``."""
-    state, seen, left = last[lanes - 1], np.zeros(len(lanes), np.int64), np.arange(len(lanes))
+def _stitch(parser: Parser, own: np.ndarray, starts: np.ndarray, total: np.ndarray, begin: np.ndarray, width: np.ndarray, lanes: np.ndarray, state: np.ndarray, last: np.ndarray, counted: np.ndarray) -> None:
+    """Count the phrases of lanes as they are when parsed on in a state; sets ``counted``, and ``last`` where the lane's own parse is never met."""
+    state, seen, left = state.copy(), np.zeros(len(lanes), np.int64), np.arange(len(lanes))
     for i in range(int(width[lanes].max(initial=0))):
         ended = width[lanes[left]] <= i
         done = left[ended]
