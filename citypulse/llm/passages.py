@@ -289,7 +289,7 @@ def shared_passages(docs: DataFrame, width: int = WIDTH, doc: str = "doc_id", te
     docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull())
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
-    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     # A word takes some 6 bytes; one in 20 begins a picked phrase; most windows can be shared at worst.
     few, many = (max(1, math.ceil(total / 6 / share / SHARD_ENTRIES)) for share in (20, 2))
     phrases = stored(_recurring(_phrases(docs, few, width)), "phrases")
