@@ -1,17 +1,23 @@
 """Key to value lookups.
 
-No join here carries a broadcast hint: Spark broadcasts a lookup whose size is under
-``spark.sql.autoBroadcastJoinThreshold`` (checked again at run time by AQE) and shuffles a larger one.
+Spark broadcasts a lookup whose size is under ``spark.sql.autoBroadcastJoinThreshold`` (checked again at run
+time by AQE) and shuffles a larger one; a hint is only given behind a count of the lookup's rows.
 Where single rows meet a lookup, ``map_column(..., split_hot=True)`` counts the keys first and deals
 out the rows of frequent ones, so that the split depends on the data and not on the shape of the plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: What a row of a lookup may take in memory, key and value together.
+ROW_BYTES = 512
+
 
 def unique_lookup(df: DataFrame, key: str, value: str, ordinal: str) -> DataFrame:
     """One value per key: the one with the highest ``ordinal`` (the last written wins)."""
@@ -35,14 +41,26 @@ def _one_each(lookup: DataFrame, key: str, value: str) -> DataFrame:
 def hot_keys(df: DataFrame, key: str) -> dict[object, int]:
     """Keys with more rows than an even share of a shuffle partition, and how many shares they fill.
 
-    There are fewer of them than shuffle partitions, whatever the data. Keys are counted map side, in a
+    There are fewer of them than shuffle partitions, whatever the data. Keys are counted map side, in one
     pass over the key column alone.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n") / partitions).scalar()
-    hot = counts.filter(F.col("_n") > share).select("_key", F.ceil(F.col("_n") / share).cast("int").alias("_parts"))
-    return {r["_key"]: r["_parts"] for r in hot.collect()}
+    seen = Observation()
+    often = counts.observe(seen, F.sum("_n").alias("rows")).orderBy(F.desc("_n")).limit(partitions).collect()
+    share = (seen.get["rows"] or 0) / partitions if often else 0
+    return {r["_key"]: math.ceil(r["_n"] / share) for r in often if r["_n"] > share}
+
+
+def _is_small(pairs: DataFrame) -> bool:
+    """Whether a lookup of two columns has so few rows, each short enough, that it fits the session's broadcast threshold."""
+    amount, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", pairs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()).groups()
+    most = int(amount) * 1024 ** " kmgt".index(unit or " ") // ROW_BYTES
+    if most <= 0:
+        return False
+    length = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in pairs.columns), F.lit(0))
+    size = pairs.limit(most + 1).agg(F.count(F.lit(1)).alias("rows"), F.max(length).alias("longest")).first()
+    return size["rows"] <= most and (size["longest"] or 0) <= ROW_BYTES // 4
 
 
 def _parts(key: Column, kind: T.DataType, hot: dict[object, int]) -> Column:
@@ -60,11 +78,14 @@ def map_column(
     A key of the lookup that has several values is an error; see :func:`unique_lookup`. With ``split_hot``
     the rows of each frequent key, and those without a key, are dealt into parts of about one shuffle partition
     each, and the frequent keys' entries of the lookup are repeated for the parts. That counts the keys
-    when the frame is made, so it takes one more pass over the key column of ``df``; a stream is not counted.
+    when the frame is made, so it takes one more pass over the key column of ``df``; a stream is not counted, and
+    a lookup that is counted to be small is broadcast instead.
     """
     pairs = _one_each(lookup.select(F.col(lookup_key).alias("_key"), F.col(lookup_value).alias(output)), "_key", output)
     if not split_hot or df.isStreaming:
         return df.join(pairs, F.col(key) == F.col("_key"), "left").drop("_key")
+    if _is_small(lookup.select(lookup_key, lookup_value)):
+        return df.join(F.broadcast(pairs), F.col(key) == F.col("_key"), "left").drop("_key")
     hot, kind = hot_keys(df, key), df.schema[key].dataType
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = F.when(F.col(key).isNull(), spread).otherwise(_parts(F.col(key), kind, hot))

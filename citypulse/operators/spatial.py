@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from citypulse.session import cut_lineage
 
 XY = ["x", "y"]
-#: A polygon's tiles are at least as wide as this part of its average edge; tiles that one edge passes at most, about.
-FINE, MOST_TILES = 8, 64
+#: A polygon's tiles are at least as wide as this part of its average edge; tiles that one edge passes at most, about;
+#: tiles of a box that are all listed, whatever is in it.
+FINE, MOST_TILES, BOX_TILES = 8, 64, 100
 
 
 def _wide(df: DataFrame) -> DataFrame:
@@ -87,23 +88,23 @@ def _size(tile: float, level: Column | None = None) -> Column:
 
 
 def _shapes(edges: DataFrame, tile: float) -> DataFrame:
-    """Level of each polygon, and in how many tiles of a row it can lie."""
+    """Level and box of each polygon, in how many tiles of a row it can lie, and whether its box has few tiles."""
     length = F.hypot((F.col("x2") - F.col("x1")).cast("double"), (F.col("y2") - F.col("y1")).cast("double"))
     sums = _wide(edges).groupBy("poly_id").agg(
-        F.min(F.least("x1", "x2")).alias("min_x"), F.max(F.greatest("x1", "x2")).alias("max_x"), _level(F.avg(length) / FINE, tile).alias("level")
-    )
-    across = F.floor(F.col("max_x") / _size(tile)) - F.floor(F.col("min_x") / _size(tile)) + 1
-    return sums.select("poly_id", "level", across.alias("across"))
+        F.min(F.least("x1", "x2")).alias("min_x"), F.max(F.greatest("x1", "x2")).alias("max_x"),
+        F.min(F.least("y1", "y2")).alias("min_y"), F.max(F.greatest("y1", "y2")).alias("max_y"), _level(F.avg(length) / FINE, tile).alias("level"),
+    )
+    across, down = (F.floor(F.col(f"max_{c}") / _size(tile)) - F.floor(F.col(f"min_{c}") / _size(tile)) + 1 for c in XY)
+    return sums.withColumns({"across": across, "boxed": across * down <= BOX_TILES})
 
 
-def _cover(edges: DataFrame, shapes: DataFrame, tile: float) -> tuple[DataFrame, DataFrame]:
-    """Tiles that polygons' edges pass, and runs of tiles inside them that no edge passes, each on the polygon's level.
+def _cover(placed: DataFrame, tile: float) -> tuple[DataFrame, DataFrame]:
+    """Tiles that polygons' edges (with their ``level``) pass, and runs of tiles inside that no edge passes.
 
     In a row of tiles what lies between two passed tiles is inside if an odd number of edges crosses the middle
     of the row before it. A run is given as its largest aligned pieces: ``k`` and the tile number shifted by ``k``.
     Passed tiles are at most a small multiple of the edges, and there are fewer runs than passed tiles.
     """
-    placed = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2")).join(shapes.select("poly_id", "level"), "poly_id")
     passed = _passed_tiles(placed, _size(tile), crossings=True).groupBy("poly_id", "level", "ty", "tx").agg(F.sum("crosses").alias("crosses"))
     row = Window.partitionBy("poly_id", "level", "ty").orderBy("tx")
     odd = F.sum("crosses").over(row.rowsBetween(Window.unboundedPreceding, Window.currentRow)) % 2 == 1
@@ -139,46 +140,59 @@ def _within(value: Column, a: Column, b: Column) -> Column:
 def points_in_polygons(points: DataFrame, edges: DataFrame, tile: float) -> DataFrame:
     """Pairs ``x, y, poly_id`` of distinct points and the polygons they are in or on the border of.
 
-    Points meet the tiles of the polygons' cover. In a tile that no edge passes they are inside; in one that an edge
-    passes, an odd number of edges to the right of the point in its row of tiles, or an edge through it, means
-    inside. ``tile`` is the width of the smallest tiles; larger polygons have larger ones.
+    Points meet the tiles of the polygons, of all levels there are. A polygon whose box has few tiles has them all; of a
+    wider one (on its level) those that an edge passes, and inner ones, where every point is inside. Elsewhere an odd
+    number of edges to the right of the point in its row of tiles, or an edge through it, means inside.
+    ``tile`` is the width of the smallest tiles.
     """
-    shapes = cut_lineage(_shapes(edges, tile))
-    # One row a level: how many levels there are follows from the widths of polygons, not from their number.
-    levels = {r.level: r.across for r in shapes.groupBy("level").agg(F.max("across").alias("across")).collect()}
-    if not levels:
-        return points.select(*XY).join(edges.select("poly_id"), F.lit(False)).limit(0)
-    passed, inner = _cover(edges, shapes, tile)
+    shapes = _shapes(edges, tile)
+    # A row or two a level: how many levels there are follows from the widths of polygons, not from their number.
+    kinds = shapes.groupBy("level", "boxed").agg(F.max("across").alias("across")).collect()
+    if not kinds:
+        return points.select(*XY).crossJoin(edges.select("poly_id")).limit(0)
     x, y = F.col("x"), F.col("y")
     distinct = _wide(points.select(*XY)).na.drop().distinct()
+    only = {r.level for r in kinds}
+    plain = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2"))
+    placed = plain.withColumn("level", F.lit(only.pop())) if len(only) == 1 else plain.join(shapes.select("poly_id", "level"), "poly_id")
 
     def probed(pairs: list[tuple[int, int]]) -> DataFrame:
-        """Points with the tile that they have on each level, shifted by k."""
-        at = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.lit(float(tile) * 2**level).alias("size"), F.lit(k).alias("k")) for level, k in pairs]))
-        found = distinct.select("x", "y", at.alias("at")).select("x", "y", "at.*")
+        """Points with the tile that they have on each level, and k."""
+        at = [F.struct(F.lit(level).alias("level"), F.lit(float(tile) * 2**level).alias("size"), F.lit(k).alias("k")) for level, k in pairs]
+        found = distinct.withColumn("at", at[0] if len(at) == 1 else F.explode(F.array(*at))).select("x", "y", "at.*")
         return found.withColumns({"ty": F.floor(y / F.col("size")), "tx": F.floor(x / F.col("size"))}).drop("size")
 
+    def tiles(axis: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(f"min_{axis}") / _size(tile)), F.floor(F.col(f"max_{axis}") / _size(tile))))
+
+    parts, inside = [], None
+    if small := [(r.level, 0) for r in kinds if r.boxed]:
+        covers = shapes.filter("boxed").withColumn("ty", tiles("y")).withColumn("tx", tiles("x"))
+        near = probed(small).join(covers, ["level", "ty", "tx"])
+        parts.append(near.filter(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))))
+    if large := [r for r in kinds if not r.boxed]:
+        passed, inner = _cover(placed.join(shapes.filter("not boxed").select("poly_id"), "poly_id", "left_semi"), tile)
+        parts.append(probed([(r.level, 0) for r in large]).join(passed, ["level", "ty", "tx"]))
+        # A run is shorter than its polygon is wide by the two passed tiles at its ends.
+        if shifts := [(r.level, k) for r in large if r.across > 2 for k in range(int(r.across - 2).bit_length())]:
+            deep = probed(shifts).withColumn("tk", F.floor(F.col("tx") / F.pow(F.lit(2.0), F.col("k"))))
+            inside = deep.join(inner, ["level", "ty", "k", "tk"]).select("x", "y", "poly_id")
+    candidates = parts[0].select("x", "y", "ty", "poly_id")
+    for part in parts[1:]:
+        candidates = candidates.unionByName(part.select("x", "y", "ty", "poly_id"))
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    rows = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2")).join(shapes.select("poly_id", "level"), "poly_id")
-    rows = rows.withColumn("ty", F.explode(F.sequence(F.floor(F.least(y1, y2) / _size(tile)), F.floor(F.greatest(y1, y2) / _size(tile)))))
+    rows = placed.withColumn("ty", F.explode(F.sequence(F.floor(F.least(y1, y2) / _size(tile)), F.floor(F.greatest(y1, y2) / _size(tile)))))
     side = _side(x, y, x1, y1, x2, y2)
     crosses = ((y1 <= y) & (y < y2) & (side > 0)) | ((y2 <= y) & (y < y1) & (side < 0))
     touches = (side == 0) & _within(x, x1, x2) & _within(y, y1, y2)
     found = (
-        probed([(level, 0) for level in levels]).drop("k").join(passed, ["level", "ty", "tx"])
-        .select("x", "y", "ty", "poly_id")
-        .join(rows.drop("level"), ["poly_id", "ty"])
+        candidates.join(rows.drop("level"), ["poly_id", "ty"])
         .groupBy("x", "y", "poly_id")
         .agg(F.count_if(crosses).alias("_crossed"), F.bool_or(touches).alias("_on_edge"))
         .filter((F.col("_crossed") % 2 == 1) | F.col("_on_edge"))
         .select("x", "y", "poly_id")
     )
-    # A run is shorter than its polygon is wide by the two passed tiles at its ends.
-    shifts = [(level, k) for level, across in levels.items() if across > 2 for k in range(int(across - 2).bit_length())]
-    if not shifts:
-        return found
-    deep = probed(shifts).withColumn("tk", F.floor(F.col("tx") / F.pow(F.lit(2.0), F.col("k")))).join(inner, ["level", "ty", "k", "tk"])
-    return found.unionByName(deep.select("x", "y", "poly_id"))
+    return found if inside is None else found.unionByName(inside)
 
 
 def _give_cells(points: DataFrame, matches: DataFrame, ties: str) -> DataFrame:
@@ -242,8 +256,7 @@ def _touching_edges(left: DataFrame, right: DataFrame, tile: float) -> DataFrame
     names = ["x1", "y1", "x2", "y2"]
     width = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))).cast("double")
     own = _level(width / MOST_TILES, tile)
-    tops = [side.agg(F.max(own)).first()[0] for side in (left, right)]
-    top = max((t for t in tops if t is not None), default=0)
+    top = left.select(own.alias("own")).unionByName(right.select(own.alias("own"))).agg(F.max("own")).first()[0] or 0
 
     def laid_out(edges: DataFrame, name: str) -> DataFrame:
         plain = _wide(edges.select(F.col("poly_id").alias(name), *names)).withColumn("own", own)

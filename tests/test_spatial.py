@@ -236,7 +236,7 @@ def test_points_in_polygons_of_all_sizes(spark, mixed, tile):
 @pytest.mark.parametrize("tile", [1, 10, 1000])
 def test_cover_grows_with_edges_and_not_with_area(spark, mixed, tile):
     edges = edges_of_rings(spark, {"huge": [box(0, 0, 10_000_000, 10_000_000)], "flat": [box(5, 5, 9_000_000, 8)], **{k: mixed[k] for k in ("fine", "map", "holed")}})
-    passed, inner = spatial._cover(edges, spatial._shapes(edges, tile), tile)
+    passed, inner = spatial._cover(edges.join(spatial._shapes(edges, tile).select("poly_id", "level"), "poly_id"), tile)
     sizes = {r.poly_id: r["count"] for r in edges.groupBy("poly_id").count().collect()}
     for rows in (passed, inner):
         for r in rows.groupBy("poly_id").count().collect():
