@@ -134,9 +134,14 @@ def _finder(prepare: Callable[[pa.RecordBatch], Test], only_forest: bool) -> Cal
                     left.append(i)
                     right.append(j)
                     continue
-                for x in range(at, at + n - 1):
-                    others = np.arange(x + 1, at + n)
-                    others = others[component[others] != component[x]]
+                # Of two members in different components one is outside the largest.
+                own = component[at : at + n]
+                kinds, count = np.unique(own, return_counts=True)
+                outside = own != kinds[count.argmax()]
+                everyone = np.arange(n)
+                for x in np.flatnonzero(outside):
+                    others = at + everyone[(own != own[x]) & (~outside | (everyone > x))]
+                    x = at + int(x)
                     others = others[test(np.full(len(others), x), others)]
                     left.append(np.full(len(others), x))
                     right.append(others)

@@ -43,6 +43,8 @@ BAND, SKETCH_BITS = 1.5, 2
 #: Share of their elements that unrelated sets are expected to have in common, and the cost of testing a
 #: candidate by its sketch, where an index row costs 1.
 UNRELATED, CANDIDATE_COST = 0.05, 0.02
+#: Pairs whose ids are broadcast to find their texts: at most 2 million numbers, 16 MB.
+SENT_PAIRS = 1_000_000
 
 
 class Band(NamedTuple):
@@ -280,6 +282,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, share: Fraction) ->
                 good.append(both * share.denominator >= (len(left) + len(right) - both) * share.numerator)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    asked = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    if pairs.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS:
+        # So few ids that they can be sent to the texts; of more, all texts are dealt out.
+        texts = texts.join(F.broadcast(asked), "class", "left_semi")
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")

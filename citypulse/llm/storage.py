@@ -5,12 +5,35 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders made while a scope is open.
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """The folders that are made inside, for whoever knows when they are no longer read."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.remove(made)
+
+
+def deleted(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders of intermediate tables, from whatever store they are in."""
+    for folder in folders:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``; a local one only where Spark itself is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,7 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="citypulse-llm-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    for made in _MADE:
+        made.append(folder)
+    return folder
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
