@@ -1,8 +1,8 @@
 """A corpus pipeline of five stages, each on all rows that the one before it kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame with the columns of documents; the last
-one returns its tokens. What a stage returns is written as Parquet and read again as the next one's
-docs. Rows are documents, whatever their doc_id: it may be null or that of other rows, too.
+one returns its tokens. What a stage returns is written as Parquet before the next one is called, and read
+again as its docs; intermediate tables of a stage are removed when the next one begins. Rows are documents, whatever their doc_id: it may be null or that of other rows, too.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm import contamination, jaccard, language, pieces, secrets
-from citypulse.llm.storage import shared_folder, stored, table
+from citypulse.llm.storage import deleted, scope, shared_folder, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MASK = "[secret]"
@@ -68,12 +68,30 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Folders that the last stage left behind.
+_LEFT: list[str] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage, which first removes what the one before it kept on disk: that one's result is written by now."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        deleted(spark, _LEFT)
+        _LEFT.clear()
+        with scope() as made:
+            out = stage(spark, docs, sf_dir)
+        _LEFT.extend(made)
+        return out
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language", known_language),
-    ("near_duplicates", near_duplicates),
-    ("contamination", decontaminated),
-    ("secrets", without_secrets),
-    ("tokens", encoded),
+    ("language", _tidy(known_language)),
+    ("near_duplicates", _tidy(near_duplicates)),
+    ("contamination", _tidy(decontaminated)),
+    ("secrets", _tidy(without_secrets)),
+    ("tokens", _tidy(encoded)),
 ]
 
 # Similarity components, suffix automata and token merges have no SQL; tests compare with brute force.
