@@ -45,6 +45,8 @@ from citypulse.llm.words import slices
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 60_000
 #: Bytes of all dense tables of a model.
 DENSE_BYTES = 128 << 20
+#: Text that is parsed together; a longer document is parsed alone.
+TEXT_BYTES = 2 << 20
 LANE = 2048
 UNKNOWN = "und"
 SPACE, RARE = 0, 1
@@ -203,8 +205,9 @@ class Model:
                 state[:n] = move >> 1
             last = np.empty_like(state)
             last[order] = state
-            total = np.concatenate([[0], np.cumsum(starts)])
-            counted = total[begin + width] - total[begin]
+            total = np.zeros(len(starts) + 1, np.int32 if len(starts) < 1 << 31 else np.int64)
+            np.cumsum(starts, out=total[1:])
+            counted = (total[begin + width] - total[begin]).astype(np.int64)
             # All borders at once, as if the lane before ended in the state of its own parse. Where it does not,
             # since the two never met in it, the next one is done again: of each text the first such lane.
             lanes, used, final = later, np.full(len(owner), -1), last.copy()
@@ -274,7 +277,7 @@ def identify(docs: DataFrame, texts: dict[str, str], text: str = "text") -> Data
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             names, scores, bits = [], [], []
-            for a, b in slices(column):
+            for a, b in slices(column, TEXT_BYTES):
                 points, first = text_points(column.slice(a, b - a))
                 symbols, first = squeezed(model.alphabet.symbols(points), first)
                 lettered = np.r_[0, np.cumsum(symbols != SPACE)][first]
