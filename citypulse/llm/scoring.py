@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import io
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -279,7 +279,12 @@ def learned(cells: pd.DataFrame, tokens: int, known: int) -> dict[int, tuple[flo
     return out
 
 
-def _scored(packed: DataFrame, answers: DataFrame, weights: dict[int, tuple[float, float, float]], folds: Folds, tokens: int, known: int) -> DataFrame:
+def added_one(tokens: int, known: int) -> int:
+    """What a token's count and one is divided by: all tokens, and one more for each known token and one unknown."""
+    return tokens + 1 * (known + 1)
+
+
+def _scored(packed: DataFrame, answers: DataFrame, weights: dict[int, tuple[float, float, float]], folds: Folds, tokens: int, known: int, whole: int) -> DataFrame:
     most = max(weights)
     mixture = np.array([weights.get(b, weights[-1]) for b in range(max(most, 62) + 2)])
     names = ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
@@ -295,7 +300,7 @@ def _scored(packed: DataFrame, answers: DataFrame, weights: dict[int, tuple[floa
             pair = pairs[np.unique(join(c.contexts(), c.tokens), return_inverse=True)[1]]
             m = mixture[bucket(context)]
             p = m[:, 0] * np.where(context > 0, pair / np.maximum(context, 1), 0) + m[:, 1] * token / max(tokens, 1) + m[:, 2] / (known + 1)
-            base = np.log10((token + 1) / ((tokens + 1) * (known + 1)))
+            base = np.log10((token + 1) / whole)
             begin = c.first[:-1]
             if len(begin):
                 out.append(pa.table([c.ids, pa.array(c.folds == folds.unseen), pa.array(np.diff(c.first)), pa.array(np.add.reduceat((token > 0).astype(np.int64), begin)), pa.array(np.add.reduceat(base, begin)), pa.array(np.add.reduceat(np.log10(p), begin))], names=list(names)))
@@ -305,8 +310,13 @@ def _scored(packed: DataFrame, answers: DataFrame, weights: dict[int, tuple[floa
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
 
 
-def scores(docs: DataFrame, fold: Column, folds: Folds, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base and model score of every document. ``fold`` is the number of a document's fold."""
+def scores(
+    docs: DataFrame, fold: Column, folds: Folds, doc: str = "doc_id", text: str = "text", whole: Callable[[int, int], int] = lambda n, v: (n + 1) * (v + 1)
+) -> DataFrame:
+    """Base and model score of every document. ``fold`` is the number of a document's fold.
+
+    The base score divides counts and one by ``whole`` of all and of distinct training tokens.
+    """
     packed = stored(_packed(docs.select(F.col(doc).cast("long").alias("doc_id"), fold.cast("int").alias("fold"), F.col(text).alias("text"))), "chunks")
     total = packed.agg(F.sum("size")).first()[0] or 0
     # A word takes some 6 bytes. Half of the tokens of a chunk are new to it at worst, and nearly all pairs.
@@ -320,12 +330,12 @@ def scores(docs: DataFrame, fold: Column, folds: Folds, doc: str = "doc_id", tex
     weights = learned(cells, n, v)
     columns = "chunk", "kind", "shard", "n", "train"
     both = by_chunk.select(*columns).unionByName(pairs.filter("kind = 'counts'").withColumn("kind", F.lit("pairs")).select(*columns))
-    return _scored(packed, both, weights, folds, n, v).withColumn("train_tokens", F.lit(n).cast("long"))
+    return _scored(packed, both, weights, folds, n, v, whole(n, v)).withColumn("train_tokens", F.lit(n).cast("long"))
 
 
 @query("op4_lm_scoring")
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every document under counts of six sevenths of them."""
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7, F.lit(0))
-    out = scores(table(spark, sf_dir, "documents"), fold, Folds(7, 2, 3))
+    out = scores(table(spark, sf_dir, "documents"), fold, Folds(7, 2, 3), whole=added_one)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -102,3 +103,22 @@ def test_differences_come_back():
         assert (scoring._ascending(scoring._differences(x), n) == x).all()
     x = np.sort(rng.integers(0, 2**64, 100_000, dtype=np.uint64))
     assert len(scoring._differences(x)) < 0.85 * x.nbytes
+
+
+def test_query_keeps_its_contract(spark, tmp_path):
+    """Every column but the model's score by dictionaries, over repeated, empty and odd rows, some without an id."""
+    rng = random.Random(17)
+    lexicon = [f"W{k}" if k % 3 else f"é{k}\x1f" for k in range(60)]
+    rows = [(k - 40, " ".join(rng.choices(lexicon, k=rng.choice([0, 1, 9, 60])))) for k in range(150)]
+    rows += list(enumerate(brute.ODD_TEXTS, 1000)) + rows[:20] + [(None, "W1 unheard"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def held(k):
+        return k is not None and zlib.crc32(str(k).encode()) % 7 == 2
+
+    tokens = [[*brute.spaced(brute.lowered(text)), None] for _, text in rows]
+    seen = Counter(x for (k, _), w in zip(rows, tokens, strict=True) if not held(k) for x in w)
+    n, v = sum(seen.values()), len(seen)
+    want = [(str(k), held(k), len(w), sum(x in seen for x in w), n, round(sum(math.log10((seen[x] + 1) / (n + 1 * (v + 1))) for x in w), 6)) for (k, _), w in zip(rows, tokens, strict=True)]
+    found = [(str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in scoring.lm_scoring(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(want)
