@@ -39,6 +39,14 @@ def _tile_range(low: Column, high: Column, size: float, margin: int = 0) -> Colu
     return F.explode(F.sequence(_tile(low, size) - margin, _tile(high, size) + margin))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which both sides are dealt out, never sent whole to the driver and on to everyone.
+
+    Spark's estimate of a side comes from the size of its files, before edges and tiles are listed from them.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def boxes(edges: DataFrame) -> DataFrame:
     """Bounding box per polygon."""
     return edges.groupBy("poly_id").agg(
@@ -154,7 +162,7 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, tile: float) -> Data
     distinct = _wide(points.select(*XY)).na.drop().distinct()
     only = {r.level for r in kinds}
     plain = _wide(edges.select("poly_id", "x1", "y1", "x2", "y2"))
-    placed = plain.withColumn("level", F.lit(only.pop())) if len(only) == 1 else plain.join(shapes.select("poly_id", "level"), "poly_id")
+    placed = plain.withColumn("level", F.lit(only.pop())) if len(only) == 1 else _meet(plain, shapes.select("poly_id", "level"), "poly_id")
 
     def probed(pairs: list[tuple[int, int]]) -> DataFrame:
         """Points with the tile that they have on each level, and k."""
@@ -168,15 +176,15 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, tile: float) -> Data
     parts, inside = [], None
     if small := [(r.level, 0) for r in kinds if r.boxed]:
         covers = shapes.filter("boxed").withColumn("ty", tiles("y")).withColumn("tx", tiles("x"))
-        near = probed(small).join(covers, ["level", "ty", "tx"])
+        near = _meet(probed(small), covers, ["level", "ty", "tx"])
         parts.append(near.filter(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))))
     if large := [r for r in kinds if not r.boxed]:
-        passed, inner = _cover(placed.join(shapes.filter("not boxed").select("poly_id"), "poly_id", "left_semi"), tile)
-        parts.append(probed([(r.level, 0) for r in large]).join(passed, ["level", "ty", "tx"]))
+        passed, inner = _cover(_meet(placed, shapes.filter("not boxed").select("poly_id"), "poly_id", "left_semi"), tile)
+        parts.append(_meet(probed([(r.level, 0) for r in large]), passed, ["level", "ty", "tx"]))
         # A run is shorter than its polygon is wide by the two passed tiles at its ends.
         if shifts := [(r.level, k) for r in large if r.across > 2 for k in range(int(r.across - 2).bit_length())]:
             deep = probed(shifts).withColumn("tk", F.floor(F.col("tx") / F.pow(F.lit(2.0), F.col("k"))))
-            inside = deep.join(inner, ["level", "ty", "k", "tk"]).select("x", "y", "poly_id")
+            inside = _meet(deep, inner, ["level", "ty", "k", "tk"]).select("x", "y", "poly_id")
     candidates = parts[0].select("x", "y", "ty", "poly_id")
     for part in parts[1:]:
         candidates = candidates.unionByName(part.select("x", "y", "ty", "poly_id"))
@@ -186,7 +194,7 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, tile: float) -> Data
     crosses = ((y1 <= y) & (y < y2) & (side > 0)) | ((y2 <= y) & (y < y1) & (side < 0))
     touches = (side == 0) & _within(x, x1, x2) & _within(y, y1, y2)
     found = (
-        candidates.join(rows.drop("level"), ["poly_id", "ty"])
+        _meet(candidates, rows.drop("level"), ["poly_id", "ty"])
         .groupBy("x", "y", "poly_id")
         .agg(F.count_if(crosses).alias("_crossed"), F.bool_or(touches).alias("_on_edge"))
         .filter((F.col("_crossed") % 2 == 1) | F.col("_on_edge"))
@@ -201,7 +209,7 @@ def _give_cells(points: DataFrame, matches: DataFrame, ties: str) -> DataFrame:
         matches = matches.groupBy(*XY).agg(F.min("poly_id").alias("poly_id"))
     elif ties != "all":
         raise ValueError("ties must be 'first' or 'all'")
-    return points.join(matches.withColumnRenamed("poly_id", "grid_id"), XY, "left")
+    return _meet(points, matches.withColumnRenamed("poly_id", "grid_id"), XY, "left")
 
 
 def locate(points: DataFrame, edges: DataFrame, tile: float, ties: str = "all") -> DataFrame:
@@ -237,7 +245,7 @@ def locate_on_grid(
         index(F.col("y0") + F.lit(half[1]), 1).alias("iy"),
     )
     inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    return _give_cells(points, placed.join(numbered, ["ix", "iy"]).filter(inside).select("x", "y", "poly_id"), ties)
+    return _give_cells(points, _meet(placed, numbered, ["ix", "iy"]).filter(inside).select("x", "y", "poly_id"), ties)
 
 
 def ring_points(edges: DataFrame) -> DataFrame:
@@ -278,13 +286,13 @@ def _touching_edges(left: DataFrame, right: DataFrame, tile: float) -> DataFrame
         (side == 0) & _within(x, e[0], e[2]) & _within(y, e[1], e[3]) for side, (x, y, e) in zip(sides, ends)
     ]
     condition = crossing | resting[0] | resting[1] | resting[2] | resting[3]
-    return a.join(b, ["level", "tx", "ty"]).filter((F.greatest("own", "rown") == F.col("level")) & condition).select("left_id", "right_id")
+    return _meet(a, b, ["level", "tx", "ty"]).filter((F.greatest("own", "rown") == F.col("level")) & condition).select("left_id", "right_id")
 
 
 def _rings_inside(inner: DataFrame, outer: DataFrame, tile: float) -> DataFrame:
     """Pairs ``poly_id, _outer`` where a ring of the first has a vertex in the second."""
     vertices = ring_points(inner)
-    return vertices.join(points_in_polygons(vertices, outer, tile).withColumnRenamed("poly_id", "_outer"), XY)
+    return _meet(vertices, points_in_polygons(vertices, outer, tile).withColumnRenamed("poly_id", "_outer"), XY)
 
 
 def polygons_touch(left: DataFrame, right: DataFrame, tile: float) -> DataFrame:
@@ -305,7 +313,7 @@ def polygons_touching(edges: DataFrame, region: DataFrame, tile: float) -> DataF
     that meets one of the region are done, and only the others are asked whether they lie inside or around.
     """
     met = cut_lineage(_touching_edges(edges, region, tile).select(F.col("left_id").alias("poly_id")).distinct())
-    others = edges.join(met, "poly_id", "left_anti")
+    others = _meet(edges, met, "poly_id", "left_anti")
     within = _rings_inside(others, region, tile).select("poly_id")
     around = _rings_inside(region, others, tile).select(F.col("_outer").alias("poly_id"))
     return met.unionByName(within.unionByName(around).distinct())
@@ -366,18 +374,18 @@ def _near_edges(polygons: DataFrame, targets: DataFrame) -> DataFrame | None:
     near = around_edges(1).select("level", "tx", "ty").distinct()
     own = F.greatest(F.max("x1") - F.min("x1"), F.max("y1") - F.min("y1")).cast("double")
     anchors = polygons.groupBy("poly_id").agg(F.min(F.struct("x1", "y1")).alias("anchor"), _level(own * reach, base).alias("start"))
+    looking = anchors.withColumn("level", F.explode(F.sequence(F.col("start"), F.lit(levels)))).drop("start")
+    looking = looking.withColumns({"tx": F.floor(F.col("anchor.x1") / size), "ty": F.floor(F.col("anchor.y1") / size)})
     first_level = (
-        anchors.withColumn("level", F.explode(F.sequence(F.col("start"), F.lit(levels)))).drop("start")
-        .withColumns({"tx": F.floor(F.col("anchor.x1") / size), "ty": F.floor(F.col("anchor.y1") / size)})
-        .join(near, ["level", "tx", "ty"])
+        _meet(looking, near, ["level", "tx", "ty"])
         .groupBy("poly_id")
         .agg(F.min(F.struct("level", "tx", "ty")).alias("found"))
         .select("poly_id", "found.*")
     )
     names = ["x1", "y1", "x2", "y2"]
-    edges = polygons.select("poly_id", *names).join(first_level, "poly_id")
+    edges = _meet(polygons.select("poly_id", *names), first_level, "poly_id")
     candidates = around_edges(3).withColumnsRenamed({"poly_id": "target_id", **{n: "t" + n for n in names}})
-    return edges.join(candidates, ["level", "tx", "ty"])
+    return _meet(edges, candidates, ["level", "tx", "ty"])
 
 
 def nearest_polygon(polygons: DataFrame, targets: DataFrame) -> DataFrame:
@@ -412,7 +420,7 @@ def assign_districts(cells: DataFrame, districts: DataFrame, tile: float) -> Dat
         F.col("left_id").alias("poly_id"), F.col("right_id").alias("admin_cd")
     )
     touching = cut_lineage(touching)
-    lost = cells.join(touching.select("poly_id"), "poly_id", "left_anti")
+    lost = _meet(cells, touching.select("poly_id"), "poly_id", "left_anti")
     filled = nearest_polygon(lost, districts).select("poly_id", F.col("target_id").alias("admin_cd"))
     return touching.unionByName(filled)
 

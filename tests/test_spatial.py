@@ -267,3 +267,21 @@ def test_one_wide_lost_cell_leaves_the_others_their_tiles(spark):
         d, t = min((gap(p, q), t) for t, q in targets.items())
         assert found[name][1] == pytest.approx(d) and found[name][0] == t
     assert len(found) == 401
+
+
+def test_sides_of_joins_are_dealt_out_whatever_their_files_seem_to_hold(spark):
+    """Edges and tiles are listed from small files, so an estimate of a side may be far too low."""
+    cells = spark.range(40).select(F.col("id").cast("string").alias("id"), F.col("id").alias("x0"), (F.col("id") * 0).alias("y0"), (F.col("id") + 1).alias("x1"), (F.col("id") * 0 + 1).alias("y1"))
+    edges = spatial.cell_edges(cells)
+    far = spatial.cell_edges(cells.filter("id = '3'").withColumns({"y0": F.col("y0") + 50, "y1": F.col("y1") + 50}))
+    points = cells.select(F.col("x0").alias("x"), F.col("y0").alias("y"))
+    made = {
+        "locate": spatial.locate(points, edges, 2),
+        "grid": spatial.locate_on_grid(points, cells, (0, 0), (1, 1)),
+        "touch": spatial.polygons_touch(edges, far, 2),
+        "nearest": spatial.nearest_polygon(edges, far),
+        "assign": spatial.assign_districts(edges, far, 2),
+        "region": spatial.polygons_touching(edges, far, 2),
+    }
+    assert [n for n, df in made.items() if "Broadcast" in df._jdf.queryExecution().executedPlan().toString()] == []
+    assert made["assign"].count() == made["nearest"].count() == 40 and made["touch"].count() == 0
