@@ -246,32 +246,41 @@ def table_created_once(spark, sf_dir):
     return stored.groupBy("k", "ym").agg(F.count(F.lit(1)).alias("copies"))
 
 
+#: Rows for which there is one archive of each flag.
+ARCHIVE_ROWS = 2_000_000
+
+
 @query("zipped_members_read", "SELECT l_orderkey AS k, l_linenumber AS n, l_quantity AS qty, l_returnflag AS archive FROM lineitem")
 def zipped_members_read(spark, sf_dir):
-    """An archive for each return flag with a member for each line number, in either code page, beside what is not wanted."""
+    """Archives of each return flag with a member for each line number, in either code page, beside what is not wanted.
+
+    One archive a flag for up to ``ARCHIVE_ROWS`` rows in all, as many times more as there are rows, so that no task packs more than a part of them.
+    """
     root = fresh(spark, "zips")
     rows = I.derived(spark, sf_dir, "SELECT l_returnflag AS flag, l_linenumber AS n, l_orderkey AS k, l_quantity AS qty FROM lineitem")
+    parts = -(-rows.count() // ARCHIVE_ROWS)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("k", "n", "qty"), F.lit(max(parts, 1))))
 
     def pack(key, table):
         import io
         import zipfile
 
         import pyarrow as pa
-        from pyarrow import csv, fs
+        from pyarrow import compute, csv, fs
 
         system, folder = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
         system.create_dir(folder)
-        with system.open_output_stream(f"{folder}/{key[0].as_py()}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        with system.open_output_stream(f"{folder}/{key[1].as_py()}-{key[0].as_py()}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("readme.txt", "no rows")
             archive.writestr("other.csv", "k|n|qty\n0|0|0\n")
             for n in sorted(set(table.column("n").to_pylist())):
-                part = table.filter(pa.compute.equal(table.column("n"), n)).select(["qty", "k", "n"])
+                part = table.filter(compute.equal(table.column("n"), n)).select(["qty", "k", "n"])
                 text = io.BytesIO()
                 csv.write_csv(part, text, csv.WriteOptions(delimiter="|"))
                 archive.writestr(f"in/Flow_{n}.csv", text.getvalue().decode().encode("cp949" if n % 2 else "utf-8"))
         return pa.table({"flag": pa.array([key[0].as_py()])})
 
-    rows.groupBy("flag").applyInArrow(pack, "flag string").count()
+    rows.groupBy("flag", "part").applyInArrow(pack, "flag string").count()
     found = files.read_zipped(spark, root, "flow_", fields(k="bigint", n="int", qty="double"))
     return found.select("k", "n", "qty", F.regexp_extract("archive", r"([A-Z])\.zip$", 1).alias("archive"))
 

@@ -200,14 +200,17 @@ def _zip_rows(sep: str, names: list[str]):
                 return True
 
             def readinto(self, out):
-                while len(self.rest) < len(out) and (line := self.lines.readline()):
+                parts, size = [self.rest], len(self.rest)
+                while size < len(out) and (line := self.lines.readline()):
                     try:
                         line.decode(self.encoding)
                     except UnicodeDecodeError:
                         self.encoding = "cp949"
-                    self.rest += line if self.encoding == "utf-8" else line.decode(self.encoding, "replace").encode()
-                n = min(len(out), len(self.rest))
-                out[:n], self.rest = self.rest[:n], self.rest[n:]
+                    parts.append(line if self.encoding == "utf-8" else line.decode(self.encoding, "replace").encode())
+                    size += len(parts[-1])
+                whole = b"".join(parts)
+                n = min(len(out), size)
+                out[:n], self.rest = whole[:n], whole[n:]
                 return n
 
         for wanted in batches:

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as spark_entry
+from checks import file_queries
 from citypulse.operators import flow, spatial
 from citypulse.schemas import FLOW_FILE, FLOW_MART, RESULT_TABLES
 from citypulse.sources import editions, files, json_ranges, sinks
@@ -325,3 +327,11 @@ def test_csv_and_lookup(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "c"), header=True).collect() == df.collect()
     sinks.write_lookup(df, "key", "value", str(tmp_path / "l"))
     assert spark.read.parquet(str(tmp_path / "l")).collect() == df.collect()
+
+
+def test_zipped_rows_are_packed_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(file_queries, "ARCHIVE_ROWS", 1500)
+    found = file_queries.zipped_members_read(spark, spark_entry.SMOKE_DIR)
+    lines = spark.read.parquet(f"{spark_entry.SMOKE_DIR}/lineitem.parquet")
+    want = lines.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("archive"))
+    assert found.count() == want.count() and found.exceptAll(want).count() == 0
