@@ -429,18 +429,24 @@ def within_radius(points: DataFrame, centres: DataFrame, radius: float, keep: li
     """Distinct ``keep`` columns and ``center`` of points closer than ``radius`` to a centre.
 
     ``points(x, y, ...)`` and ``centres(center, x, y)`` in metres. Tiles are as wide as the radius,
-    so a centre is looked for in its own tile and the eight around it.
+    so a place of centres is looked for in its own tile and the eight around it. Places near a point are its
+    ``spots``; names are made distinct once for each set of spots, and then given to its points, so the pairs
+    themselves, of which there may be far more than rows, are only made distinct for points in several sets.
     """
-    around = centres.select("center", F.col("x").alias("cx"), F.col("y").alias("cy"))
+    named = centres.select("center", F.col("x").alias("cx"), F.col("y").alias("cy")).na.drop(subset=["cx", "cy"]).distinct()
+    around = named.select("cx", "cy").distinct()
     around = around.withColumn("tx", _tile_range(F.col("cx"), F.col("cx"), radius, 1))
     around = around.withColumn("ty", _tile_range(F.col("cy"), F.col("cy"), radius, 1))
-    placed = points.withColumns({"tx": _tile(F.col("x"), radius), "ty": _tile(F.col("y"), radius)})
-    return (
-        placed.join(around, ["tx", "ty"])
-        .filter(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")) < F.lit(radius))
-        .select(*keep, "center")
-        .distinct()
-    )
+    places = points.select(*XY).na.drop().distinct().withColumns({"tx": _tile(F.col("x"), radius), "ty": _tile(F.col("y"), radius)})
+    near = _meet(places, around, ["tx", "ty"]).filter(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")) < F.lit(radius))
+    near = cut_lineage(near.groupBy(*XY).agg(F.sort_array(F.collect_set(F.struct("cx", "cy"))).alias("spots")))
+    each = near.select("spots").distinct().withColumn("s", F.explode("spots")).select("spots", "s.cx", "s.cy")
+    names = _meet(each, named, ["cx", "cy"]).select("spots", "center").distinct()
+    keys = list(dict.fromkeys(keep))
+    placed = _meet(points.select(*dict.fromkeys([*keys, *XY])), near, XY).select(*keys, "spots").distinct()
+    placed = cut_lineage(placed.withColumn("_sets", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+    once = _meet(placed.filter("_sets = 1"), names, "spots").select(*keep, "center")
+    return once.unionByName(_meet(placed.filter("_sets > 1"), names, "spots").select(*keep, "center").distinct())
 
 
 def cell_edges(cells: DataFrame) -> DataFrame:
