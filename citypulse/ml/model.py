@@ -17,6 +17,7 @@ from citypulse.functions.values import clip_at_zero
 from citypulse.ml.quantile import QuantileToNormal
 from citypulse.operators.lookup import latest_snapshot
 from citypulse.operators.sensors import cell_counts, trim_upper, with_calendar
+from citypulse.session import cut_lineage
 
 # Features, target and the searched settings.
 NUMERIC = ["acs_cnt", "hour", "month"]
@@ -31,8 +32,8 @@ SEED = 42
 
 
 def model_rows(frame: DataFrame, upper: float = 0.995) -> DataFrame:
-    """Training rows without the topmost totals, typed for the feature stages."""
-    return trim_upper(frame, LABEL, upper).withColumns(
+    """Training rows without the topmost totals, typed for the feature stages. The frame is made once for all passes over them."""
+    return trim_upper(cut_lineage(frame), LABEL, upper).withColumns(
         {name: F.col(name).cast("double") for name in [*NUMERIC, CATEGORICAL, LABEL]}
     )
 

@@ -113,10 +113,15 @@ class Sums(NamedTuple):
         return float(1 - (squares - 2 * v * s + v * v * n).sum() / around) if around > 0 else None
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows with how often each stands for itself."""
+    return rows if "m" in rows.columns else rows.withColumn("m", F.lit(1).cast("long"))
+
+
 def _sums(rows: DataFrame, folds: int) -> Sums:
     """At most folds times cells numbers reach the driver, however many rows there are."""
     y = F.col("y")
-    found = rows.groupBy("fold", "cell").agg(F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")).toArrow()
+    found = _counted(rows).groupBy("fold", "cell").agg(F.sum("m").alias("n"), F.sum(F.col("m") * y).alias("s"), F.sum(F.col("m") * y * y).alias("q")).toArrow()
     fold, cell = (found.column(c).to_numpy() for c in ("fold", "cell"))
     seen = np.unique(cell)
     out = np.zeros((3, folds, len(seen)))
@@ -129,9 +134,9 @@ def _drawn(rows: DataFrame, rate: float, draws: int, first: int = 0) -> DataFram
     """(rate, draw, fold, cell, n, s) of random parts of the rows, or of bootstrap samples (rate ``BAGS``)."""
     place = F.pmod(F.xxhash64("h", "draw", F.lit(rate)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     times = sum(((F.col("u") >= F.lit(p)).cast("int") for p in POISSON), F.lit(0)) if rate == BAGS else (F.col("u") < rate).cast("int")
-    each = rows.select("fold", "cell", "y", "h", F.explode(F.sequence(F.lit(first), F.lit(first + draws - 1))).alias("draw")).withColumn("u", place)
-    taken = each.select("draw", "fold", "cell", times.alias("times"), "y").filter("times > 0")
-    sums = taken.groupBy("draw", "fold", "cell").agg(F.sum("times").cast("double").alias("n"), F.sum(F.col("times") * F.col("y")).alias("s"))
+    each = _counted(rows).select("fold", "cell", "y", "h", "m", F.explode(F.sequence(F.lit(first), F.lit(first + draws - 1))).alias("draw")).withColumn("u", place)
+    taken = each.select("draw", "fold", "cell", times.alias("times"), "m", "y").filter("times > 0")
+    sums = taken.groupBy("draw", "fold", "cell").agg(F.sum(F.col("times") * F.col("m")).cast("double").alias("n"), F.sum(F.col("times") * F.col("m") * F.col("y")).alias("s"))
     return sums.select(F.lit(rate).alias("rate"), (F.col("draw") - first).alias("draw"), "fold", "cell", "n", "s")
 
 
@@ -371,7 +376,10 @@ class _Prepared(NamedTuple):
 
 
 def _prepare(train: DataFrame, features: list, folds: int, seed: int, keys: list[str], label: str) -> _Prepared:
-    """Rows (cell, fold, y, h): folds and draws come from hashes, so neither changes with the partitioning."""
+    """Rows (cell, fold, y, h) and how many there are of each, m: folds and draws come from hashes, so neither changes with the partitioning.
+
+    Rows of one hash fall into the same draws, so they are counted once and drawn together.
+    """
     stages = Pipeline(stages=features).fit(train)
     fold = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int")
     x = vector_to_array(F.col("features"))
@@ -381,7 +389,8 @@ def _prepare(train: DataFrame, features: list, folds: int, seed: int, keys: list
     if first is None:
         raise ValueError("no rows to learn from")
     cells = cells_of(rows, first[0])
-    return _Prepared(stages, rows.select(cells.cell(F.col("x")).cast("int").alias("cell"), "fold", "y", "h").persist(), cells)
+    placed = rows.select(cells.cell(F.col("x")).cast("int").alias("cell"), "fold", "y", "h")
+    return _Prepared(stages, placed.groupBy("cell", "fold", "y", "h").agg(F.count(F.lit(1)).alias("m")).persist(), cells)
 
 
 class Result(NamedTuple):
@@ -435,7 +444,7 @@ def stack(train: DataFrame, features: list, bases: dict[str, tuple[str, dict]],
         spark = rows.sparkSession
         # A row for each fold and cell.
         to = spark.createDataFrame([(int(k), int(c), int(moved[k, c])) for k, c in zip(fold, sums.seen[place], strict=True)], "fold int, cell int, over int")
-        again = rows.join(to, ["fold", "cell"]).select(F.lit(0).alias("fold"), F.col("over").alias("cell"), "y", "h")
+        again = rows.join(to, ["fold", "cell"]).select(F.lit(0).alias("fold"), F.col("over").alias("cell"), "y", "h", "m")
         grid = {name: [value] for name, value in final.items()}
         last = _forests(again, over, _sums(again, 1), grid, [-1], first=1 << 20).first()
     finally:
