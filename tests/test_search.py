@@ -152,3 +152,21 @@ def test_exact_ranks(spark, monkeypatch, cuts):
     assert ranks.quantiles(df.limit(0), {"x": 5}) == {"x": []}
     with pytest.raises(ValueError, match="has 4000 values"):
         ranks.order_statistics(df, {"x": [4000]})
+
+
+def test_equal_rows_are_counted_and_drawn_together(spark):
+    each = spark.range(300).select((F.col("id") % 7).cast("string").alias("grid_id"), (F.col("id") % 24).cast("double").alias("hour"), (F.col("id") % 11).cast("double").alias("acs_cnt"),
+                                   F.lit(1.0).alias("month"), (F.col("id") % 2).cast("double").alias("is_weekend_group"), (F.col("id") % 13).cast("double").alias("total"))
+    once, thrice = (search._prepare(df, [model.VectorAssembler(inputCols=model.NUMERIC, outputCol="features")], 3, 1, ["grid_id", "hour"], "total").rows for df in (each, each.unionByName(each).unionByName(each)))
+    assert once.count() == thrice.count() and thrice.agg(F.sum("m")).first()[0] == 900
+    for drawn in (search._drawn(rows, search.BAGS, 20).groupBy("draw", "fold", "cell").agg(F.sum("n").alias("n")) for rows in (once, thrice)):
+        assert drawn.count() > 20
+    a, b = (search._drawn(rows, 0.8, 20).agg(F.sum("n"), F.sum("s")).first() for rows in (once, thrice))
+    assert (3 * a[0], 3 * a[1]) == (b[0], b[1])
+
+
+def test_training_rows_are_made_once(spark):
+    named = spark.range(20).select("id", F.lit("x").alias("dayname"))
+    frame = spark.range(20).select("id", *[F.col("id").cast("double").alias(c) for c in ("acs_cnt", "hour", "month", "is_weekend_group", "total")]).join(named, "id")
+    found = model.model_rows(frame)
+    assert found.count() == 19 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()

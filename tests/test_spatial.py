@@ -285,3 +285,15 @@ def test_sides_of_joins_are_dealt_out_whatever_their_files_seem_to_hold(spark):
     }
     assert [n for n, df in made.items() if "Broadcast" in df._jdf.queryExecution().executedPlan().toString()] == []
     assert made["assign"].count() == made["nearest"].count() == 40 and made["touch"].count() == 0
+
+
+def test_radius_makes_names_distinct_once_for_a_set_of_places(spark):
+    at = [(k, k * 37 % 400, k * 53 % 300) for k in range(60)]
+    data = at + at[:9] + [(5, 1, 1), (5, 390, 290), (None, 10, 10), (None, 300, 200), (70, None, 4)]
+    places = [(f"c{k % 4}", k * 90 % 400, k * 70 % 300) for k in range(12)] + [("c1", 90, 70), (None, 90, 70), ("far", 9000, 9000)]
+    points = spark.createDataFrame([(k, None if x is None else float(x), y) for k, x, y in data], "point_id long, x double, y int")
+    centres = spark.createDataFrame([(n, float(x), float(y)) for n, x, y in places], "center string, x double, y double")
+    found = spatial.within_radius(points, centres, 100.0, ["point_id"])
+    want = {(str(k), str(n)) for k, x, y in data for n, cx, cy in places if x is not None and math.hypot(x - cx, y - cy) < 100}
+    assert sorted((str(r.point_id), str(r.center)) for r in found.collect()) == sorted(want)
+    assert found._jdf.queryExecution().optimizedPlan().toString().startswith("Union"), "not all pairs are made distinct"
