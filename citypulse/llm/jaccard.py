@@ -43,6 +43,8 @@ BAND, SKETCH_BITS = 1.5, 2
 #: Share of their elements that unrelated sets are expected to have in common, and the cost of testing a
 #: candidate by its sketch, where an index row costs 1.
 UNRELATED, CANDIDATE_COST = 0.05, 0.02
+#: Text whose sets are made together, which takes some 30 times as much memory; a longer document is looked at alone.
+TEXT_BYTES = 1 << 20
 #: Pairs whose ids are broadcast to find their texts: at most 2 million numbers, 16 MB.
 SENT_PAIRS = 1_000_000
 
@@ -135,7 +137,7 @@ def _digests(docs: DataFrame, size: int) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(3)):
+            for a, b in slices(batch.column(3), TEXT_BYTES):
                 part = batch.slice(a, b - a)
                 s = shingles(part.column(3), size)
                 h1, h2 = (_sums(mix(s.values ^ U64(seed)), s.first) for seed in (11, 23))
@@ -205,12 +207,17 @@ def _index(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> Da
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            seen = np.zeros(0, U64)
+            for a, b in slices(batch.column(1), TEXT_BYTES):
                 s = shingles(batch.column(1).slice(a, b - a), size)
                 h1 = _sums(mix(s.values ^ U64(11)), s.first)
                 _, distinct = np.unique(h1, return_index=True)
+                distinct = distinct[~np.isin(h1[distinct], seen)]  # copies in a batch come once
+                seen = np.r_[seen, h1[distinct]]
                 for k, rows in placements(s, kinds, share):
                     rows = np.intersect1d(rows, distinct)
+                    if not len(rows):
+                        continue
                     owner, signature, flags = signatures(s, k, kinds[k], rows)
                     yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(h1[rows][owner].view(np.int64)), pa.array(flags)], ["sig", "h1", "flags"])
 
@@ -220,7 +227,7 @@ def _index(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> Da
 def _sketched(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), TEXT_BYTES):
                 s = shingles(batch.column(1).slice(a, b - a), size)
                 n = np.diff(s.first)
                 for k, rows in placements(s, kinds, share):
