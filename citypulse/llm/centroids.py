@@ -26,7 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citypulse.llm.registry import query
@@ -256,9 +256,13 @@ def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster and distance of every vector, and the sums of distances."""
     found, centroids = clusters(table(spark, sf_dir, "embeddings"))
     sums = {r.cluster: int(r.s) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
-    own = spark.createDataFrame(
-        [(c, sums[c], sum(sums.values()), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for c, x in enumerate(centroids.tolist()) if c in sums],
-        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string",
-    )
-    # One row for each centroid.
-    return found.join(F.broadcast(own), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+    digests = [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in centroids.tolist()]
+
+    def own(values: list[int | str | None], kind: str) -> Column:
+        """The value of the row's cluster, of a literal for each centroid: nothing is joined or sent."""
+        return F.element_at(F.array(*map(F.lit, values)), F.col("cluster") + 1).cast(kind)
+
+    return found.select(
+        "vec_id", "cluster", "distance", own([sums.get(c) for c in range(len(centroids))], "long").alias("cluster_inertia"),
+        F.lit(sum(sums.values())).cast("long").alias("inertia"), own(digests, "string").alias("centroid_sha256"),
+    )
