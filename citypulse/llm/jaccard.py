@@ -6,8 +6,14 @@ set, so a set is placed in its own band and, if it may be the larger one, in the
 each band the universe of hashes is cut into segments. If one-deletion segments count twice and all
 others once, weights of H + 1 make sure that a similar pair agrees in a segment, or up to one
 element in a one-deletion segment. Which segments keep one-deletion neighbourhoods is chosen by
-cost: index rows against expected false candidates, from the number of sets in the band. A few
-segments more than needed let each set skip as many of its smallest ones when it looks for others.
+cost: index rows against expected false candidates, from the number of sets in the band.
+
+A set leaves out its smallest segments, which unrelated sets have in common most often: an empty one with each set
+that has it empty, too. There are a few segments more than needed, and a set that is small for its band has
+fewer elements apart from a similar one than the segments are made for. If two similar sets agree in m segments,
+each of the two leaves out at most m - 1. Which of two segments is left out first follows from the number of
+elements there and from its place, so where both agree both have the same order, and the last one of
+those in that order is left out by neither.
 
 Candidates meet in buckets of equal segment content. A parity sketch bounds from below in how many
 elements two sets differ, and what it cannot exclude is verified on the words themselves; see
@@ -50,7 +56,7 @@ SENT_PAIRS = 1_000_000
 
 
 class Band(NamedTuple):
-    """Sizes ``low`` to ``high``; ``segments``, of which the first ``deletions`` are one-deletion ones; ``spare`` may be skipped."""
+    """Sizes ``low`` to ``high``; ``segments``, of which the first ``deletions`` are one-deletion ones; ``spare`` more than are needed."""
 
     low: int
     high: int
@@ -167,9 +173,15 @@ def picked(s: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return s.values[at], np.repeat(np.arange(len(rows)), size), first
 
 
-def signatures(s: Sets, k: int, band: Band, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set, signature, flags) of each segment; flags: 1 the set looks for others here, 2 it is a whole segment."""
-    value, own, _ = picked(s, rows)
+def most_apart(size: np.ndarray, band: Band, share: Fraction) -> np.ndarray:
+    """The most elements that a set of each size has apart from a similar one that it meets in the band."""
+    other = np.where(size > band.high, band.high, size * share.denominator // share.numerator)
+    return (size + other) * (share.denominator - share.numerator) // (share.denominator + share.numerator)
+
+
+def signatures(s: Sets, k: int, band: Band, rows: np.ndarray, share: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, signature, flags) of each segment that is not left out; flags: 1 the set looks for others here, 2 it is a whole segment."""
+    value, own, begin = picked(s, rows)
     segment = (((value >> U64(32)) * U64(band.segments)) >> U64(32)).astype(np.int64)
     cell = own * band.segments + segment  # grows along the sorted values
     cells = len(rows) * band.segments
@@ -179,14 +191,14 @@ def signatures(s: Sets, k: int, band: Band, rows: np.ndarray) -> tuple[np.ndarra
     name = mix((np.arange(cells) % band.segments + (k + 1) * 1_000_003).astype(U64))
     total = _sums(inner, first)
     whole = mix(total + name)
-    looks = np.ones((len(rows), band.segments), bool)
-    if band.spare:
-        # One-deletion segments weigh twice, so only the others may be skipped.
-        single = count.reshape(len(rows), -1)[:, band.deletions :]
-        smallest = np.argsort(single, axis=1, kind="stable")[:, : band.spare] + band.deletions
-        looks[np.arange(len(rows))[:, None], smallest] = False
-    owner = np.repeat(np.arange(len(rows)), band.segments)
-    out = [(owner, whole, looks.ravel().astype(np.int32) + np.int32(2 + 4 * k))]
+    # One-deletion segments weigh twice, so only the others may be left out.
+    order = np.argsort(count.reshape(len(rows), -1)[:, band.deletions :], axis=1, kind="stable")
+    left_out = band.segments + band.deletions - 1 - most_apart(np.diff(begin), band, share)
+    row, place = np.nonzero(np.arange(order.shape[1]) < left_out[:, None])
+    kept = np.ones((len(rows), band.segments), bool)
+    kept[row, order[row, place] + band.deletions] = False
+    at = np.flatnonzero(kept)
+    out = [(at // band.segments, whole[at], np.full(len(at), 3 + 4 * k, np.int32))]
     if band.deletions:
         at = np.flatnonzero(segment < band.deletions)
         less = mix(total[cell[at]] - inner[at] + name[cell[at]])
@@ -218,7 +230,7 @@ def _index(docs: DataFrame, size: int, kinds: list[Band], share: Fraction) -> Da
                     rows = np.intersect1d(rows, distinct)
                     if not len(rows):
                         continue
-                    owner, signature, flags = signatures(s, k, kinds[k], rows)
+                    owner, signature, flags = signatures(s, k, kinds[k], rows, share)
                     yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(h1[rows][owner].view(np.int64)), pa.array(flags)], ["sig", "h1", "flags"])
 
     return docs.mapInArrow(index, buckets.MEMBERS)
